@@ -81,7 +81,7 @@ FIGURES = {
     "average_profit_per_order": f"{_money('order_profit_per_order')} / count(order_profit_per_order)",
     "average_shipping_days": "cast(sum(days_for_shipping_real) as double) / count(days_for_shipping_real)",
     "average_profit_margin": "round(avg(profit_margin) * 100, 4)",
-    "average_discount_rate": "round(avg(order_item_discount_rate) * 100, 4)",
+    "average_discount_rate": f"{_money('order_item_discount_rate')} / count(order_item_discount_rate) * 100",
 }
 
 _LATE_FIGURES = "total_orders late_orders late_delivery_rate average_shipping_days total_sales total_profit".split()

@@ -36,7 +36,7 @@ PARTIALS = {
 MEASURES = list(PARTIALS)
 
 
-def _partial(name: str, money_type: str) -> Column:
+def _partial(name: str, sum_type: str) -> Column:
     """One per-order partial."""
     if name == "late":
         column = F.max(F.when(F.col("late_delivery_risk") == 1, 1).otherwise(0))
@@ -52,8 +52,8 @@ def _partial(name: str, money_type: str) -> Column:
             "discount": "order_item_discount_rate",
         }[source]
         value = F.col(column_name)
-        if source in ("sales", "profit"):
-            value = value.cast(money_type)
+        if source in ("sales", "profit", "discount"):
+            value = value.cast(sum_type)
         column = F.count(value) if counted else F.sum(value)
     return column.alias(name)
 
@@ -85,27 +85,28 @@ def _figure(name: str) -> Column:
     return column.alias(name)
 
 
-def _partial_columns(measures: list[str], money_type: str) -> list[Column]:
+def _partial_columns(measures: list[str], sum_type: str) -> list[Column]:
     needed = dict.fromkeys(part for name in measures for part in PARTIALS[name])
     # Grouping by order alone needs no aggregate when only orders are counted.
-    return [_partial(name, money_type) for name in needed] or [F.count(F.lit(1)).alias("lines")]
+    return [_partial(name, sum_type) for name in needed] or [F.count(F.lit(1)).alias("lines")]
 
 
 def roll_up(
-    lines: DataFrame, keys: list[str], measures: list[str], money_type: str = "double"
+    lines: DataFrame, keys: list[str], measures: list[str], sum_type: str = "double"
 ) -> DataFrame:
     """Figures per group of ``keys``; without keys one row, also for empty input.
 
-    ``money_type`` is the type sales and profit are summed in. Doubles depend on the order of
-    addition in their last digits; ``decimal(18,4)`` sums are the same on every run.
+    ``sum_type`` is the type in which sales, profit and discount rates are summed. Sums of doubles
+    depend on the order of addition in their last digits; for values of at most four decimals,
+    ``decimal(18,4)`` gives the same exact sums on every run.
     """
-    orders = lines.groupBy(*keys, ORDER).agg(*_partial_columns(measures, money_type))
+    orders = lines.groupBy(*keys, ORDER).agg(*_partial_columns(measures, sum_type))
     figures = [_figure(name) for name in measures]
     return orders.groupBy(*keys).agg(*figures) if keys else orders.agg(*figures)
 
 
 def roll_up_sets(
-    lines: DataFrame, key_sets: dict[str, list[str]], measures: list[str], money_type: str = "double"
+    lines: DataFrame, key_sets: dict[str, list[str]], measures: list[str], sum_type: str = "double"
 ) -> DataFrame:
     """Figures for several key sets from one scan, in a column ``key_set`` beside all keys.
 
@@ -115,7 +116,7 @@ def roll_up_sets(
     keys = list(dict.fromkeys(key for names in key_sets.values() for key in names))
     sets = [[*names, ORDER] for names in key_sets.values()]
     orders = lines.groupingSets(sets, *keys, ORDER).agg(
-        F.grouping_id().alias("set_bits"), *_partial_columns(measures, money_type)
+        F.grouping_id().alias("set_bits"), *_partial_columns(measures, sum_type)
     )
     # grouping_id has one bit per column, 1 where the column is not part of the set.
     bits = {

@@ -136,26 +136,26 @@ TABLES = {
 }
 
 
-def gold_table(lines: DataFrame, name: str, money_type: str = "double") -> DataFrame:
+def gold_table(lines: DataFrame, name: str, sum_type: str = "double") -> DataFrame:
     """One gold table straight from the clean order lines."""
     table = TABLES[name]
-    return table.arrange(roll_up(lines, table.keys, table.figures, money_type))
+    return table.arrange(roll_up(lines, table.keys, table.figures, sum_type))
 
 
-def late_by(lines: DataFrame, key: str, money_type: str = "double") -> DataFrame:
+def late_by(lines: DataFrame, key: str, sum_type: str = "double") -> DataFrame:
     """The late-delivery figures by any column of the clean table."""
     table = late_table(f"late_by_{key}", key)
-    return table.arrange(roll_up(lines, table.keys, table.figures, money_type))
+    return table.arrange(roll_up(lines, table.keys, table.figures, sum_type))
 
 
 def _set_name(keys: list[str]) -> str:
     return "+".join(keys) or "all"
 
 
-def gold_groups(lines: DataFrame, money_type: str = "double") -> DataFrame:
+def gold_groups(lines: DataFrame, sum_type: str = "double") -> DataFrame:
     """Every group of every gold key with all figures, from one scan of the clean table."""
     key_sets = {_set_name(table.keys): table.keys for table in TABLES.values()}
-    return roll_up_sets(lines, key_sets, MEASURES, money_type)
+    return roll_up_sets(lines, key_sets, MEASURES, sum_type)
 
 
 def gold_table_from_groups(groups: DataFrame, name: str) -> DataFrame:

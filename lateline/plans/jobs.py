@@ -131,7 +131,7 @@ def gold_job(
     spark: SparkSession,
     clean_path: str,
     gold_path: str,
-    money_type: str = "double",
+    sum_type: str = "double",
     publish: Callable[[DataFrame, str], None] | None = None,
     report_path: str | None = None,
 ) -> dict:
@@ -141,7 +141,7 @@ def gold_job(
     """
     report = Report("gold", clean_path, gold_path)
     clean = read_table(spark, clean_path)
-    groups = stage(gold_groups(clean, money_type), "gold-groups")
+    groups = stage(gold_groups(clean, sum_type), "gold-groups")
     row_counts = {}
     for name in TABLES:
         table = gold_table_from_groups(groups, name)
