@@ -20,7 +20,8 @@ def running_totals(groups: DataFrame, order: str, sums: list[str], ranges: int =
     ``groups`` has one row per value of ``order`` (a non-null double), so a value shared by many
     input rows is one row here. It is read three times: give it from a written or cheap table.
     """
-    cuts = groups.approxQuantile(order, [i / ranges for i in range(1, ranges)], 0.1 / ranges)
+    ranges = max(ranges, 2)
+    cuts = groups.approxQuantile(order, [i / ranges for i in range(1, ranges)], 0.1 / ranges) or [0.0]
     splits = [float("-inf"), *sorted(set(cuts)), float("inf")]
     ranged = Bucketizer(splits=splits, inputCol=order, outputCol="__range").transform(groups)
 
