@@ -59,13 +59,15 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _returned_twice(table: DataFrame, flag: str) -> DataFrame:
+    """All rows, and the returned ones a second time: known duplicates from one scan."""
+    copies = F.when(F.col(flag) == "R", F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return table.select("*", F.explode(copies).alias("__copy")).drop("__copy")
+
+
 def twice_delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All lines, and the returned ones a second time: known duplicates, nothing left out."""
-    lines = read(spark, sf_dir, "lineitem")
-    return lines.unionByName(lines.where(F.col("l_returnflag") == "R"))
+    return _returned_twice(read(spark, sf_dir, "lineitem"), "l_returnflag")
 
 
 def raw_orders_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw order lines with the returned ones a second time."""
-    raw = raw_orders(spark, sf_dir)
-    return raw.unionByName(raw.where(F.col("Type") == "R"))
+    return _returned_twice(raw_orders(spark, sf_dir), "Type")
