@@ -159,8 +159,7 @@ def prediction_options(spark: SparkSession, sf: str) -> DataFrame:
 
 def model_data(spark: SparkSession, sf: str) -> DataFrame:
     """The labelled lines, staged: models and splits read them many times."""
-    lines = order_lines(spark, sf)
-    return stage(S.labelled(lines, lines.columns), "model-data")
+    return stage(S.labelled(order_lines(spark, sf), ["order_id"]), "model-data")
 
 
 def ml_class_distribution(spark: SparkSession, sf: str) -> DataFrame:
@@ -173,7 +172,7 @@ def ml_class_weights(spark: SparkSession, sf: str) -> DataFrame:
 
 def ml_split_counts(spark: SparkSession, sf: str) -> DataFrame:
     data = model_data(spark, sf)
-    parts = dict(zip(["train", "test"], S.exact_split(data, data.columns)))
+    parts = dict(zip(["train", "test"], S.exact_split(data)))
     counts = [S.class_distribution(part).select(F.lit(name).alias("part"), "*") for name, part in parts.items()]
     return reduce(DataFrame.unionByName, counts)
 
@@ -224,21 +223,21 @@ def check_estimators() -> M.Estimators:
 
 def ml_metrics(spark: SparkSession, sf: str) -> DataFrame:
     data = model_data(spark, sf)
-    training = M.train_and_compare(*S.exact_split(data, data.columns), check_estimators())
+    training = M.train_and_compare(*S.exact_split(data), check_estimators())
     return evaluation.model_comparison(spark, training.metrics)
 
 
 def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
     data = model_data(spark, sf)
     forest = {M.RANDOM_FOREST: check_estimators()[M.RANDOM_FOREST]}
-    models, names = M.fit_models(S.hash_split(data, data.columns)[0], forest)
+    models, names = M.fit_models(S.hash_split(data)[0], forest)
     return M.feature_importance(spark, models[M.RANDOM_FOREST], names)
 
 
 def late_risk_scores(spark: SparkSession, sf: str) -> DataFrame:
     data = model_data(spark, sf)
     regression = {M.LOGISTIC_REGRESSION: check_estimators()[M.LOGISTIC_REGRESSION]}
-    models, _ = M.fit_models(S.hash_split(data, data.columns)[0], regression)
+    models, _ = M.fit_models(S.hash_split(data)[0], regression)
     scored = advise(score(models[M.LOGISTIC_REGRESSION], data))
     return scored.select("order_id", "prediction", "late_probability", "title", "level", "advice", "probability_text")
 

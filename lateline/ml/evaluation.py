@@ -76,7 +76,7 @@ def classification_report(scored: DataFrame, label: str = "label", prediction: s
 
 
 def score_groups(scored: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """Positives and negatives per distinct score; combined map-side."""
+    """Positives and negatives per distinct score; combined map-side. Stage it: it is read more than once."""
     return scored.groupBy(F.col(score).cast("double").alias("threshold")).agg(
         F.count_if(F.col(label) == 1).alias("positives"), F.count_if(F.col(label) == 0).alias("negatives")
     )
@@ -109,14 +109,13 @@ def roc_auc(groups: DataFrame) -> DataFrame:
     return ranked.agg(F.try_divide(F.sum(right), pairs).alias("roc_auc"))
 
 
-def evaluate(scored: DataFrame, label: str = "label", prediction: str = "prediction", score: str = "score") -> dict:
-    """The five metrics of class 1 as plain numbers. ``scored`` is read more than once."""
+def evaluate(scored: DataFrame, groups: DataFrame, label: str = "label", prediction: str = "prediction") -> dict:
+    """The five metrics of class 1 as plain numbers, from scored rows and their ``score_groups``."""
     precision, recall, f1, _ = _class_figures(1)
     counted = _cells(scored, label, prediction).select(
         _accuracy().alias("accuracy"), precision.alias("precision"), recall.alias("recall"), f1.alias("f1_score")
     )
-    area = roc_auc(score_groups(scored, label, score)).first()["roc_auc"]
-    return {**counted.first().asDict(), "roc_auc": area}
+    return {**counted.first().asDict(), **roc_auc(groups).first().asDict()}
 
 
 def model_comparison(session, metrics: dict[str, dict]) -> DataFrame:

@@ -14,6 +14,7 @@ from lateline.schema import CATEGORICAL_FEATURES, LEAKAGE_COLUMNS, NUMERIC_FEATU
 FEATURES = CATEGORICAL_FEATURES + NUMERIC_FEATURES
 TEST_SHARE = 0.2
 SEED = 42
+SPLIT_HASH = "split_hash"
 
 
 def check_features(features: list[str]) -> None:
@@ -23,12 +24,20 @@ def check_features(features: list[str]) -> None:
         raise ValueError(f"not known when an order is placed: {', '.join(leaking)}")
 
 
-def labelled(lines: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """Features and integer label of the lines that have one, with the extra columns ``keep``."""
+def row_hash(columns: list[str], seed: int = SEED) -> Column:
+    """52 hash bits of some columns: the same on every run, and exact as a double."""
+    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *columns), 12)
+
+
+def labelled(lines: DataFrame, keep: list[str] | None = None, seed: int = SEED) -> DataFrame:
+    """Features, integer label and split hash of the lines that have a label, beside columns to ``keep``.
+
+    The hash covers all columns of ``lines``, so that later passes need only this narrow table.
+    """
     check_features(FEATURES)
     extra = [name for name in keep or [] if name not in [*FEATURES, TARGET]]
     return lines.where(F.col(TARGET).isNotNull()).select(
-        *extra, *FEATURES, F.col(TARGET).cast("int").alias(TARGET)
+        *extra, *FEATURES, F.col(TARGET).cast("int").alias(TARGET), row_hash(lines.columns, seed).alias(SPLIT_HASH)
     )
 
 
@@ -36,18 +45,10 @@ def class_distribution(data: DataFrame) -> DataFrame:
     return data.groupBy(TARGET).agg(F.count(F.lit(1)).alias("rows")).orderBy(TARGET)
 
 
-def row_hash(columns: list[str], seed: int) -> Column:
-    """52 hash bits of some columns: the same on every run, and exact as a double."""
-    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *columns), 12)
-
-
-def hash_split(
-    data: DataFrame, columns: list[str], share: float = TEST_SHARE, seed: int = SEED
-) -> tuple[DataFrame, DataFrame]:
+def hash_split(data: DataFrame, share: float = TEST_SHARE) -> tuple[DataFrame, DataFrame]:
     """Train and test by a hash threshold: no pass over the data, shares right on average."""
-    cutoff = F.lit(int(share * 2**52))
-    hashed = row_hash(columns, seed)
-    return data.where(hashed >= cutoff), data.where(hashed < cutoff)
+    in_test = F.col(SPLIT_HASH) < F.lit(int(share * 2**52))
+    return data.where(~in_test), data.where(in_test)
 
 
 def held_out_counts(counts: dict[int, int], share: float = TEST_SHARE) -> dict[int, int]:
@@ -64,23 +65,20 @@ def held_out_counts(counts: dict[int, int], share: float = TEST_SHARE) -> dict[i
     return result
 
 
-def exact_split(
-    data: DataFrame, columns: list[str], share: float = TEST_SHARE, seed: int = SEED
-) -> tuple[DataFrame, DataFrame]:
+def exact_split(data: DataFrame, share: float = TEST_SHARE) -> tuple[DataFrame, DataFrame]:
     """Train and test with the exact number of test rows in every class.
 
     The test rows of a class are those with its smallest hashes; the largest hash among them is
     found by counting (see ``ranks``), so no class is ever sorted or numbered in one task. Rows
-    equal in all hashed columns stay on one side.
+    equal in all hashed columns stay on one side. ``data`` is read a few times, two columns only.
     """
-    hashed = row_hash(columns, seed)
     counts = {row[TARGET]: row["rows"] for row in class_distribution(data).collect()}  # one row per class
     wanted = {label: rows for label, rows in held_out_counts(counts, share).items() if rows}
-    by_class = data.select(*[F.when(F.col(TARGET) == label, hashed).alias(str(label)) for label in wanted])
-    cutoffs = values_at_ranks(
-        by_class, {str(label): (lambda _, rank=rows - 1: [rank]) for label, rows in wanted.items()}
-    ) if wanted else {}
+    by_class = data.select(*[F.when(F.col(TARGET) == label, F.col(SPLIT_HASH)).alias(str(label)) for label in wanted])
+    last = {str(label): (lambda _, rank=rows - 1: [rank]) for label, rows in wanted.items()}
+    cutoffs = values_at_ranks(by_class, last) if wanted else {}
     in_test = F.lit(False)
     for label in wanted:
-        in_test = in_test | ((F.col(TARGET) == label) & (hashed <= F.lit(int(cutoffs[str(label)][0]))))
+        cutoff = int(cutoffs[str(label)][0])
+        in_test = in_test | ((F.col(TARGET) == label) & (F.col(SPLIT_HASH) <= F.lit(cutoff)))
     return data.where(~in_test), data.where(in_test)

@@ -11,11 +11,12 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lateline.ml.evaluation import best_model, evaluate
+from lateline.ml.evaluation import best_model, evaluate, score_groups
 from lateline.ml.prepare import FEATURE_VECTOR, feature_names, fit_preparation
 from lateline.ml.scoring import score
-from lateline.ml.split import SEED, class_distribution
+from lateline.ml.split import FEATURES, SEED, class_distribution
 from lateline.schema import TARGET
+from lateline.sources.staging import stage
 
 # ---------------------------------------------------------------------------
 # Model settings.
@@ -89,12 +90,23 @@ DEFAULT_ESTIMATORS: Estimators = {
 }
 
 
+@dataclass(frozen=True)
+class Evaluation:
+    scored: DataFrame
+    groups: DataFrame
+    metrics: dict
+
+
 @dataclass(frozen=True)
 class Training:
     models: dict[str, PipelineModel]
-    metrics: dict[str, dict]
+    evaluations: dict[str, Evaluation]
     names: list[str]
 
+    @property
+    def metrics(self) -> dict[str, dict]:
+        return {name: evaluation.metrics for name, evaluation in self.evaluations.items()}
+
     @property
     def best(self) -> str:
         return best_model(self.metrics)
@@ -105,7 +117,7 @@ def fit_models(train: DataFrame, estimators: Estimators = DEFAULT_ESTIMATORS) ->
 
     The rows are rebalanced once into even partitions, as fitting passes over them many times.
     """
-    train = train.hint("rebalance").persist(StorageLevel.MEMORY_AND_DISK)
+    train = train.select(*FEATURES, TARGET).hint("rebalance").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         preparation = fit_preparation(train)
         prepared = (
@@ -123,20 +135,20 @@ def fit_models(train: DataFrame, estimators: Estimators = DEFAULT_ESTIMATORS) ->
     return models, feature_names(preparation)
 
 
+def measure(model: PipelineModel, test: DataFrame) -> Evaluation:
+    """Score the test rows once, and take all figures from the staged scores."""
+    scored = score(model, test).select(
+        F.col(TARGET).alias("label"), "prediction", F.col("late_probability").alias("score")
+    )
+    scored = stage(scored, "scored")
+    groups = stage(score_groups(scored), "score-groups")
+    return Evaluation(scored, groups, evaluate(scored, groups))
+
+
 def train_and_compare(train: DataFrame, test: DataFrame, estimators: Estimators = DEFAULT_ESTIMATORS) -> Training:
     """Fit all models and measure them on the test rows."""
     models, names = fit_models(train, estimators)
-    metrics = {}
-    for name, model in models.items():
-        scored = score(model, test).select(
-            F.col(TARGET).alias("label"), "prediction", F.col("late_probability").alias("score")
-        )
-        scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            metrics[name] = evaluate(scored)
-        finally:
-            scored.unpersist()
-    return Training(models, metrics, names)
+    return Training(models, {name: measure(model, test) for name, model in models.items()}, names)
 
 
 def feature_importance(session, model: PipelineModel, names: list[str], rows: int = 20) -> DataFrame:

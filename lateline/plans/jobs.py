@@ -10,19 +10,27 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lateline.ml import evaluation, prepare
-from lateline.ml.scoring import save_model, score
+from lateline.ml.scoring import save_model
 from lateline.ml.split import SEED, TEST_SHARE, class_distribution, exact_split, hash_split, labelled
-from lateline.ml.train import DEFAULT_ESTIMATORS, Estimators, Training, feature_importance, train_and_compare
+from lateline.ml.train import (
+    DEFAULT_ESTIMATORS,
+    Estimators,
+    Evaluation,
+    Training,
+    feature_importance,
+    train_and_compare,
+)
 from lateline.operators.cleaning import drop_personal
 from lateline.operators.quality import null_counts
 from lateline.plans.clean import clean_orders
 from lateline.plans.gold import TABLES, gold_groups, gold_table_from_groups
-from lateline.schema import FEATURE_COLUMNS, SALES_QUANTILE_ERROR, TARGET
+from lateline.schema import FEATURE_COLUMNS, SALES_QUANTILE_ERROR
 from lateline.sources.catalog import check_schema
 from lateline.sources.files import detect_encoding, find_csv, land, read_order_csv, read_table, write_table
 from lateline.sources.staging import stage
@@ -169,43 +177,28 @@ def training_job(
     """Split, fit, compare, and store the best model with its figures as tables."""
     report = Report("training", clean_path, model_path)
     clean = read_table(spark, clean_path)
-    data = labelled(clean, clean.columns)
-    train, test = (exact_split if exact else hash_split)(data, clean.columns, share, seed)
+    data = stage(labelled(clean, seed=seed), "model-data")
+    train, test = (exact_split if exact else hash_split)(data, share)
     training = train_and_compare(train, test, estimators)
     best = training.models[training.best]
     save_model(best, f"{model_path}/model")
     save_model(prepare.PipelineModel(best.stages[:-1]), f"{model_path}/preparation")
 
-    reports, confusions, curves = [], [], []
-    for name, model in training.models.items():
-        scored = stage(
-            score(model, test).select(F.col(TARGET).alias("label"), "prediction", F.col("late_probability").alias("score")),
-            "scored",
-        )
-        model_name = F.lit(name).alias("model")
-        reports.append(evaluation.classification_report(scored).select(model_name, "*"))
-        confusions.append(evaluation.confusion_matrix(scored).select(model_name, "*"))
-        groups = stage(evaluation.score_groups(scored), "score-groups")
-        curves.append(evaluation.roc_curve(groups).select(model_name, "*"))
+    def of_all_models(figure: Callable[[Evaluation], DataFrame]) -> DataFrame:
+        tables = [figure(e).select(F.lit(name).alias("model"), "*") for name, e in training.evaluations.items()]
+        return reduce(DataFrame.unionByName, tables)
 
     small = {
         "model_metrics": evaluation.model_comparison(spark, training.metrics),
-        "classification_report": _stack(reports),
-        "confusion_matrix": _stack(confusions),
+        "classification_report": of_all_models(lambda e: evaluation.classification_report(e.scored)),
+        "confusion_matrix": of_all_models(lambda e: evaluation.confusion_matrix(e.scored)),
         "feature_importance": feature_importance(spark, best, training.names),
         "class_distribution": class_distribution(data),
     }
     for name, table in small.items():
         write_table(table, f"{model_path}/{name}", files=1)
-    write_table(_stack(curves), f"{model_path}/roc_curve")
+    write_table(of_all_models(lambda e: evaluation.roc_curve(e.groups)), f"{model_path}/roc_curve")
     report.values |= {"rows_before": data.count(), "rows_after": test.count()}
     report.details = {"best_model": training.best, "metrics_by_model": training.metrics, "test_share": share, "seed": seed}
     report.finish(spark, report_path)
     return training
-
-
-def _stack(tables: list[DataFrame]) -> DataFrame:
-    result = tables[0]
-    for table in tables[1:]:
-        result = result.unionByName(table)
-    return result

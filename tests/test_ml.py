@@ -52,23 +52,26 @@ def test_held_out_counts(counts, held_out):
 
 
 def test_exact_split(data):
-    parts = split.exact_split(data, data.columns)
+    parts = split.exact_split(data)
     counts = {row[TARGET]: row["rows"] for row in split.class_distribution(data).collect()}
     held_out = {row[TARGET]: row["rows"] for row in split.class_distribution(parts[1]).collect()}
     assert held_out == split.held_out_counts(counts)
     assert parts[0].count() + parts[1].count() == data.count()
-    assert parts[1].exceptAll(split.exact_split(data, data.columns)[1]).isEmpty()
-    assert not parts[1].exceptAll(split.exact_split(data, data.columns, seed=7)[1]).isEmpty()
+    assert parts[1].exceptAll(split.exact_split(data)[1]).isEmpty()
+    other = split.labelled(data.drop(split.SPLIT_HASH), ["order_id"], seed=7)
+    other_test = split.exact_split(other)[1].drop(split.SPLIT_HASH)
+    assert other_test.count() == parts[1].count()
+    assert not parts[1].drop(split.SPLIT_HASH).exceptAll(other_test).isEmpty()
 
 
 def test_exact_split_of_one_class_or_none(data):
     late = data.where(F.col(TARGET) == 1)
-    assert split.exact_split(late, data.columns)[1].count() == -(-late.count() // 5)
-    assert [part.count() for part in split.exact_split(data.limit(0), data.columns)] == [0, 0]
+    assert split.exact_split(late)[1].count() == -(-late.count() // 5)
+    assert [part.count() for part in split.exact_split(data.limit(0))] == [0, 0]
 
 
 def test_hash_split(data):
-    parts = split.hash_split(data, data.columns)
+    parts = split.hash_split(data)
     rows = data.count()
     assert parts[0].count() + parts[1].count() == rows
     assert abs(parts[1].count() / rows - 0.2) < 0.03
@@ -141,7 +144,7 @@ def test_confusion_and_report(scored):
     assert sum(cells.values()) == report["accuracy"]["support"] == 400
     assert report["1"]["support"] == cells[1, 0] + cells[1, 1]
     assert report["1"]["precision"] == pytest.approx(cells[1, 1] / (cells[1, 1] + cells[0, 1]))
-    metrics = evaluation.evaluate(scored)
+    metrics = evaluation.evaluate(scored, evaluation.score_groups(scored))
     assert metrics["f1_score"] == pytest.approx(report["1"]["f1_score"])
     assert metrics["accuracy"] == pytest.approx(report["accuracy"]["f1_score"])
 
@@ -150,7 +153,7 @@ def test_one_class_only(spark):
     scored = spark.createDataFrame([(0, 0, 0.1), (0, 0, 0.2)], "label int, prediction int, score double")
     cells = [row["rows"] for row in evaluation.confusion_matrix(scored).orderBy("actual", "predicted").collect()]
     assert cells == [2, 0, 0, 0]
-    metrics = evaluation.evaluate(scored)
+    metrics = evaluation.evaluate(scored, evaluation.score_groups(scored))
     assert (metrics["precision"], metrics["recall"], metrics["f1_score"], metrics["roc_auc"]) == (0.0, 0.0, 0.0, None)
     assert evaluation.roc_auc(evaluation.score_groups(scored.limit(0))).first()["roc_auc"] is None
 
