@@ -6,10 +6,15 @@ table and never pass through the driver program.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 Options = dict[str, str]
 
+# Tables without a definition of their own: they are created anew instead of refilled.
+UNDEFINED_TABLES = ["late_by_country", "top_products_by_sales", "loss_by_market", "profit_margin_by_category"]
+
 
 def _small(table: DataFrame):
     return table.coalesce(1).write.mode("overwrite")
@@ -27,3 +32,13 @@ def replace_table(table: DataFrame, url: str, name: str, properties: Options) ->
 
 def read_relational(spark: SparkSession, url: str, name: str, properties: Options) -> DataFrame:
     return spark.read.jdbc(url, name, properties=properties)
+
+
+def publisher(url: str, schema: str, properties: Options) -> Callable[[DataFrame, str], None]:
+    """A ``publish`` function for the gold job that writes into one database schema."""
+
+    def publish(table: DataFrame, name: str) -> None:
+        write = replace_table if name in UNDEFINED_TABLES else replace_rows
+        write(table, url, f"{schema}.{name}", properties)
+
+    return publish

@@ -3,6 +3,7 @@ import os
 
 import pytest
 
+from lateline.__main__ import main
 from lateline.plans import gold, jobs
 from lateline.sources import catalog, files, relational, staging
 from tests.plans import physical_plan
@@ -136,6 +137,31 @@ def test_relational_writes(monkeypatch, write, truncate):
     ]
 
 
+def test_publisher_refills_defined_tables(monkeypatch):
+    writer = Writer()
+    monkeypatch.setattr(relational, "_small", lambda table: writer)
+    publish = relational.publisher("jdbc:x", "dashboard", {})
+    publish(None, "late_by_market")
+    publish(None, "late_by_country")
+    assert [call[1] for call in writer.calls] == [
+        ("truncate", "true"),
+        ("jdbc:x", "dashboard.late_by_market"),
+        ("truncate", "false"),
+        ("jdbc:x", "dashboard.late_by_country"),
+    ]
+
+
+def test_command_line(spark, tmp_path, capsys):
+    folder = write_csv(tmp_path / "in")
+    main(["ingest", folder, str(tmp_path / "landed")])
+    main(["privacy", str(tmp_path / "landed"), str(tmp_path / "safe")])
+    main(["clean", str(tmp_path / "safe"), str(tmp_path / "clean"), "--relative-error", "0"])
+    main(["gold", str(tmp_path / "clean"), str(tmp_path / "gold"), "--sum-type", "decimal(18,4)"])
+    printed = [json.loads(line) for line in capsys.readouterr().out.splitlines()]
+    assert [report["job"] for report in printed] == ["ingest", "privacy", "clean", "gold"]
+    assert printed[-1]["row_counts"]["late_by_market"] == 2
+
+
 def test_stage_uses_the_shared_folder(spark):
     folder = staging.shared_folder(spark)
     staged = staging.stage(spark.range(5), "numbers")
