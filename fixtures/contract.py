@@ -44,6 +44,12 @@ def all_gold_groups(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(gold.gold_groups(clean_lines(spark, sf), MONEY))
 
 
+def clustered_gold_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from lines stored by order, with orders of many lines taken apart."""
+    lines = stage(clean_lines(spark, sf), "clean-lines")
+    return rounded(gold.gold_groups(lines, MONEY, buckets=8, hot_lines=8))
+
+
 def gold_key_violations(spark: SparkSession, sf: str) -> DataFrame:
     groups = stage(gold.gold_groups(clean_lines(spark, sf), MONEY), "gold-groups")
     checks = [
@@ -285,6 +291,7 @@ QUERIES = {
     "loss_by_market": _gold("loss_by_market"),
     "profit_margin_by_category": _gold("profit_margin_by_category"),
     "gold_groups": all_gold_groups,
+    "gold_groups_clustered": clustered_gold_groups,
     "gold_key_violations": gold_key_violations,
     "most_risky_mode": _view("late_by_shipping_mode", views.most_risky_mode),
     "top_categories_by_sales": _view("late_by_category", views.top_categories_by_sales),

@@ -334,6 +334,7 @@ _TABLES = ["lineitem", "orders", "customer", "part", "nation", "region"]
 ORACLE = {
     **{name: gold(name) for name in GOLD},
     "gold_groups": _groups(),
+    "gold_groups_clustered": _groups(),
     "gold_key_violations": _key_checks(),
     "most_risky_mode": view(
         "late_by_shipping_mode", f"select shipping_mode from g order by {_BY_RATE}, shipping_mode limit 1"

@@ -6,6 +6,9 @@ two plain hash aggregates: the first spreads over all orders, so a key (or an or
 large share of the lines is combined map-side, and the second only sees one row per order.
 An order is late, or at a loss, in a group when any of its lines in that group is. Lines
 without an order id add to sums and means but are not counted as orders.
+
+The second aggregate gives *totals*, which can be added up over tables that share no order.
+Figures are then plain expressions of the totals.
 """
 
 from __future__ import annotations
@@ -16,11 +19,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lateline.functions.columns import percentage
+from lateline.sources.staging import stage, stage_bucketed
 
 ORDER = "order_id"
+HOT_LINES = 1_000_000
 
-# Which per-order partials each figure is made of.
-PARTIALS = {
+# Which totals, beside the number of orders, each figure is made of.
+TOTALS = {
     "total_orders": [],
     "late_orders": ["late"],
     "loss_orders": ["loss"],
@@ -33,90 +38,121 @@ PARTIALS = {
     "average_profit_margin": ["margin", "margin_lines"],
     "average_discount_rate": ["discount", "discount_lines"],
 }
-MEASURES = list(PARTIALS)
+MEASURES = list(TOTALS)
+SOURCES = {
+    "late": "late_delivery_risk",
+    "loss": "is_loss_order",
+    "sales": "sales",
+    "profit": "order_profit_per_order",
+    "days": "days_for_shipping_real",
+    "margin": "profit_margin",
+    "discount": "order_item_discount_rate",
+}
+FLAGS = ["late", "loss"]
+EXACT = ["sales", "profit", "discount"]  # summed in the chosen type
 
 
-def _partial(name: str, sum_type: str) -> Column:
-    """One per-order partial."""
-    if name == "late":
-        column = F.max(F.when(F.col("late_delivery_risk") == 1, 1).otherwise(0))
-    elif name == "loss":
-        column = F.max(F.when(F.col("is_loss_order") == 1, 1).otherwise(0))
-    else:
-        source, _, counted = name.partition("_")
-        column_name = {
-            "sales": "sales",
-            "profit": "order_profit_per_order",
-            "days": "days_for_shipping_real",
-            "margin": "profit_margin",
-            "discount": "order_item_discount_rate",
-        }[source]
-        value = F.col(column_name)
-        if source in ("sales", "profit", "discount"):
-            value = value.cast(sum_type)
-        column = F.count(value) if counted else F.sum(value)
-    return column.alias(name)
+def _needed(measures: list[str]) -> list[str]:
+    return list(dict.fromkeys(total for measure in measures for total in TOTALS[measure]))
+
 
+def _total(name: str) -> Column:
+    return F.col(f"__{name}")
 
-def _flagged_orders(flag: str) -> Column:
-    return F.coalesce(F.sum(F.when(F.col(ORDER).isNotNull(), F.col(flag))), F.lit(0).cast("bigint"))
+
+def _of_order(name: str, sum_type: str) -> Column:
+    """One total over the lines of an order in a group."""
+    source, _, counted = name.partition("_")
+    value = F.col(SOURCES[source])
+    if source in FLAGS:
+        result = F.max(F.when(value == 1, 1).otherwise(0))
+    elif counted:
+        result = F.count(value)
+    else:
+        result = F.sum(value.cast(sum_type) if source in EXACT else value)
+    return result.alias(f"__{name}")
 
 
-def _mean(name: str) -> Column:
-    return F.try_divide(F.sum(name).cast("double"), F.sum(f"{name}_lines"))
+def _of_group(name: str) -> Column:
+    """One total over the orders of a group."""
+    if name == "orders":
+        result = F.count(ORDER)
+    elif name in FLAGS:
+        flagged = F.sum(F.when(F.col(ORDER).isNotNull(), _total(name)))
+        result = F.coalesce(flagged, F.lit(0).cast("bigint"))
+    else:
+        result = F.sum(_total(name))
+    return result.alias(f"__{name}")
 
 
 def _figure(name: str) -> Column:
-    """One figure over the per-order partials of a group."""
-    orders = F.count(ORDER)
+    """One figure as an expression of the totals of a group."""
+
+    def mean(of: str) -> Column:
+        return F.try_divide(_total(of).cast("double"), _total(f"{of}_lines"))
+
+    orders = _total("orders")
     column = {
         "total_orders": lambda: orders,
-        "late_orders": lambda: _flagged_orders("late"),
-        "loss_orders": lambda: _flagged_orders("loss"),
-        "late_delivery_rate": lambda: percentage(_flagged_orders("late"), orders),
-        "loss_rate": lambda: percentage(_flagged_orders("loss"), orders),
-        "total_sales": lambda: F.sum("sales").cast("double"),
-        "total_profit": lambda: F.sum("profit").cast("double"),
-        "average_profit_per_order": lambda: _mean("profit"),
-        "average_shipping_days": lambda: _mean("days"),
-        "average_profit_margin": lambda: _mean("margin") * 100,
-        "average_discount_rate": lambda: _mean("discount") * 100,
+        "late_orders": lambda: _total("late"),
+        "loss_orders": lambda: _total("loss"),
+        "late_delivery_rate": lambda: percentage(_total("late"), orders),
+        "loss_rate": lambda: percentage(_total("loss"), orders),
+        "total_sales": lambda: _total("sales").cast("double"),
+        "total_profit": lambda: _total("profit").cast("double"),
+        "average_profit_per_order": lambda: mean("profit"),
+        "average_shipping_days": lambda: mean("days"),
+        "average_profit_margin": lambda: mean("margin") * 100,
+        "average_discount_rate": lambda: mean("discount") * 100,
     }[name]()
     return column.alias(name)
 
 
-def _partial_columns(measures: list[str], sum_type: str) -> list[Column]:
-    needed = dict.fromkeys(part for name in measures for part in PARTIALS[name])
-    # Grouping by order alone needs no aggregate when only orders are counted.
-    return [_partial(name, sum_type) for name in needed] or [F.count(F.lit(1)).alias("lines")]
+def _figures(totals: DataFrame, keys: list[str], measures: list[str]) -> DataFrame:
+    return totals.select(*keys, *[_figure(name) for name in measures])
 
 
-def roll_up(
-    lines: DataFrame, keys: list[str], measures: list[str], sum_type: str = "double"
-) -> DataFrame:
+def _order_columns(measures: list[str], sum_type: str) -> list[Column]:
+    # An aggregate needs a column even where only orders are counted.
+    return [_of_order(name, sum_type) for name in _needed(measures)] or [F.count(F.lit(1)).alias("__lines")]
+
+
+def _group_columns(measures: list[str]) -> list[Column]:
+    return [_of_group(name) for name in ["orders", *_needed(measures)]]
+
+
+def group_totals(lines: DataFrame, keys: list[str], measures: list[str], sum_type: str) -> DataFrame:
+    """Totals per group of ``keys``; without keys one row, also for empty input."""
+    orders = lines.groupBy(*keys, ORDER).agg(*_order_columns(measures, sum_type))
+    groups = orders.groupBy(*keys) if keys else orders
+    return groups.agg(*_group_columns(measures))
+
+
+def roll_up(lines: DataFrame, keys: list[str], measures: list[str], sum_type: str = "double") -> DataFrame:
     """Figures per group of ``keys``; without keys one row, also for empty input.
 
     ``sum_type`` is the type in which sales, profit and discount rates are summed. Sums of doubles
     depend on the order of addition in their last digits; for values of at most four decimals,
     ``decimal(18,4)`` gives the same exact sums on every run.
     """
-    orders = lines.groupBy(*keys, ORDER).agg(*_partial_columns(measures, sum_type))
-    figures = [_figure(name) for name in measures]
-    return orders.groupBy(*keys).agg(*figures) if keys else orders.agg(*figures)
+    return _figures(group_totals(lines, keys, measures, sum_type), keys, measures)
 
 
-def roll_up_sets(
-    lines: DataFrame, key_sets: dict[str, list[str]], measures: list[str], sum_type: str = "double"
-) -> DataFrame:
-    """Figures for several key sets from one scan, in a column ``key_set`` beside all keys.
+# --- several key sets at once --------------------------------------------------------------
 
-    Every line is expanded once per key set, in memory and before the map-side combine, so a
-    wide table is read once where separate roll-ups would read it once per set.
-    """
-    keys = list(dict.fromkeys(key for names in key_sets.values() for key in names))
+KeySets = dict[str, list[str]]
+
+
+def all_keys(key_sets: KeySets) -> list[str]:
+    return list(dict.fromkeys(key for names in key_sets.values() for key in names))
+
+
+def _expanded_totals(lines: DataFrame, key_sets: KeySets, measures: list[str], sum_type: str) -> DataFrame:
+    """Totals of all key sets from one scan; every line is expanded once per key set."""
+    keys = all_keys(key_sets)
     sets = [[*names, ORDER] for names in key_sets.values()]
     orders = lines.groupingSets(sets, *keys, ORDER).agg(
-        F.grouping_id().alias("set_bits"), *_partial_columns(measures, sum_type)
+        F.grouping_id().alias("set_bits"), *_order_columns(measures, sum_type)
     )
     # grouping_id has one bit per column, 1 where the column is not part of the set.
     bits = {
@@ -128,8 +164,63 @@ def roll_up_sets(
         bits.items(),
         F.when(F.lit(False), F.lit("")),
     )
-    return (
-        orders.groupBy("set_bits", *keys)
-        .agg(*[_figure(name) for name in measures])
-        .select(name_of_set.alias("key_set"), *keys, *measures)
-    )
+    totals = orders.groupBy("set_bits", *keys).agg(*_group_columns(measures))
+    return totals.withColumn("key_set", name_of_set).drop("set_bits")
+
+
+def _clustered_totals(
+    lines: DataFrame, key_sets: KeySets, measures: list[str], sum_type: str, buckets: int
+) -> DataFrame:
+    """Totals of all key sets from lines stored by order: each set shuffles only its groups."""
+    needed = _needed(measures)
+    keys = all_keys(key_sets)
+    columns = dict.fromkeys([ORDER, *keys, *[SOURCES[name.partition("_")[0]] for name in needed]])
+    stored = stage_bucketed(lines.select(*columns), "lines-by-order", ORDER, buckets)
+
+    def of_set(name: str, names: list[str]) -> DataFrame:
+        key_columns = [
+            F.col(key) if key in names else F.lit(None).cast(stored.schema[key].dataType).alias(key) for key in keys
+        ]
+        totals = group_totals(stored, names, measures, sum_type)
+        return totals.select(F.lit(name).alias("key_set"), *key_columns, *[_total(t) for t in ["orders", *needed]])
+
+    return reduce(DataFrame.unionByName, [of_set(name, names) for name, names in key_sets.items()])
+
+
+def hot_orders(lines: DataFrame, more_than: int) -> DataFrame:
+    """Order ids, the absent one included, with many lines: fewer than ``lines / more_than`` of them."""
+    counts = lines.groupBy(F.col(ORDER).alias("hot_order")).agg(F.count(F.lit(1)).alias("lines"))
+    return counts.where(F.col("lines") > more_than).select("hot_order")
+
+
+def roll_up_sets(
+    lines: DataFrame,
+    key_sets: KeySets,
+    measures: list[str],
+    sum_type: str = "double",
+    buckets: int | None = None,
+    hot_lines: int = HOT_LINES,
+) -> DataFrame:
+    """Figures for several key sets, in a column ``key_set`` beside all keys.
+
+    Without ``buckets`` every line is expanded once per key set, in memory: one scan, but as many
+    rows per order to shuffle as there are key sets. With ``buckets``, for large tables, the used
+    columns are stored by order once, and no key set shuffles lines again. Orders of more than
+    ``hot_lines`` lines would fill a bucket; their lines go the first way, where they are combined
+    map-side, and the totals of both parts are added up.
+    """
+    if buckets is None:
+        totals = _expanded_totals(lines, key_sets, measures, sum_type)
+    else:
+        hot = stage(hot_orders(lines, hot_lines), "hot-orders")
+        if hot.isEmpty():
+            totals = _clustered_totals(lines, key_sets, measures, sum_type, buckets)
+        else:
+            is_hot = F.col(ORDER).eqNullSafe(F.col("hot_order"))
+            parts = [
+                _clustered_totals(lines.join(hot, is_hot, "left_anti"), key_sets, measures, sum_type, buckets),
+                _expanded_totals(lines.join(hot, is_hot, "left_semi"), key_sets, measures, sum_type),
+            ]
+            added = [F.sum(_total(t)).alias(f"__{t}") for t in ["orders", *_needed(measures)]]
+            totals = reduce(DataFrame.unionByName, parts).groupBy("key_set", *all_keys(key_sets)).agg(*added)
+    return _figures(totals, ["key_set", *all_keys(key_sets)], measures)

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from fixtures.orders_wide import clean_lines
 from lateline.operators.rollup import MEASURES, roll_up
 from lateline.plans import gold, views
+from tests.plans import physical_plan
 
 SF = "/root/testdata/sf0.001"
 LINE = (
@@ -103,6 +104,18 @@ def test_empty_input(lines):
     assert gold.gold_table(empty, "late_by_market").count() == 0
 
 
+@pytest.mark.parametrize("hot_lines", [1, 100])
+def test_lines_stored_by_order_give_the_same_groups(lines, hot_lines):
+    clustered = gold.gold_groups(lines, "decimal(18,4)", buckets=3, hot_lines=hot_lines)
+    assert close(clustered) == close(gold.gold_groups(lines, "decimal(18,4)"))
+
+
+def test_stored_lines_shuffle_groups_only(lines):
+    plan = physical_plan(gold.gold_groups(lines, buckets=3))
+    exchanges = [text for text in plan.splitlines() if "hashpartitioning" in text]
+    assert len(exchanges) == len(gold.KEY_SETS) - 1 and "order_id" not in "".join(exchanges)
+
+
 def test_support_floor(spark):
     rows = [line(float(i), 1.0, 0, 1.0, 1.0, 1.0, "k", "nineteen") for i in range(19)]
     rows += [line(float(i), 0.0, 0, 1.0, 1.0, 1.0, "k", "twenty") for i in range(20)]

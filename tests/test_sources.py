@@ -74,7 +74,12 @@ def test_jobs_end_to_end(spark, tmp_path):
     assert clean["null_summary"]["order_date"] == 1 and clean["low_sales_threshold"] == 50.0
     published = []
     report = jobs.gold_job(
-        spark, path["clean"], path["gold"], "decimal(18,4)", lambda table, name: published.append((name, table.count())), **log
+        spark,
+        path["clean"],
+        path["gold"],
+        "decimal(18,4)",
+        publish=lambda table, name: published.append((name, table.count())),
+        **log,
     )
     assert dict(published) == report["row_counts"] and list(report["row_counts"]) == list(gold.TABLES)
     market = files.read_table(spark, f"{path['gold']}/late_by_market").collect()
