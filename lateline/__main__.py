@@ -28,7 +28,7 @@ def arguments() -> argparse.ArgumentParser:
         return command
 
     ingest = job("ingest", "land the raw file", "folder with one CSV file", "landed table")
-    ingest.add_argument("--file", help="the CSV file, where the folder has several")
+    ingest.add_argument("--file", help="the CSV file itself, or a folder or pattern of part files")
     job("privacy", "remove the personal columns", "landed table", "privacy-safe table")
     clean = job("clean", "clean and extend the order lines", "privacy-safe table", "clean table")
     clean.add_argument("--relative-error", type=float, default=SALES_QUANTILE_ERROR, help="0 for exact thresholds")

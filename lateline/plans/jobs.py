@@ -32,7 +32,7 @@ from lateline.plans.clean import clean_orders
 from lateline.plans.gold import TABLES, gold_groups, gold_table_from_groups
 from lateline.schema import FEATURE_COLUMNS, SALES_QUANTILE_ERROR
 from lateline.sources.catalog import check_schema
-from lateline.sources.files import detect_encoding, find_csv, land, read_order_csv, read_table, write_table
+from lateline.sources.files import detect_encoding, find_csv, land, named_file, read_order_csv, read_table, write_table
 from lateline.sources.staging import stage
 
 REPORT_SCHEMA = (
@@ -74,7 +74,7 @@ def ingest_job(
     spark: SparkSession, folder: str, landing_path: str, file: str | None = None, report_path: str | None = None
 ) -> dict:
     """Find the raw file (or take the named one), profile it and land it unchanged."""
-    found = find_csv(spark, file or folder)
+    found = named_file(spark, file) if file else find_csv(spark, folder)
     report = Report("ingest", found.path, landing_path)
     encoding = detect_encoding(spark, found.path)
     raw = read_order_csv(spark, found.path, encoding=encoding)

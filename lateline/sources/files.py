@@ -18,17 +18,22 @@ class RawFile:
     size_bytes: int
 
 
-def find_csv(spark: SparkSession, folder: str) -> RawFile:
-    """The one CSV file of a folder; an error if there is none or more than one."""
+def _files(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
+    """Paths and sizes of files; their content is not read."""
+    reader = spark.read.format("binaryFile")
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
     try:
-        files = (
-            spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder).select("path", "length")
-        )
-        found = files.limit(2).collect()  # file names and sizes only; two are enough to refuse
+        return reader.load(path).select("path", "length")
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
-            raise FileNotFoundError(f"no CSV file in {folder}") from error
+            raise FileNotFoundError(f"nothing at {path}") from error
         raise
+
+
+def find_csv(spark: SparkSession, folder: str) -> RawFile:
+    """The one CSV file of a folder; an error if there is none or more than one."""
+    found = _files(spark, folder, "*.csv").limit(2).collect()  # two are enough to refuse
     if not found:
         raise FileNotFoundError(f"no CSV file in {folder}")
     if len(found) > 1:
@@ -37,6 +42,14 @@ def find_csv(spark: SparkSession, folder: str) -> RawFile:
     return RawFile(found[0]["path"], found[0]["length"])
 
 
+def named_file(spark: SparkSession, path: str) -> RawFile:
+    """An explicitly named file, of any name, or a folder or pattern of part files."""
+    size = _files(spark, path).agg(F.sum("length")).first()[0]
+    if size is None:
+        raise FileNotFoundError(f"nothing at {path}")
+    return RawFile(path, size)
+
+
 def detect_encoding(spark: SparkSession, path: str) -> str:
     """``utf-8`` when every line of the file is valid UTF-8, else ``ISO-8859-1``."""
     lines = spark.read.text(path)

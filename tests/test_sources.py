@@ -38,6 +38,10 @@ def test_find_csv(spark, tmp_path):
     write_csv(tmp_path, "more.csv")
     with pytest.raises(ValueError, match="more than one"):
         files.find_csv(spark, str(tmp_path))
+    assert files.named_file(spark, str(tmp_path / "a.txt")).size_bytes == 1
+    assert files.named_file(spark, str(tmp_path / "*.csv")).size_bytes == 2 * found.size_bytes
+    with pytest.raises(FileNotFoundError):
+        files.named_file(spark, str(tmp_path / "absent.csv"))
 
 
 def test_detect_encoding_reads_every_line(spark, tmp_path):
