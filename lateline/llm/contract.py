@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lateline.llm import exact, licenses, mixing, neighbours, preferences
+from lateline.llm import exact, licenses, mixing, neighbours, packing, preferences, token_files
 from lateline.llm.common import read
+from lateline.sources.staging import shared_folder
 
 
 def op1_source_mix(spark: SparkSession, sf: str) -> DataFrame:
@@ -18,6 +21,16 @@ def op4_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact.exact_dedup(read(spark, sf, "documents"))
 
 
+def op6_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack(read(spark, sf, "documents"))
+
+
+def op7_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    folder = f"{shared_folder(spark).rstrip('/')}/token-files-{uuid4().hex}"
+    token_files.write(read(spark, sf, "documents"), folder)
+    return token_files.read(spark, folder)
+
+
 def op8_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.scan(read(spark, sf, "documents"), licenses.digests(spark))
 
@@ -33,6 +46,8 @@ def op10_nearest_neighbours(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "op1_source_mix": op1_source_mix,
     "op4_exact_dedup": op4_exact_dedup,
+    "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_token_files": op7_token_files,
     "op8_license_scan": op8_license_scan,
     "op9_preference_pairs": op9_preference_pairs,
     "op10_nearest_neighbours": op10_nearest_neighbours,
