@@ -7,7 +7,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lateline.llm import exact, licenses, mixing, neighbours, packing, preferences, token_files
+from lateline.llm import exact, licenses, mixing, neighbours, packing, preferences, simhash, token_files
 from lateline.llm.common import read
 from lateline.sources.staging import shared_folder
 
@@ -17,6 +17,10 @@ def op1_source_mix(spark: SparkSession, sf: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
 
 
+def op2_simhash_groups(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.near_groups(read(spark, sf, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact.exact_dedup(read(spark, sf, "documents"))
 
@@ -45,6 +49,7 @@ def op10_nearest_neighbours(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_source_mix": op1_source_mix,
+    "op2_simhash_groups": op2_simhash_groups,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_token_files": op7_token_files,
