@@ -33,6 +33,16 @@ def id_text(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))
 
 
+#: Rows of a batch that Spark hands to Python: a few megabytes of texts.
+BATCH_ROWS = 2_000
+
+
+def texts(docs: DataFrame) -> DataFrame:
+    """doc_id as long and text as string. Sets the session's batch size, as texts are large rows."""
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
 def tasks(spark: SparkSession) -> int:
     """How many partitions a shuffle has; also the number of shards of a packed shuffle."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -64,7 +74,7 @@ def _squeezer() -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
 
 def packed(values: np.ndarray) -> bytes:
     """An array of integers by planes of bytes, compressed: for shuffling many at once."""
-    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T
     return _squeezer()[0].compress(np.ascontiguousarray(planes).tobytes())
 
 

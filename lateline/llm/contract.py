@@ -7,7 +7,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lateline.llm import exact, licenses, mixing, neighbours, packing, preferences, simhash, token_files
+from lateline.llm import exact, licenses, mixing, neighbours, packing, preferences, simhash, substrings, token_files
 from lateline.llm.common import read
 from lateline.sources.staging import shared_folder
 
@@ -21,6 +21,10 @@ def op2_simhash_groups(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_groups(read(spark, sf, "documents"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return substrings.remove_repeats(read(spark, sf, "documents")).drop("spans")
+
+
 def op4_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact.exact_dedup(read(spark, sf, "documents"))
 
@@ -50,6 +54,7 @@ def op10_nearest_neighbours(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "op1_source_mix": op1_source_mix,
     "op2_simhash_groups": op2_simhash_groups,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_exact_dedup": op4_exact_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_token_files": op7_token_files,

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lateline.llm.common import as_bytes, fresh, id_text, slices, tasks
+from lateline.llm.common import as_bytes, fresh, id_text, slices, tasks, texts
 
 #: Texts of a task held in memory at once, in bytes; more go to spill files.
 TABLE_BYTES = 48_000_000
@@ -147,8 +147,7 @@ def text_groups(docs: DataFrame, most: int = TABLE_BYTES) -> DataFrame:
 
         return _batches(merged(records(), most), GROUPS, lambda x: (hashlib.sha256(x[1]).hexdigest(), x[2], x[3]))
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    local = texts.mapInArrow(first, "key long, text binary, largest long, rows long")
+    local = texts(docs).mapInArrow(first, "key long, text binary, largest long, rows long")
     dealt = local.repartition(tasks(docs.sparkSession), "key")
     return dealt.mapInArrow(second, "text_sha256 string, keep_id long, group_size long")
 

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lateline.llm.common import as_bytes, slices
+from lateline.llm.common import as_bytes, slices, texts
 from lateline.llm.tokens import default_path, text_ids
 from lateline.sources.staging import stage
 
@@ -48,8 +48,7 @@ def pieces(docs: DataFrame, path: str, most: int = SEQUENCE_TOKENS, end_id: int
                     row += 1
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), PIECE)], schema=PIECE)
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.mapInArrow(run, PIECE_SQL)
+    return texts(docs).mapInArrow(run, PIECE_SQL)
 
 
 def best_two_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lateline.llm import hamming
-from lateline.llm.common import as_bytes, slices
+from lateline.llm.common import as_bytes, slices, texts
 from lateline.llm.components import components
 from lateline.sources.staging import stage
 
@@ -40,14 +40,14 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
-def fingerprints(texts: list[bytes], size: int, words: int = 1) -> np.ndarray:
+def fingerprints(contents: list[bytes], size: int, words: int = 1) -> np.ndarray:
     """The fingerprint of each UTF-8 text as a row of words, 0 for one without words. A-Z count as lower case.
 
     The first word is of the shingles' hashes, each further one of the hashes of those before.
     """
     digest = xxhash.xxh64_intdigest
-    result = np.zeros((len(texts), words), np.uint64)
-    for i, text in enumerate(texts):
+    result = np.zeros((len(contents), words), np.uint64)
+    for i, text in enumerate(contents):
         found = np.fromiter((digest(s, SEED) for s in shingles(text.lower().split(), size)), np.uint64)
         for word in range(words if len(found) else 0):
             found = mixed(found) if word else found
@@ -68,8 +68,7 @@ def with_fingerprints(docs: DataFrame, size: int, words: int) -> DataFrame:
             lists = pa.ListArray.from_arrays(np.arange(0, prints.size + 1, words, np.int32), pa.array(prints.reshape(-1)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists], names=["doc_id", "print"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.mapInArrow(run, "doc_id long, print array<long>")
+    return texts(docs).mapInArrow(run, "doc_id long, print array<long>")
 
 
 def near_groups(docs: DataFrame, size: int = SHINGLE_WORDS, distance: int = DISTANCE, words: int = 1, ranges: int = DISTANCE + 1, split: int = hamming.SPLIT) -> DataFrame:

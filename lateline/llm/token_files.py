@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lateline.llm.common import as_bytes, slices
+from lateline.llm.common import as_bytes, slices, texts
 from lateline.llm.tokens import default_path, text_ids
 
 END_ID = 2
@@ -75,18 +75,17 @@ def write(docs: DataFrame, folder: str, path: str | None = None, end_id: int = E
     other. Rows without a doc_id come first, in shards of their own. An empty table gives files without
     blocks.
     """
-    spark, path = docs.sparkSession, path or default_path()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    spark, path, selected = docs.sparkSession, path or default_path(), texts(docs)
     width = 2 if max(text_ids(path).tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
-    dictionary = sample_dictionary(texts, path, width)
+    dictionary = sample_dictionary(selected, path, width)
     digest = hashlib.sha256(dictionary).hexdigest()
     head = spark.createDataFrame([(dictionary, digest, width)], "dictionary binary, dictionary_sha256 string, id_bytes int")
     head.coalesce(1).write.parquet(f"{folder}/dictionary")
 
-    counts = texts.agg(F.count("doc_id").alias("named"), F.count(F.lit(1)).alias("all")).first()
+    counts = selected.agg(F.count("doc_id").alias("named"), F.count(F.lit(1)).alias("all")).first()
     shards, nameless = (max(1, math.ceil(n / shard_rows)) for n in (counts["named"], counts["all"] - counts["named"]))
     cuts = [i / shards for i in range(1, shards)]
-    bounds = sorted(set(texts.approxQuantile("doc_id", cuts, min(0.01, 0.1 / shards)))) if cuts and counts["named"] else []
+    bounds = sorted(set(selected.approxQuantile("doc_id", cuts, min(0.01, 0.1 / shards)))) if cuts and counts["named"] else []
     end = np.array([end_id], "<u4").tobytes()
 
     def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,7 +119,7 @@ def write(docs: DataFrame, folder: str, path: str | None = None, end_id: int = E
         if rows:
             yield made()
 
-    framed = texts.mapInArrow(compress, "shard int, doc_id long, n long, crc long, frame binary")
+    framed = selected.mapInArrow(compress, "shard int, doc_id long, n long, crc long, frame binary")
     dealt = framed.repartitionById(nameless + len(bounds) + 1, F.col("shard")).sortWithinPartitions("shard", "doc_id", "n", "crc")
     dealt.mapInArrow(gather, BLOCK_SQL).write.parquet(f"{folder}/blocks")
 
