@@ -93,6 +93,14 @@ def unpacked_ascending(blob: bytes, kind: type) -> np.ndarray:
     return np.cumsum(unpacked(blob, kind), dtype=kind)
 
 
+def by_shard(shard: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
+    """The places of each shard that has some, ascending."""
+    order = np.argsort(shard, kind="stable")
+    cuts = np.searchsorted(shard[order], np.arange(shards + 1).astype(shard.dtype))
+    for i in np.flatnonzero(np.diff(cuts)):
+        yield int(i), order[cuts[i] : cuts[i + 1]]
+
+
 #: Rows of a table of parameters that may be broadcast; a longer one is joined by a shuffle.
 BROADCAST_ROWS = 50_000
 

@@ -7,7 +7,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lateline.llm import exact, licenses, mixing, neighbours, packing, preferences, simhash, substrings, token_files
+from lateline.llm import exact, licenses, mixing, neighbours, packing, preferences, quality, simhash, substrings, token_files
 from lateline.llm.common import read
 from lateline.sources.staging import shared_folder
 
@@ -29,6 +29,10 @@ def op4_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact.exact_dedup(read(spark, sf, "documents"))
 
 
+def op5_quality_model(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.classify(read(spark, sf, "documents"), read(spark, sf, "labels"))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(read(spark, sf, "documents"))
 
@@ -56,6 +60,7 @@ QUERIES = {
     "op2_simhash_groups": op2_simhash_groups,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_quality_model": op5_quality_model,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_token_files": op7_token_files,
     "op8_license_scan": op8_license_scan,

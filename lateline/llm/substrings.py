@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lateline.llm.common import as_bytes, packed, packed_ascending, slices, tasks, texts, unpacked, unpacked_ascending
+from lateline.llm.common import as_bytes, by_shard, packed, packed_ascending, slices, tasks, texts, unpacked, unpacked_ascending
 from lateline.sources.staging import shared_folder, stage
 
 WINDOW, BLOCK = 20, 10
@@ -192,11 +192,11 @@ def _candidates(block: int, window: int, shards: int):
         ids = np.array([MAXIMUM if d is None else d for d in unit.doc_ids], np.int64)
         own = np.repeat(np.arange(len(ids)), unit.counts)
         shard = first % np.uint64(shards)
-        rows = []
-        for s in range(shards):
-            lead, again = (x[shard[x] == s] for x in (leads, repeats))
-            if len(lead):
-                rows.append((s, key[0].as_py(), packed(first[lead]), packed(second[lead]), packed(ids[own[whole[lead]]]), packed_ascending(whole[lead].astype(np.uint32)), packed_ascending(whole[again].astype(np.uint32))))
+        again = dict(by_shard(shard[repeats], shards))
+        rows, nothing = [], np.zeros(0, np.int64)
+        for s, places in by_shard(shard[leads], shards):  # a repeat's shard has its first place too
+            lead, more = leads[places], repeats[again.get(s, nothing)]
+            rows.append((s, key[0].as_py(), packed(first[lead]), packed(second[lead]), packed(ids[own[whole[lead]]]), packed_ascending(whole[lead].astype(np.uint32)), packed_ascending(whole[more].astype(np.uint32))))
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows), empty.schema)], names=names) if rows else empty
 
     return run
