@@ -49,7 +49,7 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def vocabulary(docs: DataFrame, most: int = VOCABULARY) -> list[bytes]:
-    """The most frequent words, at most ``most``; ties in the order of bytes."""
+    """The most frequent words, at most ``most``: all above a count, so that of equally frequent ones all or none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[bytes] = Counter()
@@ -67,7 +67,15 @@ def vocabulary(docs: DataFrame, most: int = VOCABULARY) -> list[bytes]:
             yield made()
 
     counted = _texts(docs).select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [bytes(r["word"]) for r in counted.orderBy(F.desc("n"), "word").limit(most).collect()]
+    counted = stage(counted, "word-counts")
+    # There are at most as many counts above the least one of the vocabulary as it has words.
+    frequent, least = 0, 1
+    for row in counted.groupBy("n").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("n")).limit(most + 1).collect():
+        frequent += row["words"]
+        if frequent > most:
+            least = row["n"] + 1
+            break
+    return sorted(bytes(r["word"]) for r in counted.where(F.col("n") >= least).select("word").collect())
 
 
 def _units(docs: DataFrame, words: list[bytes], unit_bytes: int) -> DataFrame:
