@@ -30,7 +30,7 @@ DICTIONARY_BYTES = 32_768
 #: The dictionary is trained on at most so many documents, of at most so many characters each.
 SAMPLE_ROWS, SAMPLE_CHARACTERS = 1_000, 20_000
 #: Documents of a shard, and bytes of a block.
-SHARD_ROWS, BLOCK_BYTES = 20_000, 4_000_000
+SHARD_ROWS, BLOCK_BYTES = 10_000, 2_000_000
 
 
 def _narrow(ids: bytes, width: int) -> bytes:
@@ -58,7 +58,9 @@ def _codec(dictionary: bytes) -> tuple[zstandard.ZstdCompressor, zstandard.ZstdD
 def sample_dictionary(docs: DataFrame, path: str, width: int) -> bytes:
     """Trained on serialised ids of the documents whose id hashes least."""
     short = docs.where(F.length("text") <= SAMPLE_CHARACTERS)
-    rows = short.select("text", F.xxhash64("doc_id").alias("h")).orderBy("h", "text").limit(SAMPLE_ROWS).collect()
+    ids = short.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_ROWS)
+    chosen = short.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))  # SAMPLE_ROWS ids
+    rows = sorted(chosen.collect())
     return train_dictionary([_narrow(x, width) for x in text_ids(path).ids([r["text"].encode() for r in rows])])
 
 

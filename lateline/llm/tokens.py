@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from functools import cache
 
 import numpy as np
@@ -17,7 +18,10 @@ from tokenizers import Tokenizer
 
 #: The one use of white space that the memory of words relies on: it is dropped.
 DROPPED_SPACE = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
-REMEMBERED = 250_000
+REMEMBERED = 200_000
+#: Letters (a-z and those of Latin-1, which have no parts to combine) and then signs other than the
+#: apostrophe: two runs that the pattern takes apart whatever they are.
+LETTERS_SIGNS = re.compile(rb"((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]+)")
 SEPARATOR = "0"
 
 
@@ -47,7 +51,27 @@ class TextIds:
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
     def _learn(self, words: list[bytes]) -> None:
-        """Ids of new words, from texts of many words with the separator between them."""
+        """Ids of new words; of letters and signs together from those of both."""
+        split = {w: m.groups() for w in words if (m := LETTERS_SIGNS.fullmatch(w)) and b"<|" not in w}
+        parts = [w for w in words if w not in split]
+        self._encode(parts)
+        self._encode(self._missing({p for pair in split.values() for p in pair}))
+        for word, (letters, signs) in split.items():
+            self.new[word] = self.new[letters] + self.new[signs]
+
+    def _missing(self, words: set[bytes]) -> list[bytes]:
+        """Those that are not known; what is known from before is made recent."""
+        missing = []
+        for word in words:
+            if word not in self.new:
+                if word in self.old:
+                    self.new[word] = self.old[word]
+                else:
+                    missing.append(word)
+        return missing
+
+    def _encode(self, words: list[bytes]) -> None:
+        """Ids of words, from texts of many words with the separator between them."""
         plain = [w for w in words if b"0" not in w] if self.separator is not None else []
         known = set(plain)
         single = [w for w in words if w not in known]
@@ -55,8 +79,8 @@ class TextIds:
             self.new[word] = ids
         between = f" {SEPARATOR} "
         groups = [plain[i : i + 100] for i in range(0, len(plain), 100)]
-        texts = [between.join(w.decode() for w in group) for group in groups]
-        for group, found in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+        joined = [between.join(w.decode() for w in group) for group in groups]
+        for group, found in zip(groups, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
             ids = np.array(found.ids, "<u4")
             parts = np.split(ids, np.flatnonzero(ids == self.separator))
             for i, (word, part) in enumerate(zip(group, parts)):
@@ -68,15 +92,7 @@ class TextIds:
         split = [folded(t).split() for t in texts]
         if len(self.new) > REMEMBERED:
             self.new, self.old = {}, self.new
-        wanted = {w for words in split for w in words}
-        missing = []
-        for word in wanted:
-            if word not in self.new:
-                if word in self.old:
-                    self.new[word] = self.old[word]
-                else:
-                    missing.append(word)
-        self._learn(missing)
+        self._learn(self._missing({w for words in split for w in words}))
         get = self.new.__getitem__
         return [b"".join(map(get, words)) for words in split]
 
