@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,9 +24,6 @@ from lateline.sources.staging import stage
 MONEY = "decimal(18,4)"
 ROUNDED = {"average_profit_margin": 4}
 
-# A small forest for the checks; the library's own default is larger.
-CHECK_TREES, CHECK_DEPTH = 20, 10
-
 
 def rounded(table: DataFrame, places: dict[str, int] = ROUNDED) -> DataFrame:
     return table.withColumns({c: F.round(c, n) for c, n in places.items() if c in table.columns})
@@ -45,9 +42,9 @@ def all_gold_groups(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def clustered_gold_groups(spark: SparkSession, sf: str) -> DataFrame:
-    """The same from lines stored by order, with orders of many lines taken apart."""
+    """The same from stored lines, in another number of buckets."""
     lines = stage(clean_lines(spark, sf), "clean-lines")
-    return rounded(gold.gold_groups(lines, MONEY, buckets=8, hot_lines=8))
+    return rounded(gold.gold_groups(lines, MONEY, buckets=3))
 
 
 def gold_key_violations(spark: SparkSession, sf: str) -> DataFrame:
@@ -220,31 +217,29 @@ def ml_onehot_levels(spark: SparkSession, sf: str) -> DataFrame:
     return prepare.onehot_levels(prepare.fit_preparation(model_data(spark, sf)), spark)
 
 
-def check_estimators() -> M.Estimators:
-    return {
-        M.LOGISTIC_REGRESSION: lambda rows: M.logistic_regression(rows),
-        M.RANDOM_FOREST: lambda rows: M.random_forest(CHECK_TREES, CHECK_DEPTH),
-    }
+@cache
+def _training(application: str, sf: str) -> tuple[M.Training, DataFrame]:
+    """The default models on the exact split, fitted once for each application and input."""
+    data = model_data(SparkSession.active(), sf)
+    return M.train_and_compare(*S.exact_split(data)), data
+
+
+def training(spark: SparkSession, sf: str) -> tuple[M.Training, DataFrame]:
+    return _training(spark.sparkContext.applicationId, sf)
 
 
 def ml_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    data = model_data(spark, sf)
-    training = M.train_and_compare(*S.exact_split(data), check_estimators())
-    return evaluation.model_comparison(spark, training.metrics)
+    return evaluation.model_comparison(spark, training(spark, sf)[0].metrics)
 
 
 def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
-    data = model_data(spark, sf)
-    forest = {M.RANDOM_FOREST: check_estimators()[M.RANDOM_FOREST]}
-    models, names = M.fit_models(S.hash_split(data)[0], forest)
-    return M.feature_importance(spark, models[M.RANDOM_FOREST], names)
+    trained, _ = training(spark, sf)
+    return M.feature_importance(spark, trained.models[trained.best], trained.names)
 
 
 def late_risk_scores(spark: SparkSession, sf: str) -> DataFrame:
-    data = model_data(spark, sf)
-    regression = {M.LOGISTIC_REGRESSION: check_estimators()[M.LOGISTIC_REGRESSION]}
-    models, _ = M.fit_models(S.hash_split(data)[0], regression)
-    scored = advise(score(models[M.LOGISTIC_REGRESSION], data))
+    trained, data = training(spark, sf)
+    scored = advise(score(trained.models[trained.best], data))
     return scored.select("order_id", "prediction", "late_probability", "title", "level", "advice", "probability_text")
 
 

@@ -34,7 +34,7 @@ def arguments() -> argparse.ArgumentParser:
     clean.add_argument("--relative-error", type=float, default=SALES_QUANTILE_ERROR, help="0 for exact thresholds")
     gold = job("gold", "build the gold tables", "clean table", "folder of gold tables")
     gold.add_argument("--sum-type", default="double", help="type sums are taken in")
-    gold.add_argument("--buckets", type=int, help="store the lines by order first, in so many buckets: for large tables")
+    gold.add_argument("--buckets", type=int, help="buckets of the lines stored by order; by default as many as a shuffle has partitions")
     gold.add_argument("--jdbc-url", help="database to publish to; user and password come from DB_USER, DB_PASSWORD")
     gold.add_argument("--jdbc-schema", default="dashboard")
     train = job("train", "fit and compare the classifiers", "clean table", "folder for model and figures")

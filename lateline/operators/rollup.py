@@ -19,10 +19,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lateline.functions.columns import percentage
-from lateline.sources.staging import stage, stage_bucketed
+from lateline.sources.staging import stage_bucketed
 
 ORDER = "order_id"
-HOT_LINES = 1_000_000
+HOME = "__home"
 
 # Which totals, beside the number of orders, each figure is made of.
 TOTALS = {
@@ -147,50 +147,21 @@ def all_keys(key_sets: KeySets) -> list[str]:
     return list(dict.fromkeys(key for names in key_sets.values() for key in names))
 
 
-def _expanded_totals(lines: DataFrame, key_sets: KeySets, measures: list[str], sum_type: str) -> DataFrame:
-    """Totals of all key sets from one scan; every line is expanded once per key set."""
-    keys = all_keys(key_sets)
-    sets = [[*names, ORDER] for names in key_sets.values()]
-    orders = lines.groupingSets(sets, *keys, ORDER).agg(
-        F.grouping_id().alias("set_bits"), *_order_columns(measures, sum_type)
-    )
-    # grouping_id has one bit per column, 1 where the column is not part of the set.
-    bits = {
-        name: sum(1 << (len(keys) - i) for i, key in enumerate(keys) if key not in names)
-        for name, names in key_sets.items()
-    }
-    name_of_set = reduce(
-        lambda chain, item: chain.when(F.col("set_bits") == item[1], F.lit(item[0])),
-        bits.items(),
-        F.when(F.lit(False), F.lit("")),
-    )
-    totals = orders.groupBy("set_bits", *keys).agg(*_group_columns(measures))
-    return totals.withColumn("key_set", name_of_set).drop("set_bits")
-
-
-def _clustered_totals(
-    lines: DataFrame, key_sets: KeySets, measures: list[str], sum_type: str, buckets: int
-) -> DataFrame:
-    """Totals of all key sets from lines stored by order: each set shuffles only its groups."""
-    needed = _needed(measures)
-    keys = all_keys(key_sets)
-    columns = dict.fromkeys([ORDER, *keys, *[SOURCES[name.partition("_")[0]] for name in needed]])
-    stored = stage_bucketed(lines.select(*columns), "lines-by-order", ORDER, buckets)
-
-    def of_set(name: str, names: list[str]) -> DataFrame:
-        key_columns = [
-            F.col(key) if key in names else F.lit(None).cast(stored.schema[key].dataType).alias(key) for key in keys
-        ]
-        totals = group_totals(stored, names, measures, sum_type)
-        return totals.select(F.lit(name).alias("key_set"), *key_columns, *[_total(t) for t in ["orders", *needed]])
+def _merged(name: str) -> Column:
+    """One total over rows that hold parts of it."""
+    return (F.max if name in FLAGS else F.sum)(_total(name)).alias(f"__{name}")
 
-    return reduce(DataFrame.unionByName, [of_set(name, names) for name, names in key_sets.items()])
 
+def _stored_orders(lines: DataFrame, keys: list[str], measures: list[str], sum_type: str, buckets: int) -> DataFrame:
+    """Totals per order and combination of all keys, stored by order.
 
-def hot_orders(lines: DataFrame, more_than: int) -> DataFrame:
-    """Order ids, the absent one included, with many lines: fewer than ``lines / more_than`` of them."""
-    counts = lines.groupBy(F.col(ORDER).alias("hot_order")).agg(F.count(F.lit(1)).alias("lines"))
-    return counts.where(F.col("lines") > more_than).select("hot_order")
+    Lines of one order and combination are added up before they are shuffled, so an order with a large
+    share of all lines leaves only its combinations. Rows without an order id count as no order and need
+    not meet: they are spread by their keys.
+    """
+    orders = lines.groupBy(ORDER, *keys).agg(*_order_columns(measures, sum_type))
+    home = F.when(F.col(ORDER).isNotNull(), F.xxhash64(ORDER)).otherwise(F.xxhash64(*keys))
+    return stage_bucketed(orders.withColumn(HOME, home), "orders", HOME, buckets)
 
 
 def roll_up_sets(
@@ -199,28 +170,24 @@ def roll_up_sets(
     measures: list[str],
     sum_type: str = "double",
     buckets: int | None = None,
-    hot_lines: int = HOT_LINES,
 ) -> DataFrame:
     """Figures for several key sets, in a column ``key_set`` beside all keys.
 
-    Without ``buckets`` every line is expanded once per key set, in memory: one scan, but as many
-    rows per order to shuffle as there are key sets. With ``buckets``, for large tables, the used
-    columns are stored by order once, and no key set shuffles lines again. Orders of more than
-    ``hot_lines`` lines would fill a bucket; their lines go the first way, where they are combined
-    map-side, and the totals of both parts are added up.
+    The lines are shuffled once, as totals per order and combination of keys, into ``buckets`` (by
+    default as many as a shuffle has partitions). Each key set then shuffles its groups only.
     """
-    if buckets is None:
-        totals = _expanded_totals(lines, key_sets, measures, sum_type)
-    else:
-        hot = stage(hot_orders(lines, hot_lines), "hot-orders")
-        if hot.isEmpty():
-            totals = _clustered_totals(lines, key_sets, measures, sum_type, buckets)
-        else:
-            is_hot = F.col(ORDER).eqNullSafe(F.col("hot_order"))
-            parts = [
-                _clustered_totals(lines.join(hot, is_hot, "left_anti"), key_sets, measures, sum_type, buckets),
-                _expanded_totals(lines.join(hot, is_hot, "left_semi"), key_sets, measures, sum_type),
-            ]
-            added = [F.sum(_total(t)).alias(f"__{t}") for t in ["orders", *_needed(measures)]]
-            totals = reduce(DataFrame.unionByName, parts).groupBy("key_set", *all_keys(key_sets)).agg(*added)
-    return _figures(totals, ["key_set", *all_keys(key_sets)], measures)
+    buckets = buckets or int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys, needed = all_keys(key_sets), _needed(measures)
+    stored = _stored_orders(lines, keys, measures, sum_type, buckets)
+
+    def of_set(name: str, names: list[str]) -> DataFrame:
+        orders = stored.groupBy(*names, ORDER, HOME).agg(*[_merged(t) for t in needed or ["lines"]])
+        groups = orders.groupBy(*names) if names else orders
+        totals = groups.agg(*_group_columns(measures))
+        key_columns = [
+            F.col(key) if key in names else F.lit(None).cast(stored.schema[key].dataType).alias(key) for key in keys
+        ]
+        return totals.select(F.lit(name).alias("key_set"), *key_columns, *[_total(t) for t in ["orders", *needed]])
+
+    totals = reduce(DataFrame.unionByName, [of_set(name, names) for name, names in key_sets.items()])
+    return _figures(totals, ["key_set", *keys], measures)

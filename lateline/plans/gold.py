@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lateline.operators.rollup import HOT_LINES, MEASURES, roll_up, roll_up_sets
+from lateline.operators.rollup import MEASURES, roll_up, roll_up_sets
 from lateline.schema import (
     CATEGORY_ROWS,
     COUNTRY_ROWS,
@@ -155,11 +155,9 @@ def _set_name(keys: list[str]) -> str:
 KEY_SETS = {_set_name(table.keys): table.keys for table in TABLES.values()}
 
 
-def gold_groups(
-    lines: DataFrame, sum_type: str = "double", buckets: int | None = None, hot_lines: int = HOT_LINES
-) -> DataFrame:
+def gold_groups(lines: DataFrame, sum_type: str = "double", buckets: int | None = None) -> DataFrame:
     """Every group of every gold key with all figures; ``buckets`` as in ``roll_up_sets``."""
-    return roll_up_sets(lines, KEY_SETS, MEASURES, sum_type, buckets, hot_lines)
+    return roll_up_sets(lines, KEY_SETS, MEASURES, sum_type, buckets)
 
 
 def gold_table_from_groups(groups: DataFrame, name: str) -> DataFrame:

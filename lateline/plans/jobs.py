@@ -144,7 +144,7 @@ def gold_job(
     publish: Callable[[DataFrame, str], None] | None = None,
     report_path: str | None = None,
 ) -> dict:
-    """All gold tables from one pass over the clean table; for large ones give ``buckets``.
+    """All gold tables from one pass over the clean table; ``buckets`` as in ``roll_up_sets``.
 
     ``publish(table, name)`` gets every written table, for a relational sink or a catalog.
     """
