@@ -2,8 +2,35 @@
 
 from __future__ import annotations
 
-from lateline.functions import display as D
-from lateline.plans.views import FIXED_OPTIONS
+# ---------------------------------------------------------------------------
+# Texts and options that the views must show, written out here again.
+# ---------------------------------------------------------------------------
+
+HIGH_RISK_ADVICE = (
+    "This shipping mode has very high late delivery risk. It should be reviewed immediately and"
+    " avoided for sensitive orders unless the process is improved."
+)
+MEDIUM_RISK_ADVICE = (
+    "This shipping mode has medium-to-high delivery risk. It should be monitored carefully and "
+    "compared with safer alternatives."
+)
+LOW_RISK_ADVICE = (
+    "This shipping mode has relatively lower delivery risk and can be used under regular "
+    "monitoring."
+)
+MARKET_ADVICE = (
+    "Recommended decision: review logistics planning, supplier coordination, and shipping "
+    "performance in this market, especially if it also has high order volume."
+)
+FIXED_OPTIONS = {
+    "type": ["DEBIT", "TRANSFER", "CASH", "PAYMENT"],
+    "customer_segment": ["Consumer", "Corporate", "Home Office"],
+    "department_name": ["Fitness", "Fan Shop", "Apparel", "Golf", "Footwear", "Outdoors", "Technology"],
+    "order_country": ["United States", "India", "Australia", "Indonesia", "Mexico", "France", "Germany", "Brazil"],
+    "order_state": ["California", "New York", "Texas", "Queensland", "Java Occidental", "Rajastán", "England", "Ile-de-France"],
+}
+
+# ---------------------------------------------------------------------------
 
 # --- order lines ---------------------------------------------------------------------------
 
@@ -364,12 +391,12 @@ ORACLE = {
         "late_by_shipping_mode",
         "select shipping_mode, late_delivery_rate, total_orders, late_orders, "
         f"{_tier('danger', 'warning', 'success')} as level, "
-        f"{_tier(D.HIGH_RISK_ADVICE, D.MEDIUM_RISK_ADVICE, D.LOW_RISK_ADVICE)} as decision from g",
+        f"{_tier(HIGH_RISK_ADVICE, MEDIUM_RISK_ADVICE, LOW_RISK_ADVICE)} as decision from g",
     ),
     "market_decisions": view(
         "late_by_market",
         f"select market, late_delivery_rate, total_orders, late_orders, 'info' as level, "
-        f"{_text(D.MARKET_ADVICE)} as decision from g",
+        f"{_text(MARKET_ADVICE)} as decision from g",
     ),
     "kpi_display": view(
         "executive_kpis",

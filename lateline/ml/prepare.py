@@ -30,7 +30,7 @@ def learn_scales(train: DataFrame, features: list[str] = NUMERIC_FEATURES) -> li
     medians = exact_medians(train, features)
     if empty := [name for name, median in medians.items() if median is None]:
         raise ValueError(f"no values to learn from: {', '.join(empty)}")
-    imputed = {name: F.coalesce(F.col(name).cast("double"), F.lit(medians[name])) for name in features}
+    imputed = {name: F.expr(_imputed_sql(name, medians[name])) for name in features}
     row = train.agg(
         *[F.avg(value).alias(f"{name}_mean") for name, value in imputed.items()],
         *[F.stddev_pop(value).alias(f"{name}_sd") for name, value in imputed.items()],
@@ -38,10 +38,20 @@ def learn_scales(train: DataFrame, features: list[str] = NUMERIC_FEATURES) -> li
     return [NumberScale(name, medians[name], row[f"{name}_mean"], row[f"{name}_sd"] or 1.0) for name in features]
 
 
+def _double_sql(value: float) -> str:
+    """A literal that can hold every double."""
+    return f"cast('{value!r}' as double)"
+
+
+def _imputed_sql(feature: str, median: float) -> str:
+    """The number, or the median where it is missing, NaN or infinite; learned from and applied alike."""
+    value = f"cast(`{feature}` as double)"
+    return f"if(abs({value}) < double('Infinity'), {value}, {_double_sql(median)})"
+
+
 def _number_sql(scale: NumberScale) -> str:
-    median, mean, deviation = (f"({value!r}D)" for value in (scale.median, scale.mean, scale.deviation))
-    imputed = f"coalesce(nanvl(cast(`{scale.feature}` as double), cast(null as double)), {median})"
-    return f"({imputed} - {mean}) / {deviation} as `num__{scale.feature}`"
+    imputed = _imputed_sql(scale.feature, scale.median)
+    return f"({imputed} - {_double_sql(scale.mean)}) / {_double_sql(scale.deviation)} as `num__{scale.feature}`"
 
 
 def _text_sql(feature: str) -> str:

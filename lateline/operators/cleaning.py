@@ -24,11 +24,19 @@ class PrivacyResult:
 
 
 def drop_personal(raw: DataFrame) -> PrivacyResult:
-    """Remove the personal columns; names are compared without case and outer blanks."""
-    present = {name.strip().lower(): name for name in raw.columns}
-    dropped = [present[name.lower()] for name in PERSONAL_COLUMNS if name.lower() in present]
+    """Remove the personal columns; names are compared without case and outer blanks.
+
+    All columns of such a name go, also if several differ only in case and blanks.
+    """
+    personal = {name.lower() for name in PERSONAL_COLUMNS}
+    dropped = [name for name in raw.columns if name.strip().lower() in personal]
+    present = {name.strip().lower() for name in dropped}
     missing = [name for name in PERSONAL_COLUMNS if name.lower() not in present]
-    return PrivacyResult(raw.drop(*dropped), dropped, missing)
+    left = [i for i, name in enumerate(raw.columns) if name not in set(dropped)]
+    # By place, as names that differ only in case are ambiguous.
+    placed = raw.toDF(*[f"c{i}" for i in range(len(raw.columns))])
+    table = placed.select(*[F.col(f"c{i}").alias(raw.columns[i]) for i in left])
+    return PrivacyResult(table, dropped, missing)
 
 
 def rename(raw: DataFrame) -> tuple[DataFrame, dict[str, str]]:

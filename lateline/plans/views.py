@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lateline.functions import display as D
@@ -85,7 +85,7 @@ def top_risky_products(products: DataFrame, rows: int = TOP_ROWS) -> DataFrame:
 def market_order_share(late_by_market: DataFrame) -> DataFrame:
     """Orders per market and their percentage of the sum over markets."""
     orders = F.col("total_orders")
-    whole = late_by_market.select(F.sum(orders)).scalar()
+    whole = F.sum(orders).over(Window.partitionBy())  # over the few market rows
     return late_by_market.select("market", "total_orders", (orders / whole * 100).alias("order_share"))
 
 

@@ -25,6 +25,13 @@ def raw(spark):
     return spark.createDataFrame(ROWS, RAW)
 
 
+def test_drop_all_columns_of_a_personal_name(spark):
+    table = spark.createDataFrame([("a", "b", "c", "d")], "`Customer Email` string, `CUSTOMER EMAIL ` string, Sales string, sales string")
+    result = cleaning.drop_personal(table)
+    assert result.dropped == ["Customer Email", "CUSTOMER EMAIL "] and "Customer Email" not in result.missing
+    assert result.table.columns == ["Sales", "sales"] and tuple(result.table.first()) == ("c", "d")
+
+
 def test_drop_personal(spark):
     result = cleaning.drop_personal(raw(spark))
     assert result.dropped == ["Customer Email", " customer password "]

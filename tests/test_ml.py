@@ -198,3 +198,11 @@ def test_training_job(spark, data, tmp_path):
     held_out = files.read_table(spark, str(tmp_path / "reports")).first()["rows_after"]
     assert table["confusion_matrix"].groupBy("model").agg(F.sum("rows")).first()[1] == held_out
     assert scoring.load_model(f"{out}/model").transform(data).count() == data.count()
+
+
+def test_missing_nan_and_infinite_numbers_are_imputed(spark):
+    values = [1.0, 2.0, float("nan"), None, float("inf"), 3.0]
+    table = spark.createDataFrame([(v,) for v in values], "x double")
+    [scale] = prepare.learn_scales(table, ["x"])
+    scaled = [r[0] for r in prepare.cleaning_stage([scale], []).transform(table).select("num__x").collect()]
+    assert all(abs(v) < 10 for v in scaled) and abs(sum(scaled)) < 1e-9
