@@ -24,7 +24,7 @@ from lateline.sources.staging import stage
 MOST_COPIES = 3
 WEIGHTS = (1, 2, 3)
 #: Documents that are rounded together.
-BLOCK_ROWS = 20_000
+BLOCK_ROWS = 4_000
 NEWTON_STEPS = 60
 
 
