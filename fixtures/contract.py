@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from functools import cache, reduce
+from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fixtures.orders_wide import clean_lines, order_lines, read
@@ -12,12 +13,13 @@ from fixtures.raw_orders import raw_orders, raw_orders_twice, twice_delivered
 from lateline.ml import evaluation, prepare
 from lateline.ml import split as S
 from lateline.ml import train as M
-from lateline.ml.scoring import advise, score
+from lateline.ml.scoring import advise, load_model, save_model, score
 from lateline.operators import cleaning, features, quality
-from lateline.plans import gold, views
+from lateline.plans import gold, jobs, views
 from lateline.plans.clean import clean_orders, sales_thresholds
-from lateline.schema import NULL_CHECKED_COLUMNS, NUMERIC_FEATURES, TARGET
-from lateline.sources.staging import stage
+from lateline.schema import NULL_CHECKED_COLUMNS, NUMERIC_FEATURES, RAW_ENCODING, TARGET
+from lateline.sources.files import read_table, write_table
+from lateline.sources.staging import shared_folder, stage
 
 # Sums of values with at most four decimals are compared exactly. Means of margins are compared
 # after rounding: their last digits depend on the order of addition in either engine.
@@ -61,7 +63,8 @@ def gold_key_violations(spark: SparkSession, sf: str) -> DataFrame:
 
 def ingest_profile(spark: SparkSession, sf: str) -> DataFrame:
     names = ["lineitem", "orders", "customer", "part", "nation", "region"]
-    return reduce(DataFrame.unionByName, [quality.profile(read(spark, sf, name), name) for name in names])
+    stored = {name: read_table(spark, f"{sf}/{name}.parquet") for name in names}  # with the files' own schemas
+    return reduce(DataFrame.unionByName, [quality.profile(table, name) for name, table in stored.items()])
 
 
 def privacy_drop(spark: SparkSession, sf: str) -> DataFrame:
@@ -116,9 +119,60 @@ def null_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def clean_orders_table(spark: SparkSession, sf: str) -> DataFrame:
-    table = clean_orders(raw_orders_twice(spark, sf), relative_error=0).table
+    return comparable(clean_orders(raw_orders_twice(spark, sf), relative_error=0).table)
+
+
+def comparable(clean: DataFrame) -> DataFrame:
     dates = {name: F.col(name).cast("timestamp_ntz") for name in ["order_date", "shipping_date"]}
-    return rounded(table.withColumns(dates), {"profit_margin": 6})
+    return rounded(clean.withColumns(dates), {"profit_margin": 6})
+
+
+# --- jobs ----------------------------------------------------------------------------------
+
+
+def _jobs_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/jobs-{uuid4().hex}"
+
+
+@cache
+def _clean_jobs(application: str, sf: str) -> str:
+    """The folder of the jobs from a raw file to the clean table, run once for each application and input."""
+    spark = SparkSession.active()
+    folder = _jobs_folder(spark)
+    # A text that only the raw file's own encoding reads right; outer blanks are kept.
+    raw = raw_orders_twice(spark, sf).withColumn("Order State", F.concat("Order State", F.lit("\u00e9")))
+    blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    raw.write.options(header=True, encoding=RAW_ENCODING, **blanks).csv(f"{folder}/raw")
+    log = {"report_path": f"{folder}/reports"}
+    jobs.ingest_job(spark, folder, f"{folder}/landed", file=f"{folder}/raw", **log)
+    jobs.privacy_job(spark, f"{folder}/landed", f"{folder}/safe", **log)
+    jobs.clean_job(spark, f"{folder}/safe", f"{folder}/clean", relative_error=0, **log)
+    return folder
+
+
+def job_clean_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """The clean table that the jobs store, from a raw file."""
+    return comparable(read_table(spark, f"{_clean_jobs(spark.sparkContext.applicationId, sf)}/clean"))
+
+
+def job_reports(spark: SparkSession, sf: str) -> DataFrame:
+    reports = read_table(spark, f"{_clean_jobs(spark.sparkContext.applicationId, sf)}/reports")
+    sizes = ["rows_before", "rows_after", "column_count_before", "column_count_after"]
+    return reports.select("job", "status", *sizes, F.get_json_object("details", "$.encoding").alias("encoding"))
+
+
+@cache
+def _gold_job(application: str, sf: str) -> str:
+    """The folder of the gold tables that the job stores, run once for each application and input."""
+    spark = SparkSession.active()
+    folder = _jobs_folder(spark)
+    write_table(clean_lines(spark, sf), f"{folder}/clean")
+    jobs.gold_job(spark, f"{folder}/clean", f"{folder}/gold", MONEY)
+    return f"{folder}/gold"
+
+
+def _stored_gold(name: str):
+    return lambda spark, sf: rounded(read_table(spark, f"{_gold_job(spark.sparkContext.applicationId, sf)}/{name}"))
 
 
 # --- features ------------------------------------------------------------------------------
@@ -154,7 +208,8 @@ def sales_level(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def prediction_options(spark: SparkSession, sf: str) -> DataFrame:
-    return views.prediction_options(views.column_options(order_lines(spark, sf), list(views.GOLD_OPTIONS)))
+    lines = clean_lines(spark, sf)
+    return views.prediction_options(views.gold_options({t: gold.gold_table(lines, t) for t in views.GOLD_OPTIONS.values()}))
 
 
 # --- models --------------------------------------------------------------------------------
@@ -243,13 +298,63 @@ def late_risk_scores(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("order_id", "prediction", "late_probability", "title", "level", "advice", "probability_text")
 
 
+def model_test_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Test rows of each model and class, and whether its accuracy is that of its stored scores."""
+    trained, _ = training(spark, sf)
+
+    def rows(name: str, found: M.Evaluation) -> DataFrame:
+        right = found.scored.agg(F.avg((F.col("label") == F.col("prediction")).cast("double"))).first()[0]
+        agrees = abs(right - found.metrics["accuracy"]) < 1e-9
+        counts = found.scored.groupBy("label").agg(F.count(F.lit(1)).alias("rows"))
+        return counts.select(F.lit(name).alias("model"), "label", "rows", F.lit(agrees).alias("accuracy_agrees"))
+
+    return reduce(DataFrame.unionByName, [rows(*item) for item in trained.evaluations.items()])
+
+
+def model_reloaded(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines scored by the best model, and those that its stored copy scores otherwise."""
+    trained, data = training(spark, sf)
+    path = f"{_jobs_folder(spark)}/model"
+    save_model(trained.models[trained.best], path)
+    before = score(trained.models[trained.best], data)
+    before = before.withColumnsRenamed({"prediction": "prediction_before", "late_probability": "probability_before"})
+    # Stored between, as a plan holds the trees of its models.
+    after = score(load_model(path), stage(before, "scored-before"))
+    same = F.col("prediction").eqNullSafe(F.col("prediction_before"))
+    same &= F.col("late_probability").eqNullSafe(F.col("probability_before"))
+    return after.agg(F.count(F.lit(1)).alias("rows"), F.count_if(~same).alias("changed"))
+
+
 def rule_scores(spark: SparkSession, sf: str) -> DataFrame:
     """A score both engines compute alike: tighter schedules and higher sales count as riskier."""
     value = (9 - F.col("days_for_shipment_scheduled")) / F.lit(10.0) + F.col("sales") / F.lit(10000000.0)
-    scored = order_lines(spark, sf).select(F.col(TARGET).alias("label"), value.alias("score"))
+    return _scored_by(order_lines(spark, sf), value)
+
+
+def _scored_by(lines: DataFrame, value: Column) -> DataFrame:
+    scored = lines.select("order_id", F.col(TARGET).alias("label"), value.alias("score"))
     return scored.withColumn("prediction", F.when(F.col("score") >= 0.5, 1).otherwise(0))
 
 
+def score_advice(spark: SparkSession, sf: str) -> DataFrame:
+    scored = rule_scores(spark, sf).withColumnRenamed("score", "late_probability")
+    return advise(scored).select("order_id", "prediction", "title", "level", "advice", "probability_text")
+
+
+def rule_comparison(spark: SparkSession, sf: str) -> DataFrame:
+    """The metrics of two rules, compared like models, and which is the best."""
+    rules = {
+        "schedule": rule_scores(spark, sf),
+        "quantity": _scored_by(order_lines(spark, sf), F.col("order_item_quantity") / F.lit(50.0)),
+    }
+    metrics = {}
+    for name, scored in rules.items():
+        scored = stage(scored, "rule-scores")
+        metrics[name] = evaluation.evaluate(scored, stage(evaluation.score_groups(scored), "score-groups"))
+    best = F.col("model") == evaluation.best_model(metrics)
+    return evaluation.model_comparison(spark, metrics).withColumn("is_best", best)
+
+
 def confusion_matrix(spark: SparkSession, sf: str) -> DataFrame:
     return evaluation.confusion_matrix(rule_scores(spark, sf))
 
@@ -324,6 +429,13 @@ QUERIES = {
     "ml_metrics": ml_metrics,
     "feature_importance": feature_importance,
     "late_risk_scores": late_risk_scores,
+    "model_test_rows": model_test_rows,
+    "model_reloaded": model_reloaded,
+    "score_advice": score_advice,
+    "rule_comparison": rule_comparison,
+    "job_clean_orders": job_clean_orders,
+    "job_reports": job_reports,
+    **{f"job_{name}": _stored_gold(name) for name in gold.TABLES},
     "confusion_matrix": confusion_matrix,
     "classification_report": classification_report,
     "roc_curve": roc_curve,

@@ -22,6 +22,13 @@ MARKET_ADVICE = (
     "Recommended decision: review logistics planning, supplier coordination, and shipping "
     "performance in this market, especially if it also has high order volume."
 )
+LATE_ADVICE = (
+    "Recommended decision: prioritize this order, monitor it closely, or consider switching to a "
+    "safer and faster shipping mode."
+)
+ON_TIME_ADVICE = (
+    "Recommended decision: continue with the regular order workflow while maintaining standard operational monitoring."
+)
 FIXED_OPTIONS = {
     "type": ["DEBIT", "TRANSFER", "CASH", "PAYMENT"],
     "customer_segment": ["Consumer", "Corporate", "Home Office"],
@@ -356,6 +363,35 @@ def _human(column: str) -> str:
       else format('{{:.2f}}', cast({column} as double)) end"""
 
 
+def _half_up(value: str) -> str:
+    """Two decimals, rounded half up on the shortest decimal form."""
+    return f"cast(cast(round(cast(cast({value} as varchar) as decimal(38,18)), 2) as decimal(18,2)) as varchar) || '%'"
+
+
+_RATE_TEXT = f"{_half_up('late_delivery_rate')} as rate_text"
+
+
+def _choice(late: str, on_time: str) -> str:
+    return f"case when prediction = 1 then {_text(late)} else {_text(on_time)} end"
+
+
+_RULES = f"""{WIDE}, scored as (
+  select 0 as place, 'schedule' as model, late_delivery_risk as label,
+    (9 - days_for_shipment_scheduled) / cast(10 as double) + sales / cast(10000000 as double) as score from wide
+  union all select 1, 'quantity', late_delivery_risk, order_item_quantity / cast(50 as double) from wide),
+cells as (
+  select place, model, cast(count(*) as double) as n,
+    cast(count(*) filter (label = 1 and score >= 0.5) as double) as hit,
+    cast(count(*) filter (score >= 0.5) as double) as flagged, cast(sum(label) as double) as late,
+    cast(count(*) filter ((score >= 0.5) = (label = 1)) as double) as agreed
+  from scored group by all),
+by_score as (
+  select model, score, cast(sum(label) as double) as p, cast(sum(1 - label) as double) as q from scored group by all),
+ranked as (select *, coalesce(sum(p) over (
+  partition by model order by score desc rows between unbounded preceding and 1 preceding), 0) as above from by_score),
+areas as (select model, sum(q * (above + p / 2)) / (sum(p) * sum(q)) as area from ranked group by model),
+figures as (select *, 2 * hit / (flagged + late) as f1 from cells join areas using (model))"""
+
 _TABLES = ["lineitem", "orders", "customer", "part", "nation", "region"]
 
 ORACLE = {
@@ -390,12 +426,12 @@ ORACLE = {
     "shipping_mode_decisions": view(
         "late_by_shipping_mode",
         "select shipping_mode, late_delivery_rate, total_orders, late_orders, "
-        f"{_tier('danger', 'warning', 'success')} as level, "
+        f"{_RATE_TEXT}, {_tier('danger', 'warning', 'success')} as level, "
         f"{_tier(HIGH_RISK_ADVICE, MEDIUM_RISK_ADVICE, LOW_RISK_ADVICE)} as decision from g",
     ),
     "market_decisions": view(
         "late_by_market",
-        f"select market, late_delivery_rate, total_orders, late_orders, 'info' as level, "
+        f"select market, late_delivery_rate, total_orders, late_orders, {_RATE_TEXT}, 'info' as level, "
         f"{_text(MARKET_ADVICE)} as decision from g",
     ),
     "kpi_display": view(
@@ -481,6 +517,16 @@ ORACLE = {
         f"from (select distinct {c} from wide)"
         for c in _LEVELLED
     ),
+    "rule_comparison": f"""with {_RULES} select place, model, round(agreed / n, 4) as accuracy,
+        round(hit / flagged, 4) as precision, round(hit / late, 4) as recall, round(f1, 4) as f1_score,
+        round(area, 4) as roc_auc, f1 = (select max(f1) from figures) as is_best from figures""",
+    "score_advice": f"""with {WIDE}, scored as (select order_id,
+        (9 - days_for_shipment_scheduled) / cast(10 as double) + sales / cast(10000000 as double) as score from wide),
+      predicted as (select *, case when score >= 0.5 then 1 else 0 end as prediction from scored)
+      select order_id, prediction, {_choice("High Late Delivery Risk", "Low Late Delivery Risk")} as title,
+        {_choice("danger", "success")} as level, {_choice(LATE_ADVICE, ON_TIME_ADVICE)} as advice,
+        'Predicted late-risk probability: ' || {_half_up("score * 100")} as probability_text from predicted""",
+    "model_reloaded": f"with {WIDE} select count(*) as rows, cast(0 as bigint) as changed from wide",
     "confusion_matrix": f"with {_SCORED} "
     + _union(
         f"select {a} as actual, {p} as predicted, count(*) filter (label = {a} and prediction = {p}) as rows from predicted"
@@ -500,3 +546,23 @@ ORACLE = {
     "roc_auc": f"with {_ROC} select round(sum(negatives * (cast(tp - positives as double) + positives / 2)) "
     "/ (cast(max(p) as double) * max(n)), 10) as roc_auc from ranked",
 }
+
+_PERSONAL = 9  # personal columns of the raw file
+_KEPT = len(RAW_COLUMNS)
+_DERIVED = 8  # delay, margin, loss, two levels, three parts of a date
+
+ORACLE |= {
+    **{f"job_{name}": gold(name) for name in GOLD if name != "late_by_segment"},
+    "job_clean_orders": "select * replace (order_state || '\u00e9' as order_state) from "
+    f"({ORACLE['clean_orders']})",
+    "job_reports": f"""with {TWICE}, sizes as (
+        select (select count(*) from twice) as before, (select count(*) from single) as after)
+      select 'ingest' as job, 'success' as status, before as rows_before, before as rows_after,
+        {_KEPT + _PERSONAL} as column_count_before, {_KEPT + _PERSONAL} as column_count_after,
+        'ISO-8859-1' as encoding from sizes
+      union all select 'privacy', 'success', before, before, {_KEPT + _PERSONAL}, {_KEPT}, null from sizes
+      union all select 'clean', 'success', before, after, {_KEPT}, {_KEPT + _DERIVED}, null from sizes""",
+    "model_test_rows": f"""select model, late_delivery_risk as label, rows, true as accuracy_agrees
+      from ({ORACLE['ml_split_counts']}) cross join (values ('Logistic Regression'), ('Random Forest')) as m(model)
+      where part = 'test'""",
+}

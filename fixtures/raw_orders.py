@@ -28,6 +28,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         text["late_delivery_risk"].alias("Late_delivery_risk"),
         F.concat(F.lit("  "), "category_name", F.lit(" ")).alias("Category Name"),
         F.concat("customer_segment", F.lit("@example.com")).alias("Customer Email"),
+        F.lit("again@example.com").alias("CUSTOMER EMAIL "),
         F.col("order_country").alias("Customer Fname"),
         F.col("order_state").alias("Customer Lname"),
         F.lit("XXXXXXXXX").alias("Customer Password"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lateline.operators.running import running_totals
+from lateline.operators.running import RANGES, running_totals
 
 CLASSES = [0, 1]
 METRICS = ["accuracy", "precision", "recall", "f1_score", "roc_auc"]
@@ -82,17 +82,18 @@ def score_groups(scored: DataFrame, label: str = "label", score: str = "score")
     )
 
 
-def roc_curve(groups: DataFrame) -> DataFrame:
+def roc_curve(groups: DataFrame, ranges: int = RANGES) -> DataFrame:
     """``(threshold, fpr, tpr)`` at every distinct score, and the origin (no threshold).
 
     Built from ``score_groups``, which it reads more than once. A class without rows has no
-    rate, so its column is null then.
+    rate, so its column is null then. A range of scores is one task's: give more ``ranges`` for very
+    many distinct scores.
     """
     totals = groups.agg(F.sum("positives").alias("all_positives"), F.sum("negatives").alias("all_negatives")).first()
     # Two numbers; nullif leaves a rate of an absent class null.
     positives = F.nullif(F.lit(totals["all_positives"]), F.lit(0))
     negatives = F.nullif(F.lit(totals["all_negatives"]), F.lit(0))
-    points = running_totals(groups, "threshold", ["positives", "negatives"]).select(
+    points = running_totals(groups, "threshold", ["positives", "negatives"], ranges).select(
         "threshold",
         ((F.col("negatives_before") + F.col("negatives")) / negatives).alias("fpr"),
         ((F.col("positives_before") + F.col("positives")) / positives).alias("tpr"),
@@ -101,9 +102,9 @@ def roc_curve(groups: DataFrame) -> DataFrame:
     return points.unionByName(origin)
 
 
-def roc_auc(groups: DataFrame) -> DataFrame:
+def roc_auc(groups: DataFrame, ranges: int = RANGES) -> DataFrame:
     """Area under the ROC curve in one row: the share of pairs ranked right, ties half; null without both classes."""
-    ranked = running_totals(groups, "threshold", ["positives"])
+    ranked = running_totals(groups, "threshold", ["positives"], ranges)
     right = F.col("negatives") * (F.col("positives_before") + F.col("positives") / 2)
     pairs = F.sum("positives").cast("double") * F.sum("negatives").cast("double")
     return ranked.agg(F.try_divide(F.sum(right), pairs).alias("roc_auc"))

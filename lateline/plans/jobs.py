@@ -1,8 +1,8 @@
 """The batch jobs: ingest, privacy, clean, gold and training.
 
 Each job reads a written table, writes its own, and returns a report. Counts in a report are
-taken from what was written, with reads of no or few columns: they are exact also when tasks
-had to run again, and cost no second run of the job.
+taken from what was written, with reads of no or few columns, or on the way of a write of one stage:
+they are exact also when tasks had to run again, and cost no second run of the job.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from lateline.ml import evaluation, prepare
 from lateline.ml.scoring import save_model
-from lateline.ml.split import SEED, TEST_SHARE, class_distribution, exact_split, hash_split, labelled
+from lateline.ml.split import FEATURES, SEED, TEST_SHARE, class_distribution, exact_split, hash_split, labelled
 from lateline.ml.train import (
     DEFAULT_ESTIMATORS,
     Estimators,
@@ -30,9 +30,18 @@ from lateline.operators.cleaning import drop_personal
 from lateline.operators.quality import null_counts
 from lateline.plans.clean import clean_orders
 from lateline.plans.gold import TABLES, gold_groups, gold_table_from_groups
-from lateline.schema import FEATURE_COLUMNS, SALES_QUANTILE_ERROR
+from lateline.schema import FEATURE_COLUMNS, LEAKAGE_COLUMNS, SALES_QUANTILE_ERROR, TARGET
 from lateline.sources.catalog import check_schema
-from lateline.sources.files import detect_encoding, find_csv, land, named_file, read_order_csv, read_table, write_table
+from lateline.sources.files import (
+    detect_encoding,
+    find_csv,
+    land,
+    named_file,
+    read_order_csv,
+    read_table,
+    write_counted,
+    write_table,
+)
 from lateline.sources.staging import stage
 
 REPORT_SCHEMA = (
@@ -98,8 +107,13 @@ def privacy_job(spark: SparkSession, landing_path: str, output_path: str, report
     report = Report("privacy", landing_path, output_path)
     raw = read_table(spark, landing_path)
     result = drop_personal(raw)
-    write_table(result.table, output_path)
-    report.sizes(raw, read_table(spark, output_path))
+    rows = write_counted(result.table, output_path)  # no row is dropped
+    report.values |= {
+        "rows_before": rows,
+        "rows_after": read_table(spark, output_path).count(),
+        "column_count_before": len(raw.columns),
+        "column_count_after": len(result.table.columns),
+    }
     report.details = {
         "dropped_columns": result.dropped,
         "missing_privacy_columns": result.missing,
@@ -199,7 +213,20 @@ def training_job(
     for name, table in small.items():
         write_table(table, f"{model_path}/{name}", files=1)
     write_table(of_all_models(lambda e: evaluation.roc_curve(e.groups)), f"{model_path}/roc_curve")
-    report.values |= {"rows_before": data.count(), "rows_after": test.count()}
-    report.details = {"best_model": training.best, "metrics_by_model": training.metrics, "test_share": share, "seed": seed}
+    cells = evaluation.confusion_matrix(training.evaluations[training.best].scored).collect()  # four rows
+    rows, test_rows = data.count(), sum(cell["rows"] for cell in cells)
+    report.values |= {"rows_before": rows, "rows_after": test_rows}
+    report.details = {
+        "target": TARGET,
+        "features": FEATURES,
+        "excluded_leakage_columns": [name for name in LEAKAGE_COLUMNS if name in clean.columns],
+        "train_rows": rows - test_rows,
+        "test_rows": test_rows,
+        "test_share": share,
+        "seed": seed,
+        "best_model": training.best,
+        "metrics_by_model": training.metrics,
+        "confusion_matrix": [cell.asDict() for cell in cells],
+    }
     report.finish(spark, report_path)
     return training

@@ -96,6 +96,7 @@ def shipping_mode_decisions(late_by_shipping_mode: DataFrame) -> DataFrame:
         "late_delivery_rate",
         "total_orders",
         "late_orders",
+        D.percent_text(rate).alias("rate_text"),
         D.risk_tier(rate).alias("level"),
         D.shipping_advice(rate).alias("decision"),
     )
@@ -107,6 +108,7 @@ def market_decisions(late_by_market: DataFrame) -> DataFrame:
         "late_delivery_rate",
         "total_orders",
         "late_orders",
+        D.percent_text(F.col("late_delivery_rate")).alias("rate_text"),
         F.lit("info").alias("level"),
         F.lit(D.MARKET_ADVICE).alias("decision"),
     )
@@ -126,14 +128,9 @@ def kpi_display(executive_kpis: DataFrame) -> DataFrame:
 
 
 def column_options(table: DataFrame, columns: list[str]) -> DataFrame:
-    """Sorted distinct non-null texts of some columns as ``(field, option_value)``, in one pass."""
+    """Distinct non-null texts of some columns as ``(field, option_value)``, in one pass; not sorted."""
     pairs = [F.struct(F.lit(name).alias("field"), F.col(name).cast("string").alias("option_value")) for name in columns]
-    return (
-        table.select(F.inline(F.array(*pairs)))
-        .where(F.col("option_value").isNotNull())
-        .distinct()
-        .orderBy("field", "option_value")
-    )
+    return table.select(F.inline(F.array(*pairs))).where(F.col("option_value").isNotNull()).distinct()
 
 
 def gold_options(gold: dict[str, DataFrame]) -> DataFrame:

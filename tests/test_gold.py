@@ -150,7 +150,8 @@ def test_views(lines, spark):
     assert shown["Total Orders"] == "4" and shown["Late Delivery Rate"] == "50.00%"
     tiers = views.shipping_mode_decisions(gold.gold_table(lines, "late_by_shipping_mode")).first()
     assert tiers["level"] == "warning"
-    options = views.column_options(lines, ["market", "category_name"]).collect()
+    assert tiers["rate_text"] == "50.00%"
+    options = sorted(views.column_options(lines, ["market", "category_name"]).collect())
     assert options == [("category_name", "a"), ("category_name", "b"), ("category_name", "c"), ("market", "m")]
     gold_tables = {name: gold.gold_table(lines, name) for name in views.GOLD_OPTIONS.values()}
     every = views.prediction_options(views.gold_options(gold_tables)).collect()
