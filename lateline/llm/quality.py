@@ -4,31 +4,33 @@ A bigram model is trained on the documents that labels call good, all of them bu
 perplexity of every document under it is compared with a quantile of the held-out good documents of
 its language: what good text that the model has not seen rarely exceeds is rejected.
 
-Words are numbered by a vocabulary of the most frequent words of the corpus; others are one unknown
-word. So all that is kept for single words is bounded and sent to every task. Pairs of words are not
-bounded: their counts lie in shards. Documents are read in units of a few megabytes, held as arrays of
-numbers in buckets; a unit sends each shard the different pairs it needs as one packed array, and
-gets their counts back. Neither texts nor arrays of numbers are shuffled.
+Every word of the training text is known, however rare, so both words and pairs of words grow with the
+input, and both lie in shards: words by a hash, pairs by the numbers of their words. Documents
+are read in units of a few megabytes, held as arrays of numbers in buckets. A unit sends each shard the
+different words, later the different pairs, that it needs as one packed array, and gets their numbers
+and counts back. Only counts of counts reach the driver. Texts are not shuffled.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lateline.llm.common import BATCH_ROWS, as_bytes, by_shard, packed, packed_ascending, slices, tasks, unpacked, unpacked_ascending
-from lateline.sources.staging import shared_folder, stage
+from lateline.sources.staging import shared_folder, stage, stage_bucketed
 
-#: Numbers of words are 16 bits wide; two are the unknown word and the beginning of a text.
-UNKNOWN, BEGIN, VOCABULARY = 0, 1, (1 << 16) - 2
-UNIT_BYTES = 4_000_000
+#: Numbers of words are 32 bits wide; two are the unknown word and the beginning of a text.
+UNKNOWN, BEGIN, FIRST = 0, 1, 2
+#: Bits of a word's hash that are dropped; words that share the other 48 count as one word.
+KEY_SHIFT = 16
+UNIT_BYTES = 8_000_000
 BUCKET_UNITS = 4
 #: One in so many good documents is held out for the quantiles, by a hash of its id.
 HELD_OUT = 5
@@ -39,8 +41,9 @@ QUANTILE = 0.99
 PRIOR_WORDS = 50
 #: Held-out documents that a language needs for a quantile of its own; others take that of all.
 LANGUAGE_ROWS = 100
-#: Words a task counts before it hands on their counts.
-COUNTED = 200_000
+#: What is counted of each word: how often a word follows it, the pairs it begins that are seen once, twice
+#: and more often, and the different words before it.
+SUMS = 5
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -48,128 +51,216 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
 
 
-def vocabulary(docs: DataFrame, most: int = VOCABULARY) -> list[bytes]:
-    """The most frequent words, at most ``most``: all above a count, so that of equally frequent ones all or none."""
+def _units(docs: DataFrame, unit_bytes: int) -> tuple[DataFrame, int]:
+    """Units of documents, a row each, stored in so many buckets.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[bytes] = Counter()
-
-        def made() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())], names=["word", "n"])
-
-        for batch in slices(batches, "text"):
-            for text in as_bytes(batch.column("text")):
-                counts.update(text.split())
-            if len(counts) > COUNTED:
-                yield made()
-                counts.clear()
-        if counts:
-            yield made()
-
-    counted = _texts(docs).select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    counted = stage(counted, "word-counts")
-    # There are at most as many counts above the least one of the vocabulary as it has words.
-    frequent, least = 0, 1
-    for row in counted.groupBy("n").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("n")).limit(most + 1).collect():
-        frequent += row["words"]
-        if frequent > most:
-            least = row["n"] + 1
-            break
-    return sorted(bytes(r["word"]) for r in counted.where(F.col("n") >= least).select("word").collect())
-
-
-def _units(docs: DataFrame, words: list[bytes], unit_bytes: int) -> DataFrame:
-    """Units of documents as numbers, a row each, stored in buckets."""
+    A unit's different words are sent to the shards of their hashes; a word of a document is
+    its place among them, in the order of shards and hashes.
+    """
     spark = docs.sparkSession
-    known = spark.sparkContext.broadcast({w: i for i, w in enumerate(words, 2)})  # at most VOCABULARY words
+    shards = tasks(spark)
+    asks_type = pa.list_(pa.struct([("shard", pa.int32()), ("keys", pa.binary())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get, unit = known.value.get, TaskContext.get().partitionId() << 32
-        doc_ids, langs, lengths, numbers, held = [], [], [], [], 0
+        unit = TaskContext.get().partitionId() << 32
+        doc_ids, langs, lengths, words, seen, held = [], [], [], [], {}, 0
 
         def made() -> pa.RecordBatch:
-            arrays = [pa.array([unit], pa.int64()), pa.array([doc_ids], pa.list_(pa.int64())), pa.array([langs], pa.list_(pa.string())), pa.array([packed(np.array(lengths, np.uint32))]), pa.array([packed(np.concatenate(numbers))])]
-            return pa.RecordBatch.from_arrays(arrays, names=["unit", "doc_ids", "langs", "lengths", "words"])
+            keys = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in seen), np.uint64, len(seen)) >> np.uint64(KEY_SHIFT)
+            keys, place = np.unique(keys, return_inverse=True)
+            asks = [(s, at) for s, at in by_shard(keys % np.uint64(shards), shards)]
+            codes = np.empty(len(keys), np.uint32)
+            codes[np.concatenate([np.empty(0, np.int64)] + [at for _, at in asks])] = np.arange(len(keys), dtype=np.uint32)
+            arrays = [
+                pa.array([unit], pa.int64()),
+                pa.array([doc_ids], pa.list_(pa.int64())),
+                pa.array([langs], pa.list_(pa.string())),
+                pa.array([packed(np.array(lengths, np.uint32))]),
+                pa.array([packed(codes[place][np.concatenate(words)])]),
+                pa.array([[{"shard": s, "keys": packed_ascending(keys[at])} for s, at in asks]], asks_type),
+            ]
+            return pa.RecordBatch.from_arrays(arrays, names=["unit", "doc_ids", "langs", "lengths", "codes", "asks"])
 
         for batch in slices(batches, "text", unit_bytes):
             for doc_id, lang, text in zip(batch.column("doc_id").to_pylist(), batch.column("lang").to_pylist(), as_bytes(batch.column("text"))):
-                found = np.array([get(w, UNKNOWN) for w in text.split()], np.uint16)
+                found = np.array([seen.setdefault(w, len(seen)) for w in text.split()], np.uint32)
                 doc_ids.append(doc_id)
                 langs.append(lang)
                 lengths.append(len(found))
-                numbers.append(found)
+                words.append(found)
                 held += len(text)
             if held >= unit_bytes:
                 yield made()
                 unit, held = unit + 1, 0
-                doc_ids, langs, lengths, numbers = [], [], [], []
+                doc_ids, langs, lengths, words, seen = [], [], [], [], {}
         if doc_ids:
             yield made()
 
     selected = _texts(docs)
     size = selected.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(tasks(spark), size // (BUCKET_UNITS * unit_bytes))
+    buckets = int(max(shards, size // (BUCKET_UNITS * unit_bytes)))
     entry, path = f"units_{uuid4().hex}", f"{shared_folder(spark).rstrip('/')}/units-{uuid4().hex}"
-    writer = selected.mapInArrow(run, "unit long, doc_ids array<long>, langs array<string>, lengths binary, words binary").write.format("parquet")
-    writer.bucketBy(int(buckets), "unit").option("path", path).saveAsTable(entry)
+    schema = "unit long, doc_ids array<long>, langs array<string>, lengths binary, codes binary, asks array<struct<shard: int, keys: binary>>"
+    selected.mapInArrow(run, schema).write.format("parquet").bucketBy(buckets, "unit").option("path", path).saveAsTable(entry)
     stored = spark.table(entry)
     spark.sql(f"drop table {entry}")  # the files of an external table stay
-    return stored
+    return stored, buckets
+
+
+def _table(rows: list[tuple], **types: pa.DataType) -> pa.Table:
+    return pa.table([pa.array([r[i] for r in rows], t) for i, t in enumerate(types.values())], names=list(types))
+
+
+def _looked_up(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each wanted key is among the ascending keys, and where."""
+    if not len(keys):
+        return np.zeros(len(wanted), bool), np.zeros(len(wanted), np.int64)
+    place = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return keys[place] == wanted, place
+
+
+def _in_training(places: list[int], lengths: np.ndarray) -> np.ndarray:
+    """Which words of a unit belong to its training documents."""
+    train = np.zeros(len(lengths), bool)
+    train[places] = True
+    return np.repeat(train, lengths)
+
+
+def _word_counts(key: tuple, unit: pa.Table, chosen: pa.Table) -> pa.Table:
+    """Different words of a unit's training documents and their counts, per shard."""
+    rows = []
+    if unit.num_rows and chosen.num_rows:
+        lengths, codes = unpacked(unit["lengths"][0].as_py(), np.uint32), unpacked(unit["codes"][0].as_py(), np.uint32)
+        asks = [(a["shard"], unpacked_ascending(a["keys"], np.uint64)) for a in unit["asks"][0].as_py()]
+        counts, start = np.bincount(codes[_in_training(chosen["place"].to_pylist(), lengths)], minlength=sum(len(k) for _, k in asks)), 0
+        for shard, keys in asks:
+            own = counts[start : start + len(keys)]
+            start += len(keys)
+            if own.any():
+                rows.append((shard, packed_ascending(keys[own > 0]), packed(own[own > 0].astype(np.uint64))))
+    return _table(rows, shard=pa.int32(), keys=pa.binary(), counts=pa.binary())
+
+
+def _numbered(shards: int):
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        """A shard's words and their numbers, small for frequent ones; no two shards share a number."""
+        shard = key[0].as_py()
+        keys = np.concatenate([unpacked_ascending(x, np.uint64) for x in table["keys"].to_pylist()])
+        counts = np.concatenate([unpacked(x, np.uint64) for x in table["counts"].to_pylist()])
+        found, place = np.unique(keys, return_inverse=True)
+        numbers = np.empty(len(found), np.uint64)
+        numbers[np.argsort(-np.bincount(place, counts), kind="stable")] = FIRST + shard + shards * np.arange(len(found), dtype=np.uint64)
+        if numbers.max() >> np.uint64(32):
+            raise OverflowError("more than 2 ** 32 different words of training text")
+        return _table([(shard, packed_ascending(found), packed(numbers.astype(np.uint32)))], shard=pa.int32(), keys=pa.binary(), numbers=pa.binary())
 
+    return run
+
+
+def _numbers(key: tuple, asked: pa.Table, known: pa.Table) -> pa.Table:
+    """The numbers of the words that each unit asks of this shard; unknown ones have none in training text."""
+    keys, numbers = np.empty(0, np.uint64), np.empty(0, np.uint32)
+    if known.num_rows:
+        keys, numbers = unpacked_ascending(known["keys"][0].as_py(), np.uint64), unpacked(known["numbers"][0].as_py(), np.uint32)
+    rows = []
+    for unit, shard, blob in zip(*(asked[c].to_pylist() for c in ("unit", "shard", "keys"))):
+        some, place = _looked_up(keys, unpacked_ascending(blob, np.uint64))
+        answer = np.full(len(some), UNKNOWN, np.uint32)
+        answer[some] = numbers[place[some]]
+        rows.append((unit, shard, packed(answer)))
+    return _table(rows, unit=pa.int64(), shard=pa.int32(), numbers=pa.binary())
 
-def _pairs(unit: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """The pair of each word and the one before it as one number, and the lengths of the documents."""
+
+def _pairs(unit: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The pair of each word and the one before it as one number, the words' codes, and the documents' lengths."""
     lengths = unpacked(unit["lengths"][0].as_py(), np.uint32).astype(np.int64)
-    words = unpacked(unit["words"][0].as_py(), np.uint16).astype(np.uint32)
-    before = np.append(np.uint32(BEGIN), words[:-1]).astype(np.uint32)
-    before[(np.cumsum(lengths) - lengths)[lengths > 0]] = BEGIN
-    return before[: len(words)] << np.uint32(16) | words, lengths
+    codes = unpacked(unit["codes"][0].as_py(), np.uint32)
+    numbers = [unpacked(x, np.uint32) for x in unit["numbers"][0].as_py() or []]
+    words = np.concatenate([np.empty(0, np.uint32), *numbers]).astype(np.uint64)[codes]
+    return _before(words, lengths, np.uint64(BEGIN)) << np.uint64(32) | words, codes, lengths
+
+
+def _before(words: np.ndarray, lengths: np.ndarray, begin) -> np.ndarray:
+    """The word before each word of documents of these lengths."""
+    before = np.append(begin, words[:-1])[: len(words)].astype(words.dtype)
+    before[(np.cumsum(lengths) - lengths)[lengths > 0]] = begin
+    return before
+
+
+def _split(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)
 
 
 def _shard(pairs: np.ndarray, shards: int) -> np.ndarray:
-    return (pairs * np.uint32(0x9E3779B1) >> np.uint32(8)) % np.uint32(shards)
+    return (pairs * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) % np.uint64(shards)
 
 
-def _counted(shards: int):
+def _pair_counts(shards: int):
     """Different pairs of a unit's training documents and their counts, per shard."""
 
-    def run(key: tuple, unit: pa.Table, chosen: pa.Table) -> pa.Table:
-        names = ["shard", "pairs", "counts"]
-        if not unit.num_rows or not chosen.num_rows:
-            return pa.table([pa.array([], t) for t in (pa.int32(), pa.binary(), pa.binary())], names=names)
-        pairs, lengths = _pairs(unit)
-        train = np.zeros(len(lengths), bool)
-        train[chosen["place"].to_numpy()] = True
-        found, counts = np.unique(pairs[np.repeat(train, lengths)], return_counts=True)
+    def run(key: tuple, unit: pa.Table) -> pa.Table:
+        pairs, _, lengths = _pairs(unit)
+        found, counts = np.unique(pairs[_in_training(unit["train"][0].as_py() or [], lengths)], return_counts=True)
         rows = [(s, packed_ascending(found[at]), packed(counts[at].astype(np.uint32))) for s, at in by_shard(_shard(found, shards), shards)]
-        return pa.table([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.binary(), pa.binary()))], names=names)
+        return _table(rows, shard=pa.int32(), pairs=pa.binary(), counts=pa.binary())
 
     return run
 
 
 def _summed(key: tuple, table: pa.Table) -> pa.Table:
-    """A shard of the model: its pairs and their counts over all units."""
-    pairs = np.concatenate([unpacked_ascending(x, np.uint32) for x in table["pairs"].to_pylist()])
+    """A shard of the model: its pairs and their counts over all units, and how many are seen 1 to 4 times."""
+    pairs = np.concatenate([unpacked_ascending(x, np.uint64) for x in table["pairs"].to_pylist()])
     counts = np.concatenate([unpacked(x, np.uint32) for x in table["counts"].to_pylist()])
     found, place = np.unique(pairs, return_inverse=True)
     total = np.bincount(place, counts, len(found)).astype(np.uint64)
-    return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "pairs": pa.array([packed_ascending(found)]), "counts": pa.array([packed(total)])})
+    times = [int((total == n).sum()) for n in (1, 2, 3, 4)]
+    rows = [(key[0].as_py(), packed_ascending(found), packed(total), times)]
+    return _table(rows, shard=pa.int32(), pairs=pa.binary(), counts=pa.binary(), times=pa.list_(pa.int64()))
 
 
-def _word_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each shard and word: what follows it (sum, pairs seen once, twice, more often) and words before it.
+def word_sums(pairs: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words of different pairs, ascending, and the ``SUMS`` of each."""
+    before, word = _split(pairs)
+    words, place = np.unique(np.concatenate([before, word]), return_inverse=True)
+    first, second = place[: len(pairs)], place[len(pairs) :]
+    columns = [np.bincount(first, w, len(words)) for w in (counts, counts == 1, counts == 2, counts > 2)]
+    return words, np.array([*columns, np.bincount(second, minlength=len(words))]).astype(np.uint64)
 
-    A row for word -1 has the shard's pairs seen once, twice, three and four times.
-    """
-    for batch in batches:
-        for pairs, counts in zip(batch.column("pairs").to_pylist(), batch.column("counts").to_pylist()):
-            pairs, counts = unpacked_ascending(pairs, np.uint32), unpacked(counts, np.uint64).astype(np.int64)
-            before, word = pairs >> np.uint32(16), pairs & np.uint32(0xFFFF)
-            size = 1 << 16
-            columns = [np.bincount(before, w, size).astype(np.int64) for w in (counts, counts == 1, counts == 2, counts > 2)] + [np.bincount(word, minlength=size)]
-            some = np.flatnonzero(columns[0] + columns[4])
-            times = [int((counts == n).sum()) for n in (1, 2, 3, 4)] + [0]
-            yield pa.RecordBatch.from_arrays([pa.array(np.append(some, -1))] + [pa.array(np.append(c[some], t)) for c, t in zip(columns, times)], names=["word", "total", "one", "two", "more", "before"])
+
+def _word_sums(shards: int):
+    """The sums of each shard of pairs, sent to the shards of the words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for pairs, counts in zip(batch.column("pairs").to_pylist(), batch.column("counts").to_pylist()):
+                words, sums = word_sums(unpacked_ascending(pairs, np.uint64), unpacked(counts, np.uint64))
+                owner = (words + np.uint64(shards - FIRST % shards)) % np.uint64(shards)
+                rows = [(s, packed_ascending(words[at]), packed(sums[:, at].reshape(-1))) for s, at in by_shard(owner, shards)]
+                yield from _table(rows, shard=pa.int32(), words=pa.binary(), sums=pa.binary()).to_batches()
+
+    return run
+
+
+def _word_model(key: tuple, table: pa.Table) -> pa.Table:
+    """A shard of words and their sums over all shards of pairs; and what is needed of all words together."""
+    words = np.concatenate([unpacked_ascending(x, np.uint64) for x in table["words"].to_pylist()])
+    parts = np.concatenate([unpacked(x, np.uint64).reshape(SUMS, -1) for x in table["sums"].to_pylist()], axis=1)
+    found, place = np.unique(words, return_inverse=True)
+    sums = np.array([np.bincount(place, part, len(found)) for part in parts]).astype(np.uint64)
+    rows = [(key[0].as_py(), packed_ascending(found), packed(sums.reshape(-1)), facts(found, sums))]
+    return _table(rows, shard=pa.int32(), words=pa.binary(), sums=pa.binary(), facts=pa.list_(pa.int64()))
+
+
+def facts(words: np.ndarray, sums: np.ndarray) -> list[int]:
+    """Counts that add up over shards: words, pairs, words after 1 to 4 and after 3 or more different words, and
+    the sums of the beginning of a text."""
+    before = sums[-1]
+    begin = sums[:4, words == BEGIN].sum(axis=1)
+    return [int(x) for x in ((words != BEGIN).sum(), before.sum(), *((before == n).sum() for n in (1, 2, 3, 4)), (before > 2).sum(), *begin)]
+
+
+#: The length of ``facts``.
+FACTS = 11
 
 
 def discounts(times: list[int]) -> tuple[float, float, float]:
@@ -188,63 +279,90 @@ def discounted(counts: np.ndarray, by: tuple[float, float, float]) -> np.ndarray
     return np.maximum(counts - np.array([0.0, *by])[np.minimum(counts, 3)], 0.0)
 
 
-def word_tables(rows: list, known: int) -> dict:
-    """What the probability of a pair needs of its words, from ``_word_sums``."""
-    size, times = 1 << 16, [0, 0, 0, 0]
-    total, one, two, more, before = (np.zeros(size, np.int64) for _ in range(5))
-    for word, *sums in rows:
-        if word < 0:
-            times = sums[:4]
-        else:
-            total[word], one[word], two[word], more[word], before[word] = sums
-    pair = discounts(times)
-    single = discounts([int((before == n).sum()) for n in (1, 2, 3, 4)])
-    # Words by the number of different words before them, and the rest evenly over all words.
-    pairs = max(1, before.sum())
-    rest = float((before - discounted(before, single)).sum())
-    lower = discounted(before, single) / pairs + (rest / pairs if before.sum() else 1.0) / (known + 1)
-    given = np.where(total > 0, (pair[0] * one + pair[1] * two + pair[2] * more) / np.maximum(total, 1), 1.0)
-    return {"total": np.maximum(total, 1), "given": given, "lower": lower, "discounts": pair}
+def constants(times: list[int], all_facts: list[int]) -> dict:
+    """What holds for all words: discounts, the number of pairs, the share left for any word, the beginning's sums."""
+    known, pairs, *after, third = all_facts[:7]
+    single = discounts(after)
+    left = single[0] * after[0] + single[1] * after[1] + single[2] * third
+    share = (left / pairs if pairs else 1.0) / (known + 1)
+    return {"pair": discounts(times), "single": single, "pairs": max(1, pairs), "share": share, "begin": all_facts[7:]}
+
+
+def lower(before: np.ndarray, held: dict) -> np.ndarray:
+    """The probability of words by the number of different words before them, and the rest evenly over all words."""
+    return discounted(before, held["single"]) / held["pairs"] + held["share"]
+
+
+def given(sums: np.ndarray, held: dict) -> np.ndarray:
+    """The share that pairs leave to single words, after words of these sums."""
+    one, two, more = held["pair"]
+    return np.where(sums[0] > 0, (one * sums[1] + two * sums[2] + more * sums[3]) / np.maximum(sums[0], 1), 1.0)
 
 
-def log_probabilities(pairs: np.ndarray, counts: np.ndarray, tables: dict) -> np.ndarray:
-    before, word = pairs >> np.uint32(16), pairs & np.uint32(0xFFFF)
-    own = discounted(counts, tables["discounts"]) / tables["total"][before]
-    return np.log(own + tables["given"][before] * tables["lower"][word])
+def log_probabilities(counts: np.ndarray, total: np.ndarray, share: np.ndarray, word: np.ndarray, held: dict) -> np.ndarray:
+    """Of pairs with these counts: of the word before, its total and ``given``, and the word's ``lower``."""
+    return np.log(discounted(counts, held["pair"]) / np.maximum(total, 1) + share * word)
+
+
+def _known(pairs: np.ndarray) -> np.ndarray:
+    """The places of pairs of known words; others are not in training text."""
+    before, word = _split(pairs)
+    return np.flatnonzero((before != UNKNOWN) & (word != UNKNOWN))
 
 
 def _asked(shards: int):
     def run(key: tuple, unit: pa.Table) -> pa.Table:
         found = np.unique(_pairs(unit)[0])
+        found = found[_known(found)]
         rows = [(s, key[0].as_py(), packed_ascending(found[at])) for s, at in by_shard(_shard(found, shards), shards)]
-        return pa.table([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.int64(), pa.binary()))], names=["shard", "unit", "asked"])
+        return _table(rows, shard=pa.int32(), unit=pa.int64(), asked=pa.binary())
 
     return run
 
 
-def _answered(key: tuple, asked: pa.Table, model: pa.Table) -> pa.Table:
+def _counts(key: tuple, asked: pa.Table, model: pa.Table) -> pa.Table:
     """The counts of the pairs that each unit asks of this shard."""
-    pairs, counts = np.array([0xFFFFFFFF], np.uint32), np.zeros(1, np.uint64)
+    pairs, counts = np.empty(0, np.uint64), np.empty(0, np.uint64)
     if model.num_rows:
-        pairs = np.append(unpacked_ascending(model["pairs"][0].as_py(), np.uint32), pairs)
-        counts = np.append(unpacked(model["counts"][0].as_py(), np.uint64), counts)
-    answers = []
-    for blob in asked["asked"].to_pylist():
-        wanted = unpacked_ascending(blob, np.uint32)
-        place = np.searchsorted(pairs, wanted)
-        answers.append(packed(np.where(pairs[place] == wanted, counts[place], 0).astype(np.uint64)))
-    return pa.table({"unit": asked["unit"], "shard": asked["shard"], "counts": pa.array(answers, pa.binary())})
+        pairs, counts = unpacked_ascending(model["pairs"][0].as_py(), np.uint64), unpacked(model["counts"][0].as_py(), np.uint64)
+    rows = []
+    for unit, shard, blob in zip(*(asked[c].to_pylist() for c in ("unit", "shard", "asked"))):
+        some, place = _looked_up(pairs, unpacked_ascending(blob, np.uint64))
+        answer = np.zeros(len(some), np.uint64)
+        answer[some] = counts[place[some]]
+        rows.append((unit, shard, True, packed(answer)))
+    return _table(rows, unit=pa.int64(), shard=pa.int32(), pair=pa.bool_(), answer=pa.binary())
+
+
+def _sums(key: tuple, asked: pa.Table, model: pa.Table) -> pa.Table:
+    """The sums of the words that each unit has of this shard; an unknown word's are zero."""
+    words, sums = np.empty(0, np.uint64), np.empty((SUMS, 0), np.uint64)
+    if model.num_rows:
+        words, sums = unpacked_ascending(model["words"][0].as_py(), np.uint64), unpacked(model["sums"][0].as_py(), np.uint64).reshape(SUMS, -1)
+    rows = []
+    for unit, shard, blob in zip(*(asked[c].to_pylist() for c in ("unit", "shard", "numbers"))):
+        some, place = _looked_up(words, unpacked(blob, np.uint32).astype(np.uint64))
+        answer = np.zeros((SUMS, len(some)), np.uint64)
+        answer[:, some] = sums[:, place[some]]
+        rows.append((unit, shard, False, packed(answer.reshape(-1))))
+    return _table(rows, unit=pa.int64(), shard=pa.int32(), pair=pa.bool_(), answer=pa.binary())
 
 
-def _scored(shards: int, tables):
+def _scored(shards: int, held: dict):
     def run(key: tuple, unit: pa.Table, answers: pa.Table) -> pa.Table:
-        pairs, lengths = _pairs(unit)
+        pairs, codes, lengths = _pairs(unit)
+        by_kind = {True: {}, False: {}}
+        for pair, shard, blob in zip(*(answers[c].to_pylist() for c in ("pair", "shard", "answer"))):
+            by_kind[pair][shard] = unpacked(blob, np.uint64)
+        words = [by_kind[False][s].reshape(SUMS, -1) for s in sorted(by_kind[False])]
+        sums = np.concatenate([*words, np.array([[x] for x in (*held["begin"], 0)], np.uint64)], axis=1).astype(np.int64)
         found, place = np.unique(pairs, return_inverse=True)
-        counts = np.zeros(len(found), np.int64)
-        blobs = dict(zip(answers["shard"].to_pylist(), answers["counts"].to_pylist()))
-        for s, at in by_shard(_shard(found, shards), shards):
-            counts[at] = unpacked(blobs[s], np.uint64)
-        logs = np.append(0.0, np.cumsum(log_probabilities(found, counts, tables.value)[place]))
+        counts, known = np.zeros(len(found), np.int64), _known(found)
+        for s, at in by_shard(_shard(found[known], shards), shards):
+            counts[known[at]] = by_kind[True][s]
+        before = _before(codes.astype(np.int64), lengths, sums.shape[1] - 1)
+        logs = log_probabilities(counts[place], sums[0][before], given(sums, held)[before], lower(sums[-1], held)[codes], held)
+        logs = np.append(0.0, np.cumsum(logs))
         ends = np.cumsum(lengths)
         return pa.table({"doc_id": unit["doc_ids"][0].values, "lang": unit["langs"][0].values, "n_words": pa.array(lengths), "log_probability": pa.array(logs[ends] - logs[ends - lengths])})
 
@@ -257,23 +375,41 @@ def good_documents(labels: DataFrame) -> DataFrame:
     return named.agg(F.min("quality").alias("least"), F.max("quality").alias("most"), F.count_if(F.col("quality").isNull()).alias("open")).where("least = 1 and most = 1 and open = 0").select("doc_id")
 
 
-def scores(docs: DataFrame, labels: DataFrame, most: int = VOCABULARY, unit_bytes: int = UNIT_BYTES) -> tuple[DataFrame, DataFrame]:
+def scores(docs: DataFrame, labels: DataFrame, unit_bytes: int = UNIT_BYTES) -> tuple[DataFrame, DataFrame]:
     """doc_id, lang, n_words and log_probability of every row of ``docs``; and doc_id of the good documents held out."""
-    spark, shards = docs.sparkSession, tasks(docs.sparkSession)
-    words = vocabulary(docs, min(most, VOCABULARY))
-    units = _units(docs, words, unit_bytes)
+    shards = tasks(docs.sparkSession)
+    units, buckets = _units(docs, unit_bytes)
     good = good_documents(labels).withColumn("held", F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT)) == 0)
     places = units.select(F.col("unit").alias("owner"), F.posexplode("doc_ids").alias("place", "doc_id"))
     chosen = places.join(good.where("not held"), "doc_id").select("owner", "place")
-    sent = units.groupBy("unit").cogroup(chosen.groupBy("owner")).applyInArrow(_counted(shards), "shard int, pairs binary, counts binary")
-    model = stage(sent.groupBy("shard").applyInArrow(_summed, "shard int, pairs binary, counts binary"), "pairs")
-    sums = model.mapInArrow(_word_sums, "word long, total long, one long, two long, more long, before long")
-    sums = sums.groupBy("word").agg(*[F.sum(c).alias(c) for c in ("total", "one", "two", "more", "before")])
-    tables = spark.sparkContext.broadcast(word_tables([tuple(r) for r in sums.collect()], len(words)))  # a row for each number of a word
-    asked = units.groupBy("unit").applyInArrow(_asked(shards), "shard int, unit long, asked binary")
-    answers = asked.groupBy("shard").cogroup(model.groupBy("shard")).applyInArrow(_answered, "unit long, shard int, counts binary")
+
+    # Words: numbered in shards, then the numbers of each unit's words.
+    counted = units.select("unit", "lengths", "codes", "asks").groupBy("unit").cogroup(chosen.groupBy("owner"))
+    counted = counted.applyInArrow(_word_counts, "shard int, keys binary, counts binary")
+    words = counted.groupBy("shard").applyInArrow(_numbered(shards), "shard int, keys binary, numbers binary")
+    asked = units.select("unit", F.inline("asks")).groupBy("shard").cogroup(words.groupBy("shard"))
+    numbers = stage(asked.applyInArrow(_numbers, "unit long, shard int, numbers binary"), "word-numbers")
+    own = numbers.groupBy("unit").agg(F.array_sort(F.collect_list(F.struct("shard", "numbers")))["numbers"].alias("numbers"))
+    train = chosen.groupBy(F.col("owner").alias("unit")).agg(F.collect_list("place").alias("train"))
+    own = stage_bucketed(own.join(train, "unit", "left"), "unit-words", "unit", buckets)
+    units = units.drop("asks").join(own, "unit", "left")
+
+    # Pairs: counted in shards; the sums of words from them, in the shards of the words.
+    sent = units.select("unit", "lengths", "codes", "numbers", "train").groupBy("unit")
+    sent = sent.applyInArrow(_pair_counts(shards), "shard int, pairs binary, counts binary")
+    model = stage(sent.groupBy("shard").applyInArrow(_summed, "shard int, pairs binary, counts binary, times array<long>"), "pairs")
+    sums = model.select("pairs", "counts").mapInArrow(_word_sums(shards), "shard int, words binary, sums binary")
+    sums = stage(sums.groupBy("shard").applyInArrow(_word_model, "shard int, words binary, sums binary, facts array<long>"), "word-sums")
+    times = [x or 0 for x in model.agg(*[F.sum(F.col("times")[i]) for i in range(4)]).first()]
+    held = constants(times, [x or 0 for x in sums.agg(*[F.sum(F.col("facts")[i]) for i in range(FACTS)]).first()])
+
+    # Scores: each unit gets the counts of its pairs and the sums of its words.
+    asked = units.select("unit", "lengths", "codes", "numbers").groupBy("unit").applyInArrow(_asked(shards), "shard int, unit long, asked binary")
+    schema = "unit long, shard int, pair boolean, answer binary"
+    counts = asked.groupBy("shard").cogroup(model.groupBy("shard")).applyInArrow(_counts, schema)
+    answers = counts.unionAll(numbers.groupBy("shard").cogroup(sums.groupBy("shard")).applyInArrow(_sums, schema))
     schema = "doc_id long, lang string, n_words long, log_probability double"
-    scored = units.groupBy("unit").cogroup(answers.groupBy("unit")).applyInArrow(_scored(shards, tables), schema)
+    scored = units.drop("train").groupBy("unit").cogroup(answers.groupBy("unit")).applyInArrow(_scored(shards, held), schema)
     return stage(scored, "scores"), good.where("held").select("doc_id")
 
 
