@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lateline.llm.common import BATCH_ROWS, as_bytes, by_shard, packed, packed_ascending, slices, tasks, unpacked, unpacked_ascending
-from lateline.sources.staging import shared_folder, stage, stage_bucketed
+from lateline.sources.staging import shared_folder, stage
 
 #: Numbers of words are 32 bits wide; two are the unknown word and the beginning of a text.
 UNKNOWN, BEGIN, FIRST = 0, 1, 2
@@ -68,7 +68,8 @@ def _units(docs: DataFrame, unit_bytes: int) -> tuple[DataFrame, int]:
         def made() -> pa.RecordBatch:
             keys = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in seen), np.uint64, len(seen)) >> np.uint64(KEY_SHIFT)
             keys, place = np.unique(keys, return_inverse=True)
-            asks = [(s, at) for s, at in by_shard(keys % np.uint64(shards), shards)]
+            keys, owner = np.divmod(keys, np.uint64(shards))  # a shard's number says the rest
+            asks = list(by_shard(owner, shards))
             codes = np.empty(len(keys), np.uint32)
             codes[np.concatenate([np.empty(0, np.int64)] + [at for _, at in asks])] = np.arange(len(keys), dtype=np.uint32)
             arrays = [
@@ -99,12 +100,18 @@ def _units(docs: DataFrame, unit_bytes: int) -> tuple[DataFrame, int]:
     selected = _texts(docs)
     size = selected.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = int(max(shards, size // (BUCKET_UNITS * unit_bytes)))
-    entry, path = f"units_{uuid4().hex}", f"{shared_folder(spark).rstrip('/')}/units-{uuid4().hex}"
     schema = "unit long, doc_ids array<long>, langs array<string>, lengths binary, codes binary, asks array<struct<shard: int, keys: binary>>"
-    selected.mapInArrow(run, schema).write.format("parquet").bucketBy(buckets, "unit").option("path", path).saveAsTable(entry)
+    return _in_buckets(selected.mapInArrow(run, schema), "units", buckets), buckets
+
+
+def _in_buckets(table: DataFrame, name: str, buckets: int) -> DataFrame:
+    """The table as stored in buckets of units, from where its rows are; a unit has one row."""
+    spark = table.sparkSession
+    entry, path = f"{name.replace('-', '_')}_{uuid4().hex}", f"{shared_folder(spark).rstrip('/')}/{name}-{uuid4().hex}"
+    table.write.format("parquet").bucketBy(buckets, "unit").option("path", path).saveAsTable(entry)
     stored = spark.table(entry)
     spark.sql(f"drop table {entry}")  # the files of an external table stay
-    return stored, buckets
+    return stored
 
 
 def _table(rows: list[tuple], **types: pa.DataType) -> pa.Table:
@@ -388,11 +395,11 @@ def scores(docs: DataFrame, labels: DataFrame, unit_bytes: int = UNIT_BYTES) ->
     counted = counted.applyInArrow(_word_counts, "shard int, keys binary, counts binary")
     words = counted.groupBy("shard").applyInArrow(_numbered(shards), "shard int, keys binary, numbers binary")
     asked = units.select("unit", F.inline("asks")).groupBy("shard").cogroup(words.groupBy("shard"))
-    numbers = stage(asked.applyInArrow(_numbers, "unit long, shard int, numbers binary"), "word-numbers")
-    own = numbers.groupBy("unit").agg(F.array_sort(F.collect_list(F.struct("shard", "numbers")))["numbers"].alias("numbers"))
+    answers = asked.applyInArrow(_numbers, "unit long, shard int, numbers binary").repartition(buckets, "unit")
+    own = answers.groupBy("unit").agg(F.array_sort(F.collect_list(F.struct("shard", "numbers"))).alias("words"))
     train = chosen.groupBy(F.col("owner").alias("unit")).agg(F.collect_list("place").alias("train"))
-    own = stage_bucketed(own.join(train, "unit", "left"), "unit-words", "unit", buckets)
-    units = units.drop("asks").join(own, "unit", "left")
+    own = _in_buckets(own.join(train, "unit", "left"), "unit-words", buckets)
+    units = units.drop("asks").join(own.select("unit", F.col("words.numbers").alias("numbers"), "train"), "unit", "left")
 
     # Pairs: counted in shards; the sums of words from them, in the shards of the words.
     sent = units.select("unit", "lengths", "codes", "numbers", "train").groupBy("unit")
@@ -407,7 +414,7 @@ def scores(docs: DataFrame, labels: DataFrame, unit_bytes: int = UNIT_BYTES) ->
     asked = units.select("unit", "lengths", "codes", "numbers").groupBy("unit").applyInArrow(_asked(shards), "shard int, unit long, asked binary")
     schema = "unit long, shard int, pair boolean, answer binary"
     counts = asked.groupBy("shard").cogroup(model.groupBy("shard")).applyInArrow(_counts, schema)
-    answers = counts.unionAll(numbers.groupBy("shard").cogroup(sums.groupBy("shard")).applyInArrow(_sums, schema))
+    answers = counts.unionAll(own.select("unit", F.inline("words")).groupBy("shard").cogroup(sums.groupBy("shard")).applyInArrow(_sums, schema))
     schema = "doc_id long, lang string, n_words long, log_probability double"
     scored = units.drop("train").groupBy("unit").cogroup(answers.groupBy("unit")).applyInArrow(_scored(shards, held), schema)
     return stage(scored, "scores"), good.where("held").select("doc_id")
