@@ -5,7 +5,7 @@ perplexity of every document under it is compared with a quantile of the held-ou
 its language: what good text that the model has not seen rarely exceeds is rejected.
 
 Every word of the training text is known, however rare, so both words and pairs of words grow with the
-input, and both lie in shards: words by a hash, pairs by the numbers of their words. Documents
+input, and both lie in shards: words by a hash, pairs by one of their words. Documents
 are read in units of a few megabytes, held as arrays of numbers in buckets. A unit sends each shard the
 different words, later the different pairs, that it needs as one packed array, and gets their numbers
 and counts back. Only counts of counts reach the driver. Texts are not shuffled.
@@ -30,8 +30,10 @@ from lateline.sources.staging import shared_folder, stage
 UNKNOWN, BEGIN, FIRST = 0, 1, 2
 #: Bits of a word's hash that are dropped; words that share the other 48 count as one word.
 KEY_SHIFT = 16
-UNIT_BYTES = 8_000_000
-BUCKET_UNITS = 4
+#: So many of a shard's words are frequent: pairs that begin with one of them may be more than a shard holds.
+FREQUENT = 64
+UNIT_BYTES = 16_000_000
+BUCKET_UNITS = 2
 #: One in so many good documents is held out for the quantiles, by a hash of its id.
 HELD_OUT = 5
 #: The quantile of held-out good documents above which a document of the language is rejected.
@@ -198,8 +200,15 @@ def _split(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)
 
 
+def _owner(numbers: np.ndarray, shards: int) -> np.ndarray:
+    """The shard of words by their numbers."""
+    return (numbers + np.uint64(shards - FIRST % shards)) % np.uint64(shards)
+
+
 def _shard(pairs: np.ndarray, shards: int) -> np.ndarray:
-    return (pairs * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) % np.uint64(shards)
+    """The first word's, so that a shard's pairs are near each other; a frequent first word's are spread by the second."""
+    before, word = _split(pairs)
+    return _owner(np.where(before < FIRST + FREQUENT * shards, word, before), shards)
 
 
 def _pair_counts(shards: int):
@@ -241,8 +250,7 @@ def _word_sums(shards: int):
         for batch in batches:
             for pairs, counts in zip(batch.column("pairs").to_pylist(), batch.column("counts").to_pylist()):
                 words, sums = word_sums(unpacked_ascending(pairs, np.uint64), unpacked(counts, np.uint64))
-                owner = (words + np.uint64(shards - FIRST % shards)) % np.uint64(shards)
-                rows = [(s, packed_ascending(words[at]), packed(sums[:, at].reshape(-1))) for s, at in by_shard(owner, shards)]
+                rows = [(s, packed_ascending(words[at]), packed(sums[:, at].reshape(-1))) for s, at in by_shard(_owner(words, shards), shards)]
                 yield from _table(rows, shard=pa.int32(), words=pa.binary(), sums=pa.binary()).to_batches()
 
     return run
