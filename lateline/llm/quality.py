@@ -30,10 +30,14 @@ from lateline.sources.staging import shared_folder, stage
 UNKNOWN, BEGIN, FIRST = 0, 1, 2
 #: Bits of a word's hash that are dropped; words that share the other 48 count as one word.
 KEY_SHIFT = 16
+#: Words that a unit has so often have the first codes.
+COMMON = 4
 #: So many of a shard's words are frequent: pairs that begin with one of them may be more than a shard holds.
 FREQUENT = 64
 UNIT_BYTES = 16_000_000
 BUCKET_UNITS = 2
+#: Words of a unit that are scored at once.
+PART_WORDS = 1 << 18
 #: One in so many good documents is held out for the quantiles, by a hash of its id.
 HELD_OUT = 5
 #: The quantile of held-out good documents above which a document of the language is rejected.
@@ -56,8 +60,8 @@ def _texts(docs: DataFrame) -> DataFrame:
 def _units(docs: DataFrame, unit_bytes: int) -> tuple[DataFrame, int]:
     """Units of documents, a row each, stored in so many buckets.
 
-    A unit's different words are sent to the shards of their hashes; a word of a document is
-    its place among them, in the order of shards and hashes.
+    A unit's different words are asked of the shards of their hashes. Codes are the places of
+    words among them, common ones first, as small numbers take less room.
     """
     spark = docs.sparkSession
     shards = tasks(spark)
@@ -72,17 +76,24 @@ def _units(docs: DataFrame, unit_bytes: int) -> tuple[DataFrame, int]:
             keys, place = np.unique(keys, return_inverse=True)
             keys, owner = np.divmod(keys, np.uint64(shards))  # a shard's number says the rest
             asks = list(by_shard(owner, shards))
+            slots = np.empty(len(keys), np.uint32)
+            slots[np.concatenate([np.empty(0, np.int64)] + [at for _, at in asks])] = np.arange(len(keys), dtype=np.uint32)
+            text = slots[place][np.concatenate(words)]
+            counts = np.bincount(text, minlength=len(keys))
+            common = np.flatnonzero(counts >= COMMON)
+            common = common[np.argsort(-counts[common], kind="stable")].astype(np.uint32)
             codes = np.empty(len(keys), np.uint32)
-            codes[np.concatenate([np.empty(0, np.int64)] + [at for _, at in asks])] = np.arange(len(keys), dtype=np.uint32)
+            codes[_slots(common, len(keys))] = np.arange(len(keys), dtype=np.uint32)
             arrays = [
                 pa.array([unit], pa.int64()),
                 pa.array([doc_ids], pa.list_(pa.int64())),
                 pa.array([langs], pa.list_(pa.string())),
                 pa.array([packed(np.array(lengths, np.uint32))]),
-                pa.array([packed(codes[place][np.concatenate(words)])]),
+                pa.array([packed(codes[text])]),
+                pa.array([packed(common)]),
                 pa.array([[{"shard": s, "keys": packed_ascending(keys[at])} for s, at in asks]], asks_type),
             ]
-            return pa.RecordBatch.from_arrays(arrays, names=["unit", "doc_ids", "langs", "lengths", "codes", "asks"])
+            return pa.RecordBatch.from_arrays(arrays, names=["unit", "doc_ids", "langs", "lengths", "codes", "common", "asks"])
 
         for batch in slices(batches, "text", unit_bytes):
             for doc_id, lang, text in zip(batch.column("doc_id").to_pylist(), batch.column("lang").to_pylist(), as_bytes(batch.column("text"))):
@@ -102,7 +113,7 @@ def _units(docs: DataFrame, unit_bytes: int) -> tuple[DataFrame, int]:
     selected = _texts(docs)
     size = selected.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = int(max(shards, size // (BUCKET_UNITS * unit_bytes)))
-    schema = "unit long, doc_ids array<long>, langs array<string>, lengths binary, codes binary, asks array<struct<shard: int, keys: binary>>"
+    schema = "unit long, doc_ids array<long>, langs array<string>, lengths binary, codes binary, common binary, asks array<struct<shard: int, keys: binary>>"
     return _in_buckets(selected.mapInArrow(run, schema), "units", buckets), buckets
 
 
@@ -116,6 +127,18 @@ def _in_buckets(table: DataFrame, name: str, buckets: int) -> DataFrame:
     return stored
 
 
+def _slots(common: np.ndarray, words: int) -> np.ndarray:
+    """The place in the order of shards and hashes of each code of so many words."""
+    rest = np.ones(words, bool)
+    rest[common] = False
+    return np.concatenate([common, np.flatnonzero(rest).astype(np.uint32)])
+
+
+def _text(unit: pa.Table, words: int) -> np.ndarray:
+    """The words of a unit's documents, as places in the order of shards and hashes."""
+    return _slots(unpacked(unit["common"][0].as_py(), np.uint32), words)[unpacked(unit["codes"][0].as_py(), np.uint32)]
+
+
 def _table(rows: list[tuple], **types: pa.DataType) -> pa.Table:
     return pa.table([pa.array([r[i] for r in rows], t) for i, t in enumerate(types.values())], names=list(types))
 
@@ -139,9 +162,10 @@ def _word_counts(key: tuple, unit: pa.Table, chosen: pa.Table) -> pa.Table:
     """Different words of a unit's training documents and their counts, per shard."""
     rows = []
     if unit.num_rows and chosen.num_rows:
-        lengths, codes = unpacked(unit["lengths"][0].as_py(), np.uint32), unpacked(unit["codes"][0].as_py(), np.uint32)
+        lengths = unpacked(unit["lengths"][0].as_py(), np.uint32)
         asks = [(a["shard"], unpacked_ascending(a["keys"], np.uint64)) for a in unit["asks"][0].as_py()]
-        counts, start = np.bincount(codes[_in_training(chosen["place"].to_pylist(), lengths)], minlength=sum(len(k) for _, k in asks)), 0
+        words = sum(len(keys) for _, keys in asks)
+        counts, start = np.bincount(_text(unit, words)[_in_training(chosen["place"].to_pylist(), lengths)], minlength=words), 0
         for shard, keys in asks:
             own = counts[start : start + len(keys)]
             start += len(keys)
@@ -181,12 +205,15 @@ def _numbers(key: tuple, asked: pa.Table, known: pa.Table) -> pa.Table:
 
 
 def _pairs(unit: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The pair of each word and the one before it as one number, the words' codes, and the documents' lengths."""
+    """The pair of each word and the one before it as one number, the words' places, and the documents' lengths."""
     lengths = unpacked(unit["lengths"][0].as_py(), np.uint32).astype(np.int64)
-    codes = unpacked(unit["codes"][0].as_py(), np.uint32)
-    numbers = [unpacked(x, np.uint32) for x in unit["numbers"][0].as_py() or []]
-    words = np.concatenate([np.empty(0, np.uint32), *numbers]).astype(np.uint64)[codes]
-    return _before(words, lengths, np.uint64(BEGIN)) << np.uint64(32) | words, codes, lengths
+    numbers = np.concatenate([np.empty(0, np.uint32)] + [unpacked(x, np.uint32) for x in unit["numbers"][0].as_py() or []])
+    text = _text(unit, len(numbers))
+    words = numbers[text].astype(np.uint64)
+    pairs = _before(words, lengths, np.uint64(BEGIN))
+    pairs <<= np.uint64(32)
+    pairs |= words
+    return pairs, text, lengths
 
 
 def _before(words: np.ndarray, lengths: np.ndarray, begin) -> np.ndarray:
@@ -200,6 +227,21 @@ def _split(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)
 
 
+def packed_pairs(pairs: np.ndarray) -> bytes:
+    """Ascending different pairs by the steps of their first words, and of second words after the same first one."""
+    before, word = _split(pairs)
+    step = np.diff(before, prepend=np.uint64(0))
+    return packed(step << np.uint64(32) | np.where(step == 0, np.diff(word, prepend=np.uint64(0)), word))
+
+
+def unpacked_pairs(blob: bytes) -> np.ndarray:
+    step, word = _split(unpacked(blob, np.uint64))
+    starts = np.flatnonzero(step)  # the first word of the first pair is not 0, the unknown word
+    total = np.cumsum(word)
+    total -= np.repeat(total[starts] - word[starts], np.diff(np.append(starts, len(word))))
+    return np.cumsum(step) << np.uint64(32) | total
+
+
 def _owner(numbers: np.ndarray, shards: int) -> np.ndarray:
     """The shard of words by their numbers."""
     return (numbers + np.uint64(shards - FIRST % shards)) % np.uint64(shards)
@@ -217,7 +259,7 @@ def _pair_counts(shards: int):
     def run(key: tuple, unit: pa.Table) -> pa.Table:
         pairs, _, lengths = _pairs(unit)
         found, counts = np.unique(pairs[_in_training(unit["train"][0].as_py() or [], lengths)], return_counts=True)
-        rows = [(s, packed_ascending(found[at]), packed(counts[at].astype(np.uint32))) for s, at in by_shard(_shard(found, shards), shards)]
+        rows = [(s, packed_pairs(found[at]), packed(counts[at].astype(np.uint32))) for s, at in by_shard(_shard(found, shards), shards)]
         return _table(rows, shard=pa.int32(), pairs=pa.binary(), counts=pa.binary())
 
     return run
@@ -225,12 +267,12 @@ def _pair_counts(shards: int):
 
 def _summed(key: tuple, table: pa.Table) -> pa.Table:
     """A shard of the model: its pairs and their counts over all units, and how many are seen 1 to 4 times."""
-    pairs = np.concatenate([unpacked_ascending(x, np.uint64) for x in table["pairs"].to_pylist()])
+    pairs = np.concatenate([unpacked_pairs(x) for x in table["pairs"].to_pylist()])
     counts = np.concatenate([unpacked(x, np.uint32) for x in table["counts"].to_pylist()])
     found, place = np.unique(pairs, return_inverse=True)
     total = np.bincount(place, counts, len(found)).astype(np.uint64)
     times = [int((total == n).sum()) for n in (1, 2, 3, 4)]
-    rows = [(key[0].as_py(), packed_ascending(found), packed(total), times)]
+    rows = [(key[0].as_py(), packed_pairs(found), packed(total), times)]
     return _table(rows, shard=pa.int32(), pairs=pa.binary(), counts=pa.binary(), times=pa.list_(pa.int64()))
 
 
@@ -249,7 +291,7 @@ def _word_sums(shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for pairs, counts in zip(batch.column("pairs").to_pylist(), batch.column("counts").to_pylist()):
-                words, sums = word_sums(unpacked_ascending(pairs, np.uint64), unpacked(counts, np.uint64))
+                words, sums = word_sums(unpacked_pairs(pairs), unpacked(counts, np.uint64))
                 rows = [(s, packed_ascending(words[at]), packed(sums[:, at].reshape(-1))) for s, at in by_shard(_owner(words, shards), shards)]
                 yield from _table(rows, shard=pa.int32(), words=pa.binary(), sums=pa.binary()).to_batches()
 
@@ -329,7 +371,7 @@ def _asked(shards: int):
     def run(key: tuple, unit: pa.Table) -> pa.Table:
         found = np.unique(_pairs(unit)[0])
         found = found[_known(found)]
-        rows = [(s, key[0].as_py(), packed_ascending(found[at])) for s, at in by_shard(_shard(found, shards), shards)]
+        rows = [(s, key[0].as_py(), packed_pairs(found[at])) for s, at in by_shard(_shard(found, shards), shards)]
         return _table(rows, shard=pa.int32(), unit=pa.int64(), asked=pa.binary())
 
     return run
@@ -339,10 +381,10 @@ def _counts(key: tuple, asked: pa.Table, model: pa.Table) -> pa.Table:
     """The counts of the pairs that each unit asks of this shard."""
     pairs, counts = np.empty(0, np.uint64), np.empty(0, np.uint64)
     if model.num_rows:
-        pairs, counts = unpacked_ascending(model["pairs"][0].as_py(), np.uint64), unpacked(model["counts"][0].as_py(), np.uint64)
+        pairs, counts = unpacked_pairs(model["pairs"][0].as_py()), unpacked(model["counts"][0].as_py(), np.uint64)
     rows = []
     for unit, shard, blob in zip(*(asked[c].to_pylist() for c in ("unit", "shard", "asked"))):
-        some, place = _looked_up(pairs, unpacked_ascending(blob, np.uint64))
+        some, place = _looked_up(pairs, unpacked_pairs(blob))
         answer = np.zeros(len(some), np.uint64)
         answer[some] = counts[place[some]]
         rows.append((unit, shard, True, packed(answer)))
@@ -365,19 +407,24 @@ def _sums(key: tuple, asked: pa.Table, model: pa.Table) -> pa.Table:
 
 def _scored(shards: int, held: dict):
     def run(key: tuple, unit: pa.Table, answers: pa.Table) -> pa.Table:
-        pairs, codes, lengths = _pairs(unit)
+        pairs, text, lengths = _pairs(unit)
         by_kind = {True: {}, False: {}}
         for pair, shard, blob in zip(*(answers[c].to_pylist() for c in ("pair", "shard", "answer"))):
             by_kind[pair][shard] = unpacked(blob, np.uint64)
         words = [by_kind[False][s].reshape(SUMS, -1) for s in sorted(by_kind[False])]
         sums = np.concatenate([*words, np.array([[x] for x in (*held["begin"], 0)], np.uint64)], axis=1).astype(np.int64)
+        shares, lowers = given(sums, held), lower(sums[-1], held)
         found, place = np.unique(pairs, return_inverse=True)
+        del pairs
         counts, known = np.zeros(len(found), np.int64), _known(found)
         for s, at in by_shard(_shard(found[known], shards), shards):
             counts[known[at]] = by_kind[True][s]
-        before = _before(codes.astype(np.int64), lengths, sums.shape[1] - 1)
-        logs = log_probabilities(counts[place], sums[0][before], given(sums, held)[before], lower(sums[-1], held)[codes], held)
-        logs = np.append(0.0, np.cumsum(logs))
+        before = _before(text, lengths, np.uint32(sums.shape[1] - 1))
+        logs = np.zeros(len(text) + 1)
+        for start in range(0, len(text), PART_WORDS):
+            at = slice(start, start + PART_WORDS)
+            logs[1:][at] = log_probabilities(counts[place[at]], sums[0][before[at]], shares[before[at]], lowers[text[at]], held)
+        logs = np.cumsum(logs)
         ends = np.cumsum(lengths)
         return pa.table({"doc_id": unit["doc_ids"][0].values, "lang": unit["langs"][0].values, "n_words": pa.array(lengths), "log_probability": pa.array(logs[ends] - logs[ends - lengths])})
 
@@ -399,7 +446,7 @@ def scores(docs: DataFrame, labels: DataFrame, unit_bytes: int = UNIT_BYTES) ->
     chosen = places.join(good.where("not held"), "doc_id").select("owner", "place")
 
     # Words: numbered in shards, then the numbers of each unit's words.
-    counted = units.select("unit", "lengths", "codes", "asks").groupBy("unit").cogroup(chosen.groupBy("owner"))
+    counted = units.select("unit", "lengths", "codes", "common", "asks").groupBy("unit").cogroup(chosen.groupBy("owner"))
     counted = counted.applyInArrow(_word_counts, "shard int, keys binary, counts binary")
     words = counted.groupBy("shard").applyInArrow(_numbered(shards), "shard int, keys binary, numbers binary")
     asked = units.select("unit", F.inline("asks")).groupBy("shard").cogroup(words.groupBy("shard"))
@@ -410,7 +457,7 @@ def scores(docs: DataFrame, labels: DataFrame, unit_bytes: int = UNIT_BYTES) ->
     units = units.drop("asks").join(own.select("unit", F.col("words.numbers").alias("numbers"), "train"), "unit", "left")
 
     # Pairs: counted in shards; the sums of words from them, in the shards of the words.
-    sent = units.select("unit", "lengths", "codes", "numbers", "train").groupBy("unit")
+    sent = units.select("unit", "lengths", "codes", "common", "numbers", "train").groupBy("unit")
     sent = sent.applyInArrow(_pair_counts(shards), "shard int, pairs binary, counts binary")
     model = stage(sent.groupBy("shard").applyInArrow(_summed, "shard int, pairs binary, counts binary, times array<long>"), "pairs")
     sums = model.select("pairs", "counts").mapInArrow(_word_sums(shards), "shard int, words binary, sums binary")
@@ -419,7 +466,7 @@ def scores(docs: DataFrame, labels: DataFrame, unit_bytes: int = UNIT_BYTES) ->
     held = constants(times, [x or 0 for x in sums.agg(*[F.sum(F.col("facts")[i]) for i in range(FACTS)]).first()])
 
     # Scores: each unit gets the counts of its pairs and the sums of its words.
-    asked = units.select("unit", "lengths", "codes", "numbers").groupBy("unit").applyInArrow(_asked(shards), "shard int, unit long, asked binary")
+    asked = units.select("unit", "lengths", "codes", "common", "numbers").groupBy("unit").applyInArrow(_asked(shards), "shard int, unit long, asked binary")
     schema = "unit long, shard int, pair boolean, answer binary"
     counts = asked.groupBy("shard").cogroup(model.groupBy("shard")).applyInArrow(_counts, schema)
     answers = counts.unionAll(own.select("unit", F.inline("words")).groupBy("shard").cogroup(sums.groupBy("shard")).applyInArrow(_sums, schema))
