@@ -47,8 +47,8 @@ QUANTILE = 0.99
 PRIOR_WORDS = 50
 #: Held-out documents that a language needs for a quantile of its own; others take that of all.
 LANGUAGE_ROWS = 100
-#: What is counted of each word: how often a word follows it, the pairs it begins that are seen once, twice
-#: and more often, and the different words before it.
+#: What is counted of each word: how often pairs that it begins are seen beyond three times, its pairs that are
+#: seen once, twice and more often, and the different words before it.
 SUMS = 5
 
 
@@ -281,7 +281,7 @@ def word_sums(pairs: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nda
     before, word = _split(pairs)
     words, place = np.unique(np.concatenate([before, word]), return_inverse=True)
     first, second = place[: len(pairs)], place[len(pairs) :]
-    columns = [np.bincount(first, w, len(words)) for w in (counts, counts == 1, counts == 2, counts > 2)]
+    columns = [np.bincount(first, w, len(words)) for w in (np.maximum(counts, 3) - 3, counts == 1, counts == 2, counts > 2)]
     return words, np.array([*columns, np.bincount(second, minlength=len(words))]).astype(np.uint64)
 
 
@@ -350,10 +350,16 @@ def lower(before: np.ndarray, held: dict) -> np.ndarray:
     return discounted(before, held["single"]) / held["pairs"] + held["share"]
 
 
+def totals(sums: np.ndarray) -> np.ndarray:
+    """How often any word follows words of these sums."""
+    return sums[0] + sums[1] + 2 * sums[2] + 3 * sums[3]
+
+
 def given(sums: np.ndarray, held: dict) -> np.ndarray:
     """The share that pairs leave to single words, after words of these sums."""
     one, two, more = held["pair"]
-    return np.where(sums[0] > 0, (one * sums[1] + two * sums[2] + more * sums[3]) / np.maximum(sums[0], 1), 1.0)
+    total = totals(sums)
+    return np.where(total > 0, (one * sums[1] + two * sums[2] + more * sums[3]) / np.maximum(total, 1), 1.0)
 
 
 def log_probabilities(counts: np.ndarray, total: np.ndarray, share: np.ndarray, word: np.ndarray, held: dict) -> np.ndarray:
@@ -413,7 +419,7 @@ def _scored(shards: int, held: dict):
             by_kind[pair][shard] = unpacked(blob, np.uint64)
         words = [by_kind[False][s].reshape(SUMS, -1) for s in sorted(by_kind[False])]
         sums = np.concatenate([*words, np.array([[x] for x in (*held["begin"], 0)], np.uint64)], axis=1).astype(np.int64)
-        shares, lowers = given(sums, held), lower(sums[-1], held)
+        total, shares, lowers = totals(sums), given(sums, held), lower(sums[-1], held)
         found, place = np.unique(pairs, return_inverse=True)
         del pairs
         counts, known = np.zeros(len(found), np.int64), _known(found)
@@ -423,7 +429,7 @@ def _scored(shards: int, held: dict):
         logs = np.zeros(len(text) + 1)
         for start in range(0, len(text), PART_WORDS):
             at = slice(start, start + PART_WORDS)
-            logs[1:][at] = log_probabilities(counts[place[at]], sums[0][before[at]], shares[before[at]], lowers[text[at]], held)
+            logs[1:][at] = log_probabilities(counts[place[at]], total[before[at]], shares[before[at]], lowers[text[at]], held)
         logs = np.cumsum(logs)
         ends = np.cumsum(lengths)
         return pa.table({"doc_id": unit["doc_ids"][0].values, "lang": unit["langs"][0].values, "n_words": pa.array(lengths), "log_probability": pa.array(logs[ends] - logs[ends - lengths])})
