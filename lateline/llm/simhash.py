@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lateline.llm import hamming
+from lateline.llm import hamming, jaccard
 from lateline.llm.common import as_bytes, slices, texts
 from lateline.llm.components import components
 from lateline.sources.staging import stage
@@ -99,21 +99,6 @@ def near_groups(docs: DataFrame, size: int = SHINGLE_WORDS, distance: int = DIST
     return prints.join(groups, "key").select("doc_id", F.array_join(digits, "").alias("fingerprint"), "component_id")
 
 
-#: Near copies: five-word shingles, six words of fingerprint, ranges of 14 bits. Vectors at a cosine of
-#: 0.889, that of sets with a Jaccard similarity of 0.8, differ in 15.1 % of the bits; one standard
-#: deviation of 384 bits is added, so that most pairs of just 0.8 are within.
-COPY_WORDS, COPY_SHINGLE, COPY_RANGES = 6, 5, 27
-COPY_DISTANCE = round((0.151 + 0.018) * 64 * COPY_WORDS)
-
-
-def without_near_copies(docs: DataFrame) -> DataFrame:
-    """The row of the least doc_id of each group of near copies, with all its columns.
-
-    Copies are near if their fingerprints differ in so few bits as a similarity of 0.8 of their
-    five-word shingles gives. Of pairs of a similarity of 0.9 about two in a thousand do not meet in any
-    bucket, of pairs of 0.8 one in eighteen; groups are connected by any of their pairs. Rows without a
-    doc_id stay. Of rows repeated with the doc_id that stays, all stay.
-    """
-    groups = near_groups(docs, COPY_SHINGLE, COPY_DISTANCE, COPY_WORDS, COPY_RANGES)
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+def without_near_copies(docs: DataFrame, **options) -> DataFrame:
+    """One row of each group of near copies. Fingerprints only estimate a similarity, so shingles decide."""
+    return jaccard.without_near_copies(docs, **options)
