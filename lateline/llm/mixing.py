@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lateline.llm.common import WORD, fresh, id_text, parameters
+from lateline.llm.common import WORD, fresh, parameters
 from lateline.sources.staging import stage
 
 MOST_COPIES = 3
@@ -28,10 +28,10 @@ BLOCK_ROWS = 4_000
 NEWTON_STEPS = 60
 
 
-def with_sizes(docs: DataFrame) -> DataFrame:
-    """doc_id, source and the number of words (null: 0) of every row."""
+def with_sizes(docs: DataFrame, *more: str) -> DataFrame:
+    """doc_id, source and the number of words (null: 0) of every row, and ``more`` columns as they are."""
     words = F.regexp_count(F.col("text").cast("string"), F.lit(WORD))
-    return docs.select("doc_id", F.col("source").cast("string").alias("source"), F.coalesce(words, F.lit(0)).cast("long").alias("size"))
+    return docs.select("doc_id", F.col("source").cast("string").alias("source"), F.coalesce(words, F.lit(0)).cast("long").alias("size"), *more)
 
 
 def targets(sizes: list[int], weights: list[int], most: int = MOST_COPIES) -> list[float]:
@@ -104,7 +104,7 @@ def _rounded(most: int):
                 carry += (rate[i] - copies[i]) * size[i]
             else:
                 copies[i] = 1
-        return table.select(["doc_id", "source", "size", "source_size", "target", "rate"]).append_column("copies", pa.array(copies))
+        return table.drop_columns(["number", "block"]).append_column("copies", pa.array(copies))
 
     return run
 
@@ -120,7 +120,13 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_CO
     One row for each source is held by the driver, as the mix itself is a list of sources; so are
     its multipliers.
     """
-    sized = stage(with_sizes(docs), "mix-sizes")
+    return _mix(docs, weights, most, block_rows)
+
+
+def _mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES, block_rows: int = BLOCK_ROWS, key: str | None = None) -> DataFrame:
+    """The mix, with the long column ``key`` of each row if one is named."""
+    more = [key] if key else []
+    sized = stage(with_sizes(docs, *more), "mix-sizes")
     histogram = sized.groupBy("source", "size").agg(F.count(F.lit(1)).alias("documents"))
     totals = histogram.groupBy("source").agg(F.sum(F.col("size") * F.col("documents")).alias("words"), F.sum("documents").alias("documents"))
     found = sorted(totals.collect(), key=lambda r: (r["source"] is None, r["source"] or ""))
@@ -139,19 +145,17 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_CO
     # Without words a rate has no meaning; at the bound the multiplier is infinite.
     rate = F.when(F.col("size") == 0, 1.0).when(F.col("target") <= 0, 0.0).otherwise(F.least(F.lit(float(most)), F.exp(F.col("multiplier") * F.col("size") / F.col("scale"))))
     dealt = joined.withColumns({"rate": rate, "block": F.pmod(F.xxhash64("doc_id", F.lit(7)), F.col("blocks"))})
-    schema = "doc_id long, source string, size long, source_size long, target double, rate double, copies long"
-    columns = [F.col("doc_id").cast("long").alias("doc_id"), "source", "size", "source_size", "target", "rate", "number", "block"]
+    kept = "".join(f"`{name}` long, " for name in more)
+    schema = f"doc_id long, source string, size long, {kept}source_size long, target double, rate double, copies long"
+    columns = [F.col("doc_id").cast("long").alias("doc_id"), "source", "size", *more, "source_size", "target", "rate", "number", "block"]
     rounded = dealt.select(*columns).groupBy("number", "block").applyInArrow(_rounded(most), schema)
     return rounded.withColumn("taken", F.col("copies") * F.col("size"))
 
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` as often as the mix takes them, with all their columns.
-
-    Rows that share a doc_id, source and size are given the copies of all of them, evenly.
-    """
+    """The rows of ``docs`` as often as the mix takes them, with all their columns; each row its own copies."""
     key, copies, again = (fresh(docs, n) for n in ("mix_key", "mix_copies", "mix_again"))
-    taken = mix(docs, **options).groupBy("doc_id").agg(F.expr("cast(ceil(sum(copies) / count(1)) as int)").alias(copies))
-    taken = taken.where(f"{copies} > 0").select(id_text().alias(key), copies)
-    rows = docs.withColumn(key, id_text()).join(taken, key)
-    return rows.withColumn(again, F.explode(F.sequence(F.lit(1), copies))).drop(key, copies, again)
+    rows = stage(docs.withColumn(key, F.monotonically_increasing_id()), "mix-rows")
+    taken = _mix(rows, **options, key=key).where("copies > 0").select(key, F.col("copies").cast("int").alias(copies))
+    rows = rows.join(taken, key)
+    return rows.withColumn(again, F.explode(F.sequence(F.lit(1), copies))).select(docs.columns)
