@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lateline.llm.common import BATCH_ROWS, as_bytes, by_shard, packed, packed_ascending, slices, tasks, unpacked, unpacked_ascending
+from lateline.llm.common import BATCH_ROWS, as_bytes, by_shard, fresh, packed, packed_ascending, slices, tasks, unpacked, unpacked_ascending
 from lateline.sources.staging import shared_folder, stage
 
 #: Numbers of words are 32 bits wide; two are the unknown word and the beginning of a text.
@@ -443,11 +443,18 @@ def good_documents(labels: DataFrame) -> DataFrame:
     return named.agg(F.min("quality").alias("least"), F.max("quality").alias("most"), F.count_if(F.col("quality").isNull()).alias("open")).where("least = 1 and most = 1 and open = 0").select("doc_id")
 
 
-def scores(docs: DataFrame, labels: DataFrame, unit_bytes: int = UNIT_BYTES) -> tuple[DataFrame, DataFrame]:
-    """doc_id, lang, n_words and log_probability of every row of ``docs``; and doc_id of the good documents held out."""
+def with_held(good: DataFrame) -> DataFrame:
+    """doc_id, and whether the document is held out."""
+    return good.withColumn("held", F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT)) == 0)
+
+
+def scores(docs: DataFrame, good: DataFrame, unit_bytes: int = UNIT_BYTES) -> tuple[DataFrame, DataFrame]:
+    """doc_id, lang, n_words and log_probability of every row of ``docs``; and doc_id of the good documents held out.
+
+    ``good``: doc_id and held of the good documents, one row each.
+    """
     shards = tasks(docs.sparkSession)
     units, buckets = _units(docs, unit_bytes)
-    good = good_documents(labels).withColumn("held", F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT)) == 0)
     places = units.select(F.col("unit").alias("owner"), F.posexplode("doc_ids").alias("place", "doc_id"))
     chosen = places.join(good.where("not held"), "doc_id").select("owner", "place")
 
@@ -491,7 +498,12 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, pri
     languages are a language of their own. A language with few held-out documents takes the quantile
     of all of them. Rows repeated with one doc_id each have a row. An empty table gives an empty result.
     """
-    scored, held = scores(docs, labels, **options)
+    return _judged(docs, with_held(good_documents(labels)), quantile, prior, **options)
+
+
+def _judged(docs: DataFrame, good: DataFrame, quantile: float = QUANTILE, prior: int = PRIOR_WORDS, **options) -> DataFrame:
+    """The same by the good documents, as ``scores`` takes them."""
+    scored, held = scores(docs, good, **options)
     language = F.coalesce("lang", F.lit(""))
     scored = scored.withColumn("language", language)
     known = scored.where("n_words > 0").join(held, "doc_id", "left_semi").select("language", "n_words", "log_probability")
@@ -525,6 +537,14 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, pri
 
 
 def without_rejected(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; rows without a doc_id stay."""
-    rejected = classify(docs, labels, **options).where("not kept and doc_id is not null").select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti").select(docs.columns)
+    """The rows of ``docs`` that stay, with all their columns.
+
+    Each row has the verdict that ``classify`` gives it, also without a doc_id or with one that others have.
+    """
+    key = fresh(docs, "row_key")
+    rows = stage(docs.withColumn(key, F.monotonically_increasing_id()), "quality-rows")
+    ids = rows.select(F.col(key).alias("row"), F.col("doc_id").cast("long").alias("doc_id"))
+    good = ids.join(with_held(good_documents(labels)), "doc_id").select(F.col("row").alias("doc_id"), "held")
+    judged = _judged(rows.select(F.col(key).alias("doc_id"), "text", "lang"), stage(good, "good-rows"), **options)
+    rejected = judged.where("not kept").select(F.col("doc_id").alias(key))
+    return rows.join(rejected, key, "left_anti").select(docs.columns)
