@@ -7,9 +7,12 @@ looked up, and so is each of its lines, since a notice mostly is one line of a d
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lateline.llm import license_texts
 from lateline.llm.common import id_text
 
 #: Licences by their SPDX names, and texts or notices that stand for them.
@@ -36,6 +39,39 @@ KNOWN = [
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 ]
 
+#: Titles that copies of a licence begin with; without one the text itself begins.
+TITLES = {
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)", "MIT"],
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)", "ISC"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The 2-Clause BSD License", "BSD 2-Clause \"Simplified\" License", "BSD License", "The BSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The 3-Clause BSD License", "BSD 3-Clause \"New\" or \"Revised\" License", "BSD License", "The BSD License", "New BSD License"],
+}
+
+
+def _complete() -> list[tuple[str, str]]:
+    """Complete texts: with and without titles, numbers, and parts that a copy fills in or leaves out."""
+    third = license_texts.BSD[license_texts.BSD.index("3. Neither") : license_texts.BSD.index("THIS SOFTWARE")]
+    short = [("MIT", KNOWN[3][1]), ("ISC", license_texts.ISC)]
+    for name, numbered in (("BSD-3-Clause", license_texts.BSD), ("BSD-2-Clause", license_texts.BSD.replace(third, ""))):
+        for text in (numbered, re.sub(r"(?m)^[123]\. ", "* ", numbered)):
+            short += [(name, text), (name, text.replace("HOLDER OR", "HOLDERS OR"))]
+    rows = [(name, f"{title}\n{rights}\n{text}") for name, text in short for title in ("", *TITLES[name]) for rights in ("", "All rights reserved.")]
+    apache = license_texts.APACHE_2
+    # A copy fills in the holder, and that line is dropped as one of a copyright.
+    rows += [("Apache-2.0", apache), ("Apache-2.0", apache.replace("Copyright [yyyy] [name of copyright owner]", ""))]
+    rows += [("GPL-2.0", license_texts.GPL_2), ("GPL-3.0", license_texts.GPL_3), ("MPL-2.0", license_texts.MPL_2), ("CC0-1.0", license_texts.CC0)]
+    # Spellings of two words are told within a line: as published, and with a line for each paragraph.
+    for name, text in rows[-6:]:
+        paragraphs = re.split(r"\n\s*\n", text)
+        rows.append((name, "\n\n".join(p if re.search(r"(?i)copyright \(c\)", p) else " ".join(p.split()) for p in paragraphs)))
+    # The directions after the terms are often left out.
+    ends = [(name, text, text.find(END)) for name, text in rows[-12:]]
+    return rows + [(name, text[:at] + end) for name, text, at in ends if at > 0 for end in ("", END)]
+
+
+END = "END OF TERMS AND CONDITIONS"
+KNOWN += _complete()
+
 #: Spellings that count as one, as words of the canonical form.
 SPELLINGS = [("licence", "license"), ("licenced", "licensed"), ("sub license", "sublicense"), ("non infringement", "noninfringement"), ("v", "version"), ("copyright owner", "copyright holder")]
 
