@@ -7,7 +7,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lateline.llm import exact, licenses, mixing, neighbours, packing, preferences, quality, simhash, substrings, token_files
+from lateline.llm import divergence, exact, importance, licenses, mixing, neighbours, packing, preferences, quality, secrets, simhash, substrings, token_files
 from lateline.llm.common import read
 from lateline.sources.staging import shared_folder
 
@@ -55,6 +55,18 @@ def op10_nearest_neighbours(spark: SparkSession, sf: str) -> DataFrame:
     return neighbours.nearest(read(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op11_source_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    return divergence.divergences(read(spark, sf, "documents"))
+
+
+def op12_importance_draw(spark: SparkSession, sf: str) -> DataFrame:
+    return importance.resample(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
+
+
+def op13_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return secrets.scan(read(spark, sf, "documents"))
+
+
 QUERIES = {
     "op1_source_mix": op1_source_mix,
     "op2_simhash_groups": op2_simhash_groups,
@@ -66,6 +78,9 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_preference_pairs": op9_preference_pairs,
     "op10_nearest_neighbours": op10_nearest_neighbours,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_importance_draw": op12_importance_draw,
+    "op13_secret_scan": op13_secret_scan,
 }
 
 ORACLE = {
@@ -149,3 +164,5 @@ def _license_sql() -> str:
 
 
 ORACLE["op8_license_scan"] = _license_sql()
+ORACLE["op11_source_divergence"] = divergence.SQL
+ORACLE["op12_importance_draw"] = importance.SQL
