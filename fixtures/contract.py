@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fixtures.orders_wide import clean_lines, order_lines, read
 from fixtures.raw_orders import raw_orders, raw_orders_twice, twice_delivered
-from lateline.ml import evaluation, prepare
+from lateline.ml import evaluation, forest, prepare
 from lateline.ml import split as S
 from lateline.ml import train as M
 from lateline.ml.scoring import advise, load_model, save_model, score
@@ -298,6 +298,40 @@ def late_risk_scores(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("order_id", "prediction", "late_probability", "title", "level", "advice", "probability_text")
 
 
+@cache
+def _small_forest(application: str, sf: str) -> tuple[forest.ForestModel, DataFrame]:
+    """Two trees of depth 4 over all slots and rows, with exact edges: SQL can grow the same. Fitted once, as above."""
+    data = model_data(SparkSession.active(), sf)
+    train = data.select(*S.FEATURES, TARGET)
+    weights = {row[TARGET]: row[M.WEIGHT] for row in M.class_weights(train).collect()}
+    settings = forest.ForestSettings(2, 4, slots=10**6, bins=8, bootstrap=False, large_rows=20_000, quantile_error=0)
+    return forest.fit_forest(train, prepare.fit_preparation(train), weights, settings), data
+
+
+def forest_nodes(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(_small_forest(spark.sparkContext.applicationId, sf)[0].nodes, dict.fromkeys(["weight_0", "weight_1", "gain"], 4))
+
+
+def forest_scores(spark: SparkSession, sf: str) -> DataFrame:
+    model, data = _small_forest(spark.sparkContext.applicationId, sf)
+    return rounded(score(model, data).select("order_id", "prediction", "late_probability"), {"late_probability": 8})
+
+
+def forest_importances(spark: SparkSession, sf: str) -> DataFrame:
+    model, _ = _small_forest(spark.sparkContext.applicationId, sf)
+    shown = M.feature_importance(spark, model, model.slot_names, rows=10**6).where("importance > 0")
+    return rounded(shown, {"importance": 8})
+
+
+def ml_regression_gradient(spark: SparkSession, sf: str) -> DataFrame:
+    """The fitted regression is at its optimum: every component of the gradient is zero."""
+    train = model_data(spark, sf).select(*S.FEATURES, TARGET)
+    models, _ = M.fit_models(train, {M.LOGISTIC_REGRESSION: M.DEFAULT_ESTIMATORS[M.LOGISTIC_REGRESSION]})
+    weights = {row[TARGET]: row[M.WEIGHT] for row in M.class_weights(train).collect()}
+    gradient = M.regression_gradient(models[M.LOGISTIC_REGRESSION], train, weights)
+    return rounded(gradient.withColumn("gradient", F.abs("gradient")), {"gradient": 3})
+
+
 def model_test_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Test rows of each model and class, and whether its accuracy is that of its stored scores."""
     trained, _ = training(spark, sf)
@@ -318,8 +352,7 @@ def model_reloaded(spark: SparkSession, sf: str) -> DataFrame:
     save_model(trained.models[trained.best], path)
     before = score(trained.models[trained.best], data)
     before = before.withColumnsRenamed({"prediction": "prediction_before", "late_probability": "probability_before"})
-    # Stored between, as a plan holds the trees of its models.
-    after = score(load_model(path), stage(before, "scored-before"))
+    after = score(load_model(path), before)
     same = F.col("prediction").eqNullSafe(F.col("prediction_before"))
     same &= F.col("late_probability").eqNullSafe(F.col("probability_before"))
     return after.agg(F.count(F.lit(1)).alias("rows"), F.count_if(~same).alias("changed"))
@@ -429,6 +462,10 @@ QUERIES = {
     "ml_metrics": ml_metrics,
     "feature_importance": feature_importance,
     "late_risk_scores": late_risk_scores,
+    "forest_nodes": forest_nodes,
+    "forest_scores": forest_scores,
+    "forest_importances": forest_importances,
+    "ml_regression_gradient": ml_regression_gradient,
     "model_test_rows": model_test_rows,
     "model_reloaded": model_reloaded,
     "score_advice": score_advice,

@@ -392,6 +392,76 @@ ranked as (select *, coalesce(sum(p) over (
 areas as (select model, sum(q * (above + p / 2)) / (sum(p) * sum(q)) as area from ranked group by model),
 figures as (select *, 2 * hit / (flagged + late) as f1 from cells join areas using (model))"""
 
+_SLOT_NAMES = "numbered as (" + " union all ".join(
+    [f"select {i} as place, '' as level, 'num__{c}' as feature" for i, c in enumerate(_NUMBERS)]
+    + [f"select distinct {len(_NUMBERS) + i}, {c}, 'cat__{c}_' || {c} from wide" for i, c in enumerate(_LEVELLED)]
+) + "), slots as (select *, cast(row_number() over (order by place, level) - 1 as integer) as slot from numbered)"
+
+
+def _tree(depth: int, bins: int) -> str:
+    """CTEs that grow one tree over all rows and slots, level by level; ``nodes`` has its nodes, ``ends`` the leaf of each row."""
+    shares = f"[{', '.join(str(k / bins) for k in range(1, bins))}]"
+    edges = " union all ".join(
+        f"select {i} as slot, unnest(list_distinct(quantile_disc({c}, {shares}))) as edge, max({c}) as top from wide"
+        for i, c in enumerate(_NUMBERS)
+    )
+    codes = " union all ".join(
+        [
+            f"select r, {i} as slot, (select count(*) from edges e where e.slot = {i} and e.edge < x) as code "
+            f"from (select r, {c} as x from placed)"
+            for i, c in enumerate(_NUMBERS)
+        ]
+        + [
+            f"select r, slot, 1 from placed join slots on place = {len(_NUMBERS) + i} and level = {c}"
+            for i, c in enumerate(_LEVELLED)
+        ]
+    )
+    parts = [
+        f"""{WIDE}, {_SLOT_NAMES},
+        placed as materialized (select *, row_number() over () as r, late_delivery_risk as y from wide),
+        weights as (select max(case when y = 0 then w end) as w0, max(case when y = 1 then w end) as w1 from (
+          select y, cast((select count(*) from placed) as double) / (2 * count(*)) as w from placed group by y)),
+        edges as (select slot, edge from ({edges}) where edge < top),
+        codes as materialized ({codes}),
+        at_0 as (select r, y, 1 as node from placed)"""
+    ]
+    purity = "({a} * {a} + {b} * {b}) / ({a} + {b})"
+    for level in range(depth):
+        parts.append(f"""
+        all_{level} as (select node, sum(1 - y) as n0, sum(y) as n1 from at_{level} group by node),
+        hist_{level} as (select node, slot, code, sum(1 - y) as c0, sum(y) as c1
+          from at_{level} join codes using (r) group by all),
+        cuts_{level} as (
+          select node, slot, code as cut, sum(c0) over upto as l0, sum(c1) over upto as l1 from hist_{level}
+          where slot < {len(_NUMBERS)} window upto as (partition by node, slot order by code)
+          union all select node, slot, 0, n0 - c0, n1 - c1 from hist_{level} join all_{level} using (node)
+          where slot >= {len(_NUMBERS)}),
+        sides_{level} as (select node, slot, cut, n0 * w0 as a0, n1 * w1 as a1, l0 * w0 as l0, l1 * w1 as l1,
+            (n0 - l0) * w0 as r0, (n1 - l1) * w1 as r1
+          from cuts_{level} join all_{level} using (node), weights
+          where n0 > 0 and n1 > 0 and l0 + l1 > 0 and l0 + l1 < n0 + n1),
+        splits_{level} as (
+          select node, slot, cut, score - {purity.format(a="a0", b="a1")} as gain
+          from (select *, {purity.format(a="l0", b="l1")} + {purity.format(a="r0", b="r1")} as score from sides_{level})
+          qualify row_number() over (partition by node order by score desc, slot, cut) = 1),
+        at_{level + 1} as (
+          select r, y, 2 * node + case when coalesce(c.code, 0) > cut then 1 else 0 end as node
+          from at_{level} join splits_{level} s using (node) left join codes c using (r, slot))""")
+    last = f"select node, sum(1 - y) as n0, sum(y) as n1, null as slot, null as cut, null as gain from at_{depth} group by node"
+    inner = [
+        f"select node, n0, n1, slot, cut, gain from all_{i} left join splits_{i} using (node)" for i in range(depth)
+    ]
+    parts.append(f"""
+        nodes as (select cast(node as integer) as node, cast(coalesce(slot, -1) as integer) as slot,
+            cast(coalesce(cut, 0) as integer) as cut, n0 * w0 as weight_0, n1 * w1 as weight_1, coalesce(gain, 0) as gain
+          from ({" union all ".join([*inner, last])}), weights),
+        ends as (select r, node from nodes join ({" union all ".join(f"select r, node from at_{i}" for i in range(depth + 1))})
+          using (node) where slot = -1)""")
+    return "with " + ",".join(parts)
+
+
+_TREE = _tree(4, 8)
+
 _TABLES = ["lineitem", "orders", "customer", "part", "nation", "region"]
 
 ORACLE = {
@@ -526,6 +596,15 @@ ORACLE = {
       select order_id, prediction, {_choice("High Late Delivery Risk", "Low Late Delivery Risk")} as title,
         {_choice("danger", "success")} as level, {_choice(LATE_ADVICE, ON_TIME_ADVICE)} as advice,
         'Predicted late-risk probability: ' || {_half_up("score * 100")} as probability_text from predicted""",
+    "forest_nodes": f"""{_TREE} select cast(tree as integer) as tree, node, slot, cut, round(weight_0, 4) as weight_0,
+        round(weight_1, 4) as weight_1, round(gain, 4) as gain from nodes, range(2) t(tree)""",
+    "forest_scores": f"""{_TREE} select order_id, cast(weight_1 / (weight_0 + weight_1) > 0.5 as integer) as prediction,
+        round(weight_1 / (weight_0 + weight_1), 8) as late_probability
+        from placed join ends using (r) join nodes using (node)""",
+    "forest_importances": f"""{_TREE} select feature, round(sum(gain) / (select sum(gain) from nodes), 8) as importance
+        from nodes join slots using (slot) group by feature having sum(gain) > 0""",
+    "ml_regression_gradient": f"""with {WIDE}, {_SLOT_NAMES} select feature, cast(0 as double) as gradient from slots
+        union all select 'intercept', 0""",
     "model_reloaded": f"with {WIDE} select count(*) as rows, cast(0 as bigint) as changed from wide",
     "confusion_matrix": f"with {_SCORED} "
     + _union(

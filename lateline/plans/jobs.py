@@ -15,8 +15,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lateline.ml import evaluation, prepare
-from lateline.ml.scoring import save_model
+from lateline.ml import evaluation
+from lateline.ml.scoring import preparation_of, save_model
 from lateline.ml.split import FEATURES, SEED, TEST_SHARE, class_distribution, exact_split, hash_split, labelled
 from lateline.ml.train import (
     DEFAULT_ESTIMATORS,
@@ -197,7 +197,7 @@ def training_job(
     training = train_and_compare(train, test, estimators)
     best = training.models[training.best]
     save_model(best, f"{model_path}/model")
-    save_model(prepare.PipelineModel(best.stages[:-1]), f"{model_path}/preparation")
+    save_model(preparation_of(best), f"{model_path}/preparation")
 
     def of_all_models(figure: Callable[[Evaluation], DataFrame]) -> DataFrame:
         tables = [figure(e).select(F.lit(name).alias("model"), "*") for name, e in training.evaluations.items()]

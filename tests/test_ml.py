@@ -185,7 +185,7 @@ def test_training_job(spark, data, tmp_path):
     files.write_table(data, clean)
     estimators = {
         train.LOGISTIC_REGRESSION: lambda rows: train.logistic_regression(rows, 10),
-        train.RANDOM_FOREST: lambda rows: train.random_forest(5, 4),
+        train.RANDOM_FOREST: lambda rows: train.ForestSettings(5, 4),
     }
     out = str(tmp_path / "model")
     result = jobs.training_job(spark, clean, out, estimators, report_path=str(tmp_path / "reports"))
@@ -197,7 +197,7 @@ def test_training_job(spark, data, tmp_path):
     assert table["feature_importance"].count() == 20
     held_out = files.read_table(spark, str(tmp_path / "reports")).first()["rows_after"]
     assert table["confusion_matrix"].groupBy("model").agg(F.sum("rows")).first()[1] == held_out
-    assert scoring.load_model(f"{out}/model").transform(data).count() == data.count()
+    assert scoring.score(scoring.load_model(f"{out}/model"), data).count() == data.count()
 
 
 def test_missing_nan_and_infinite_numbers_are_imputed(spark):
