@@ -46,7 +46,7 @@ def all_gold_groups(spark: SparkSession, sf: str) -> DataFrame:
 def clustered_gold_groups(spark: SparkSession, sf: str) -> DataFrame:
     """The same from stored lines, in another number of buckets."""
     lines = stage(clean_lines(spark, sf), "clean-lines")
-    return rounded(gold.gold_groups(lines, MONEY, buckets=3))
+    return rounded(gold.gold_groups(lines, MONEY, partitions=3))
 
 
 def gold_key_violations(spark: SparkSession, sf: str) -> DataFrame:

@@ -34,7 +34,7 @@ def arguments() -> argparse.ArgumentParser:
     clean.add_argument("--relative-error", type=float, default=SALES_QUANTILE_ERROR, help="0 for exact thresholds")
     gold = job("gold", "build the gold tables", "clean table", "folder of gold tables")
     gold.add_argument("--sum-type", default="double", help="type sums are taken in")
-    gold.add_argument("--buckets", type=int, help="buckets of the lines stored by order; by default as many as a shuffle has partitions")
+    gold.add_argument("--partitions", type=int, help="partitions of the order totals; by default Spark decides")
     gold.add_argument("--jdbc-url", help="database to publish to; user and password come from DB_USER, DB_PASSWORD")
     gold.add_argument("--jdbc-schema", default="dashboard")
     train = job("train", "fit and compare the classifiers", "clean table", "folder for model and figures")
@@ -57,7 +57,7 @@ def main(argv: list[str] | None = None) -> None:
         if given.jdbc_url:
             login = {"user": os.environ["DB_USER"], "password": os.environ["DB_PASSWORD"]}
             publish = publisher(given.jdbc_url, given.jdbc_schema, login)
-        report = jobs.gold_job(spark, given.source, given.target, given.sum_type, given.buckets, publish, **log)
+        report = jobs.gold_job(spark, given.source, given.target, given.sum_type, given.partitions, publish, **log)
     else:
         training = jobs.training_job(spark, given.source, given.target, exact=not given.hash_split, **log)
         report = {"job": "training", "best_model": training.best, "metrics_by_model": training.metrics}

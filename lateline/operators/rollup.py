@@ -13,13 +13,10 @@ Figures are then plain expressions of the totals.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lateline.functions.columns import percentage
-from lateline.sources.staging import stage_bucketed
 
 ORDER = "order_id"
 HOME = "__home"
@@ -152,8 +149,8 @@ def _merged(name: str) -> Column:
     return (F.max if name in FLAGS else F.sum)(_total(name)).alias(f"__{name}")
 
 
-def _stored_orders(lines: DataFrame, keys: list[str], measures: list[str], sum_type: str, buckets: int) -> DataFrame:
-    """Totals per order and combination of all keys, stored by order.
+def _orders(lines: DataFrame, keys: list[str], measures: list[str], sum_type: str, partitions: int | None) -> DataFrame:
+    """Totals per order and combination of all keys, with all rows of an order in one partition.
 
     Lines of one order and combination are added up before they are shuffled, so an order with a large
     share of all lines leaves only its combinations. Rows without an order id count as no order and need
@@ -161,7 +158,8 @@ def _stored_orders(lines: DataFrame, keys: list[str], measures: list[str], sum_t
     """
     orders = lines.groupBy(ORDER, *keys).agg(*_order_columns(measures, sum_type))
     home = F.when(F.col(ORDER).isNotNull(), F.xxhash64(ORDER)).otherwise(F.xxhash64(*keys))
-    return stage_bucketed(orders.withColumn(HOME, home), "orders", HOME, buckets)
+    placed = orders.withColumn(HOME, home)
+    return placed.repartition(partitions, HOME) if partitions else placed.repartition(HOME)
 
 
 def roll_up_sets(
@@ -169,25 +167,24 @@ def roll_up_sets(
     key_sets: KeySets,
     measures: list[str],
     sum_type: str = "double",
-    buckets: int | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Figures for several key sets, in a column ``key_set`` beside all keys.
+    """Figures for several key sets, in a column ``key_set`` beside all keys; no row at all for empty input.
 
-    The lines are shuffled once, as totals per order and combination of keys, into ``buckets`` (by
-    default as many as a shuffle has partitions). Each key set then shuffles its groups only.
+    Totals per order and combination of keys are shuffled by order, into ``partitions`` if given. There each of them
+    counts for all key sets, as a generator keeps the partitioning by order that ``GROUPING SETS`` would lose. Then
+    only groups are shuffled. The lines are read once, and nothing is stored.
     """
-    buckets = buckets or int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys, needed = all_keys(key_sets), _needed(measures)
-    stored = _stored_orders(lines, keys, measures, sum_type, buckets)
-
-    def of_set(name: str, names: list[str]) -> DataFrame:
-        orders = stored.groupBy(*names, ORDER, HOME).agg(*[_merged(t) for t in needed or ["lines"]])
-        groups = orders.groupBy(*names) if names else orders
-        totals = groups.agg(*_group_columns(measures))
-        key_columns = [
-            F.col(key) if key in names else F.lit(None).cast(stored.schema[key].dataType).alias(key) for key in keys
-        ]
-        return totals.select(F.lit(name).alias("key_set"), *key_columns, *[_total(t) for t in ["orders", *needed]])
-
-    totals = reduce(DataFrame.unionByName, [of_set(name, names) for name, names in key_sets.items()])
-    return _figures(totals, ["key_set", *keys], measures)
+    orders = _orders(lines, keys, measures, sum_type, partitions)
+    totals = [f"__{total}" for total in needed or ["lines"]]
+
+    def of_set(name: str, names: list[str]) -> Column:
+        own = [F.col(key) if key in names else F.lit(None).cast(orders.schema[key].dataType) for key in keys]
+        return F.struct(F.lit(name).alias("key_set"), *[value.alias(key) for value, key in zip(own, keys)])
+
+    sets = F.inline(F.array(*[of_set(name, names) for name, names in key_sets.items()]))
+    of_orders = orders.select(ORDER, HOME, *totals, sets).groupBy("key_set", *keys, ORDER, HOME)
+    merged = of_orders.agg(*[_merged(total) for total in needed or ["lines"]])
+    groups = merged.groupBy("key_set", *keys).agg(*_group_columns(measures))
+    return _figures(groups, ["key_set", *keys], measures)

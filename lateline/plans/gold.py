@@ -155,9 +155,9 @@ def _set_name(keys: list[str]) -> str:
 KEY_SETS = {_set_name(table.keys): table.keys for table in TABLES.values()}
 
 
-def gold_groups(lines: DataFrame, sum_type: str = "double", buckets: int | None = None) -> DataFrame:
-    """Every group of every gold key with all figures; ``buckets`` as in ``roll_up_sets``."""
-    return roll_up_sets(lines, KEY_SETS, MEASURES, sum_type, buckets)
+def gold_groups(lines: DataFrame, sum_type: str = "double", partitions: int | None = None) -> DataFrame:
+    """Every group of every gold key with all figures; ``partitions`` as in ``roll_up_sets``."""
+    return roll_up_sets(lines, KEY_SETS, MEASURES, sum_type, partitions)
 
 
 def gold_table_from_groups(groups: DataFrame, name: str) -> DataFrame:

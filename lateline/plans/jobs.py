@@ -154,17 +154,17 @@ def gold_job(
     clean_path: str,
     gold_path: str,
     sum_type: str = "double",
-    buckets: int | None = None,
+    partitions: int | None = None,
     publish: Callable[[DataFrame, str], None] | None = None,
     report_path: str | None = None,
 ) -> dict:
-    """All gold tables from one pass over the clean table; ``buckets`` as in ``roll_up_sets``.
+    """All gold tables from one pass over the clean table; ``partitions`` as in ``roll_up_sets``.
 
     ``publish(table, name)`` gets every written table, for a relational sink or a catalog.
     """
     report = Report("gold", clean_path, gold_path)
     clean = read_table(spark, clean_path)
-    groups = stage(gold_groups(clean, sum_type, buckets), "gold-groups")
+    groups = stage(gold_groups(clean, sum_type, partitions), "gold-groups")
     row_counts = {}
     for name in TABLES:
         table = gold_table_from_groups(groups, name)

@@ -104,18 +104,20 @@ def test_empty_input(lines):
     assert gold.gold_table(empty, "late_by_market").count() == 0
 
 
-def test_number_of_buckets_does_not_matter(lines):
-    assert close(gold.gold_groups(lines, "decimal(18,4)", buckets=3)) == close(gold.gold_groups(lines, "decimal(18,4)"))
+def test_number_of_partitions_does_not_matter(lines):
+    assert close(gold.gold_groups(lines, "decimal(18,4)", partitions=3)) == close(gold.gold_groups(lines, "decimal(18,4)"))
 
 
 def test_no_line_is_expanded_per_key_set(lines):
     assert "Expand" not in physical_plan(gold.gold_groups(lines))
 
 
-def test_stored_lines_shuffle_groups_only(lines):
-    plan = physical_plan(gold.gold_groups(lines, buckets=3))
+def test_orders_are_shuffled_once_for_all_key_sets(lines):
+    plan = physical_plan(gold.gold_groups(lines, partitions=3))
     exchanges = [text for text in plan.splitlines() if "hashpartitioning" in text]
-    assert len(exchanges) == len(gold.KEY_SETS) - 1 and "order_id" not in "".join(exchanges)
+    assert [("order_id" in x, "__home" in x, "key_set" in x) for x in exchanges] == [
+        (False, False, True), (False, True, False), (True, False, False),
+    ]
 
 
 def test_support_floor(spark):
