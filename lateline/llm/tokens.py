@@ -11,6 +11,8 @@ from __future__ import annotations
 import json
 import os
 import re
+import sys
+from array import array
 from functools import cache
 
 import numpy as np
@@ -18,11 +20,23 @@ from tokenizers import Tokenizer
 
 #: The one use of white space that the memory of words relies on: it is dropped.
 DROPPED_SPACE = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
-REMEMBERED = 200_000
-#: Letters (a-z and those of Latin-1, which have no parts to combine) and then signs other than the
-#: apostrophe: two runs that the pattern takes apart whatever they are.
-LETTERS_SIGNS = re.compile(rb"((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]+)")
+#: Words in each of two generations of a worker's memory; a word takes about 200 bytes.
+REMEMBERED = 500_000
+#: Small letters (a-z and those of Latin-1, which have no parts to combine) and then signs other than the
+#: apostrophe, if any: two runs that the pattern takes apart whatever they are.
+LETTERS_SIGNS = re.compile(rb"((?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]*)")
 SEPARATOR = "0"
+#: A sign between a letter and white space: a run of its own whatever the letter belongs to.
+LAST_SIGN = re.compile(rb"(?<=[a-z])([!,.:;?])(?=[ \n])")
+
+
+def _byte_names() -> dict[int, int]:
+    """The character that stands for each byte that is none itself, in tokenizers of bytes."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    return {byte: 0x100 + i for i, byte in enumerate(b for b in range(256) if b not in plain)}
+
+
+BYTE_NAMES = _byte_names()
 
 
 def default_path() -> str:
@@ -38,9 +52,18 @@ class TextIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core for each task
         self.tokenizer = Tokenizer.from_file(path)
         with open(path) as file:
-            steps = json.load(file).get("pre_tokenizer") or {}
-        first = (steps.get("pretokenizers") or [steps])[0]
+            described = json.load(file)
+            steps = described.get("pre_tokenizer") or {}
+            normalizer, added = described.get("normalizer") or {}, described.get("added_tokens") or []
+        first, *others = steps.get("pretokenizers") or [steps]
+        kinds = [step["type"] for step in normalizer.get("normalizers") or [normalizer] if "type" in step]
+        # Words are told apart as the pattern does it, letters are lowered, and special tokens all begin with "<|".
         self.by_word = first.get("pattern", {}).get("Regex") == DROPPED_SPACE and first.get("invert", False)
+        self.by_word &= "Lowercase" in kinds and "NFC" in kinds and set(kinds) <= {"NFC", "Replace", "Lowercase"}
+        self.by_word &= all(token["content"].startswith("<|") for token in added)
+        # Then a run of letters is one word of the model, spelled in bytes.
+        self.by_letters = self.by_word and [step["type"] for step in others] == ["ByteLevel"]
+        self.by_letters &= not any(others[0].get(key) for key in ("add_prefix_space", "use_regex")) if others else False
         separator = self.tokenizer.encode(SEPARATOR, add_special_tokens=False).ids
         self.separator = separator[0] if len(separator) == 1 else None
         self.new: dict[bytes, bytes] = {}
@@ -52,12 +75,19 @@ class TextIds:
 
     def _learn(self, words: list[bytes]) -> None:
         """Ids of new words; of letters and signs together from those of both."""
-        split = {w: m.groups() for w in words if (m := LETTERS_SIGNS.fullmatch(w)) and b"<|" not in w}
-        parts = [w for w in words if w not in split]
-        self._encode(parts)
-        self._encode(self._missing({p for pair in split.values() for p in pair}))
-        for word, (letters, signs) in split.items():
-            self.new[word] = self.new[letters] + self.new[signs]
+        others, letters, split = [], [], []
+        for word in words:
+            if not (found := LETTERS_SIGNS.fullmatch(word)) or b"<|" in word:
+                others.append(word)
+            elif found[2]:
+                split.append((word, *found.groups()))
+            else:
+                letters.append(word)
+        letters += self._missing({first for _, first, _ in split} - set(letters))
+        self._encode_letters(letters)
+        self._encode(others + self._missing({signs for _, _, signs in split} - set(others)))
+        for word, first, signs in split:
+            self.new[word] = self.new[first] + self.new[signs]
 
     def _missing(self, words: set[bytes]) -> list[bytes]:
         """Those that are not known; what is known from before is made recent."""
@@ -70,6 +100,18 @@ class TextIds:
                     missing.append(word)
         return missing
 
+    def _encode_letters(self, words: list[bytes]) -> None:
+        """Ids of runs of small letters: the model's own, without the way to it."""
+        if not self.by_letters:
+            return self._encode(words)
+        tokenize = self.tokenizer.model.tokenize
+        for word in words:
+            spelled = word.decode() if word.isascii() else word.decode("latin-1").translate(BYTE_NAMES)
+            ids = array("I", [token.id for token in tokenize(spelled)])
+            if sys.byteorder == "big":
+                ids.byteswap()
+            self.new[word] = ids.tobytes()
+
     def _encode(self, words: list[bytes]) -> None:
         """Ids of words, from texts of many words with the separator between them."""
         plain = [w for w in words if b"0" not in w] if self.separator is not None else []
@@ -78,13 +120,15 @@ class TextIds:
         for word, ids in zip(single, self._whole(single)):
             self.new[word] = ids
         between = f" {SEPARATOR} "
-        groups = [plain[i : i + 100] for i in range(0, len(plain), 100)]
+        groups = [plain[i : i + 250] for i in range(0, len(plain), 250)]
         joined = [between.join(w.decode() for w in group) for group in groups]
         for group, found in zip(groups, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
             ids = np.array(found.ids, "<u4")
-            parts = np.split(ids, np.flatnonzero(ids == self.separator))
-            for i, (word, part) in enumerate(zip(group, parts)):
-                self.new[word] = (part[1:] if i else part).tobytes()
+            ends = (4 * np.flatnonzero(ids == self.separator)).tolist() + [4 * len(ids)]
+            raw, start = ids.tobytes(), 0
+            for word, end in zip(group, ends):
+                self.new[word] = raw[start:end]
+                start = end + 4
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_word:
@@ -98,8 +142,11 @@ class TextIds:
 
 
 def folded(text: bytes) -> bytes:
-    """Lower case for A-Z where this can't change the ids: no special tokens, no combining marks."""
-    return text if b"<|" in text or b"\xcc" in text or b"\xcd" in text else text.lower()
+    """Lower case for A-Z, and last signs apart from their word, where this can't change the ids: no special tokens,
+    no combining marks. Fewer different words are left."""
+    if b"<|" in text or b"\xcc" in text or b"\xcd" in text:
+        return text
+    return LAST_SIGN.sub(rb" \1", text.lower())
 
 
 @cache
