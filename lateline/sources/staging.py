@@ -6,6 +6,8 @@ costs a re-read instead of a re-run.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,8 +21,34 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+#: Lists that note what is being staged.
+_noting: list[list[str]] = []
+
+
 def _new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/staged-{name}-{uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/staged-{name}-{uuid4().hex}"
+    for noted in _noting:
+        noted.append(path)
+    return path
+
+
+@contextmanager
+def noted() -> Iterator[list[str]]:
+    """The paths of what is staged meanwhile, for ``discard`` once everything that reads them is written."""
+    paths: list[str] = []
+    _noting.append(paths)
+    try:
+        yield paths
+    finally:
+        _noting.remove(paths)
+
+
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Delete staged tables. No table that still reads them may be in use."""
+    jvm, settings = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(settings).delete(place, True)
 
 
 def stage(table: DataFrame, name: str) -> DataFrame:
