@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lateline.llm import license_texts
-from lateline.llm.common import id_text
+from lateline.sources.staging import stage
 
 #: Licences by their SPDX names, and texts or notices that stand for them.
 KNOWN = [
@@ -105,14 +105,18 @@ def scan(docs: DataFrame, known: DataFrame) -> DataFrame:
 
     license_id is the licence whose text the whole document is, else null; notices are the licences
     that a line of it states, sorted and joined by commas, null if there are none. Null counts as
-    empty text. Rows with one doc_id are looked up one by one; their notices are put together. Other
+    empty text. Every row is looked up by itself, also without a doc_id or with one that others have. Other
     columns are not read. An empty table gives an empty result.
     ``known`` has digest and license_id, from ``digests``; Spark decides how to join it.
+
+    Texts are brought into their canonical form once: what is staged is a number of the row, its digest, and those
+    of its different lines.
     """
-    texts = docs.select("doc_id", id_text().alias("id_text"), canonical(F.col("text").cast("string")).alias("text"))
-    lines = texts.select("id_text", F.explode(F.split("text", "\n")).alias("line"))
-    lines = lines.select("id_text", F.sha2(F.trim("line"), 256).alias("digest"))
-    notices = lines.join(known, "digest").groupBy("id_text").agg(F.array_join(F.array_sort(F.collect_set("license_id")), ",").alias("notices"))
-    whole = texts.select("doc_id", "id_text", F.sha2(_trimmed(F.col("text")), 256).alias("text_digest"))
-    whole = whole.join(known.withColumnRenamed("digest", "text_digest"), "text_digest", "left")
-    return whole.join(notices, "id_text", "left").select("doc_id", "text_digest", "license_id", "notices")
+    texts = docs.select("doc_id", canonical(F.col("text").cast("string")).alias("text"))
+    lines = F.array_distinct(F.transform(F.split("text", "\n"), lambda line: F.sha2(F.trim(line), 256)))
+    found = texts.select("doc_id", F.sha2(_trimmed(F.col("text")), 256).alias("text_digest"), lines.alias("lines"))
+    found = stage(found.withColumn("row", F.monotonically_increasing_id()), "license-digests")
+    stated = found.select("row", F.explode("lines").alias("digest")).join(known, "digest")
+    notices = stated.groupBy("row").agg(F.array_join(F.array_sort(F.collect_set("license_id")), ",").alias("notices"))
+    whole = found.drop("lines").join(known.withColumnRenamed("digest", "text_digest"), "text_digest", "left")
+    return whole.join(notices, "row", "left").select("doc_id", "text_digest", "license_id", "notices")

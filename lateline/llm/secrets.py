@@ -6,16 +6,16 @@ Native: DataFrame functions only.
    Three patterns are the base kinds ``assign``, ``access`` and ``hex``. The fourth gives candidates: runs of
    ``[A-Za-z0-9+/_=-]`` of 16 or more characters. What is found is stored, so texts are scanned once.
 2. Two character Markov models of order one are counted from labelled samples. Random strings are the values of base matches;
-   ordinary identifiers are the candidates, which are looked for outside of base matches. Each sample counts once however often it occurs, and
-   a sample that is found in both roles is random. The counts of pairs are at most ``SYMBOLS ** 2``, and become one list of
-   whole numbers: thousandths of the log-likelihood ratio of a pair, with one count more a pair.
+   ordinary identifiers are candidates that do not mix digits with letters, so that no unknown secret is among them. Each
+   sample counts once however often it occurs, and a sample that is found in both roles is random. The counts of pairs are at most ``SYMBOLS ** 2``, and become one list of
+   whole numbers: thousandths of the log-likelihood ratio of a pair.
 3. A candidate is a span of kind ``random`` if its letters and digits mix
    (at least one digit and one letter) and its ratio adds up to ``LEAST_RATIO`` or more. Base spans stay as they are.
 
 Spans are in code points, the end exclusive, and are those of whole matches, with the key of an assignment.
 
-Rows: a null text is empty; a text without spans has an empty list; repeated rows and ids are documents of their own. Samples of one
-kind only, or none, leave a model of even pairs, which is worth 0. Other columns are not read. No documents give no rows.
+Rows: a null text is empty; a text without spans has an empty list; repeated rows and ids are documents of their own. In a model
+without samples all characters are as likely; two such models are worth 0. Other columns are not read. No documents give no rows.
 A row's spans stay in its row and nothing is gathered by document.
 """
 
@@ -53,6 +53,8 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-.
 SYMBOLS = len(ALPHABET)
 #: Thousandths of a natural logarithm: the evidence that a candidate needs.
 LEAST_RATIO = 6_000
+#: Pairs that the share of a character counts as, beside those seen after another one.
+PRIOR = 8
 
 KINDS = ["assign", "access", "hex", "random"]
 
@@ -141,11 +143,16 @@ def findings(docs: DataFrame) -> DataFrame:
     return rest.select("doc_id", "base", _placed(_matches(_cuts("rest", CANDIDATE)), 3).alias("candidates"))
 
 
+def _mixed(value: Column) -> Column:
+    return value.rlike("[0-9]") & value.rlike("[A-Za-z]")
+
+
 def samples(found: DataFrame) -> DataFrame:
     """``(value, random)``: every different sample once."""
+    plain = F.filter("candidates", lambda c: ~_mixed(c["value"]))
     labelled = F.concat(
         F.transform("base", lambda b: F.struct(b["value"].alias("value"), F.lit(1).alias("random"))),
-        F.transform("candidates", lambda c: F.struct(c["value"].alias("value"), F.lit(0).alias("random"))),
+        F.transform(plain, lambda c: F.struct(c["value"].alias("value"), F.lit(0).alias("random"))),
     )
     return found.select(F.inline(labelled)).groupBy("value").agg(F.max("random").alias("random"))
 
@@ -172,17 +179,31 @@ def pair_counts(labelled: DataFrame) -> DataFrame:
 
 
 def ratios(counts: DataFrame) -> DataFrame:
-    """``(pair, ratio)`` of every pair: thousandths of ``ln P(second | first, random) - ln P(second | first, ordinary)``."""
+    """``(pair, ratio)`` of every pair: thousandths of ``ln P(second | first, random) - ln P(second | first, ordinary)``.
+
+    ``P(second | first)`` counts the pair, and ``PRIOR`` times the share of the second character after any, so that a character
+    which one kind hardly has tells them apart after any other.
+    """
     both = counts.groupBy("pair").agg(
         F.sum(F.when(F.col("random") == 1, F.col("n"))).alias("r"), F.sum(F.when(F.col("random") == 0, F.col("n"))).alias("o")
     )
     every = counts.sparkSession.range(SYMBOLS * SYMBOLS).withColumnRenamed("id", "pair")
-    filled = every.join(both, "pair", "left").na.fill(0, ["r", "o"]).withColumn("first", F.floor(F.col("pair") / SYMBOLS))
-    totals = filled.groupBy("first").agg(F.sum("r").alias("all_r"), F.sum("o").alias("all_o"))
-    random = (F.col("r") + 1).cast("double") * (F.col("all_o") + SYMBOLS).cast("double")
-    ordinary = (F.col("o") + 1).cast("double") * (F.col("all_r") + SYMBOLS).cast("double")
-    ratio = F.floor(1000 * F.log(random / ordinary) + 0.5).cast("int")
-    return filled.join(totals, "first").select("pair", ratio.alias("ratio"))
+    filled = every.join(both, "pair", "left").na.fill(0, ["r", "o"]).withColumns(
+        {"first": F.floor(F.col("pair") / SYMBOLS), "second": F.col("pair") % SYMBOLS}
+    )  # SYMBOLS ** 2 rows
+
+    def summed(by: str) -> DataFrame:
+        return filled.groupBy(by).agg(F.sum("r").alias(f"r_{by}"), F.sum("o").alias(f"o_{by}"))
+
+    whole = filled.agg(F.sum("r").alias("r_all"), F.sum("o").alias("o_all"))
+
+    def probability(kind: str) -> Column:
+        share = (F.col(f"{kind}_second") + 1).cast("double") / (F.col(f"{kind}_all") + SYMBOLS).cast("double")
+        return (F.col(kind).cast("double") + PRIOR * share) / (F.col(f"{kind}_first") + PRIOR).cast("double")
+
+    joined = filled.join(summed("first"), "first").join(summed("second"), "second").join(F.broadcast(whole))  # one row
+    ratio = F.floor(1000 * F.log(probability("r") / probability("o")) + 0.5).cast("int")
+    return joined.select("pair", ratio.alias("ratio"))
 
 
 def _model(table: DataFrame) -> Column:
@@ -192,9 +213,8 @@ def _model(table: DataFrame) -> Column:
 
 
 def _is_random(value: Column, model: Column, least: int) -> Column:
-    mixed = value.rlike("[0-9]") & value.rlike("[A-Za-z]")
     ratio = F.aggregate(_pairs(value), F.lit(0), lambda done, pair: done + model[pair])
-    return mixed & (ratio >= least)
+    return _mixed(value) & (ratio >= least)
 
 
 def _joined(spans: Column) -> Column:
