@@ -21,7 +21,9 @@ from tokenizers import Tokenizer
 #: The one use of white space that the memory of words relies on: it is dropped.
 DROPPED_SPACE = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 #: Words in each of two generations of a worker's memory; a word takes about 200 bytes.
-REMEMBERED = 500_000
+REMEMBERED = 300_000
+#: Bytes of texts whose words are held at once; a text is never cut.
+AT_ONCE = 1_000_000
 #: Small letters (a-z and those of Latin-1, which have no parts to combine) and then signs other than the
 #: apostrophe, if any: two runs that the pattern takes apart whatever they are.
 LETTERS_SIGNS = re.compile(rb"((?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]*)")
@@ -133,12 +135,20 @@ class TextIds:
     def ids(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_word:
             return self._whole(texts)
-        split = [folded(t).split() for t in texts]
-        if len(self.new) > REMEMBERED:
-            self.new, self.old = {}, self.new
-        self._learn(self._missing({w for words in split for w in words}))
-        get = self.new.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        found, start = [], 0
+        while start < len(texts):
+            stop, size = start, 0
+            while stop < len(texts) and (stop == start or size + len(texts[stop]) <= AT_ONCE):
+                size += len(texts[stop])
+                stop += 1
+            split = [folded(t).split() for t in texts[start:stop]]
+            if len(self.new) > REMEMBERED:
+                self.new, self.old = {}, self.new
+            self._learn(self._missing({w for words in split for w in words}))
+            get = self.new.__getitem__
+            found += [b"".join(map(get, words)) for words in split]
+            start = stop
+        return found
 
 
 def folded(text: bytes) -> bytes:
