@@ -11,7 +11,7 @@ import __spark_entry__ as contract
 from fixtures.contract import QUERIES
 
 DATA = os.environ.get("CONTRACT_SF_DIR", "/root/testdata/sf0.001")
-TABLES = "region nation customer part orders lineitem documents embeddings conversations labels".split()
+TABLES = "region nation customer part orders lineitem documents embeddings conversations labels benchmark".split()
 FITTED = {"ml_metrics", "feature_importance", "late_risk_scores"}
 
 
