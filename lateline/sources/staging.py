@@ -56,18 +56,3 @@ def stage(table: DataFrame, name: str) -> DataFrame:
     path = _new_path(table.sparkSession, name)
     table.write.parquet(path)
     return table.sparkSession.read.parquet(path)
-
-
-def stage_bucketed(table: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
-    """Stage a table in buckets of a key: grouping by it, or by it and more, then needs no shuffle.
-
-    Bucketed files need a catalog entry to be read as such. It is dropped once the table is
-    planned; the files of such an external table stay.
-    """
-    spark = table.sparkSession
-    entry = f"staged_{uuid4().hex}"
-    writer = table.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key)
-    writer.option("path", _new_path(spark, name)).saveAsTable(entry)
-    staged = spark.table(entry)
-    spark.sql(f"drop table {entry}")
-    return staged
