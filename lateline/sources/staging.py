@@ -40,7 +40,7 @@ def noted() -> Iterator[list[str]]:
     try:
         yield paths
     finally:
-        _noting.remove(paths)
+        _noting[:] = [other for other in _noting if other is not paths]
 
 
 def discard(spark: SparkSession, paths: list[str]) -> None:

@@ -175,3 +175,20 @@ def test_stage_uses_the_shared_folder(spark):
     folder = staging.shared_folder(spark)
     staged = staging.stage(spark.range(5), "numbers")
     assert staged.count() == 5 and staged.inputFiles()[0].startswith(f"file://{folder}/staged-numbers-")
+
+
+def test_staged_tables_are_noted_and_discarded(spark):
+    from lateline.sources.staging import discard, noted, stage
+
+    with noted() as outer:
+        with noted() as inner:
+            first = stage(spark.range(3), "one")
+        stage(spark.range(2), "two")
+    stage(spark.range(1), "three")
+    assert len(inner) == 1 and len(outer) == 2 and outer[0] == inner[0]
+    assert first.count() == 3
+    discard(spark, inner)
+    discard(spark, inner)  # what is gone already does not matter
+    assert spark.read.parquet(outer[1]).count() == 2
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(inner[0])
