@@ -22,8 +22,6 @@ from lateline.llm.components import components
 from lateline.sources.staging import stage
 
 SHINGLE_WORDS, DISTANCE, SEED = 3, 2, 42
-#: Doc ids are less than this.
-NAMELESS = (1 << 63) - (1 << 31) - 1
 #: Shingles of a long text that are counted at once.
 COUNTED = 100_000
 
@@ -86,14 +84,14 @@ def near_groups(docs: DataFrame, size: int = SHINGLE_WORDS, distance: int = DIST
     # Further words make a fingerprint's key a hash of them; the only word is its own key.
     key = F.col("print")[0] if words == 1 else F.xxhash64("print")
     prints = stage(prints.withColumn("key", key), "fingerprints")
-    # A node is the least doc_id of its fingerprint; without any it gets a number above all of them.
-    nameless = F.lit(NAMELESS) + F.pmod(F.xxhash64("print"), F.lit(1 << 31))
+    # A fingerprint's node is its key, with or without ids; the least id of a component is found afterwards.
     different = prints.groupBy("key").agg(F.min("print").alias("print"), F.min("doc_id").alias("least_id"))
-    different = stage(different.select("key", "print", F.coalesce("least_id", nameless).alias("node")), "different-fingerprints")
-    linked = components(hamming.links(different.select("node", "print"), words, distance, ranges, split))
-    component = F.coalesce("component", "node")
-    groups = different.select("key", "node").join(linked, "node", "left")
-    groups = groups.select("key", F.when(component < NAMELESS, component).alias("component_id"))
+    different = stage(different, "different-fingerprints")
+    linked = components(hamming.links(different.select(F.col("key").alias("node"), "print"), words, distance, ranges, split))
+    placed = different.select("key", "least_id").join(linked.withColumnRenamed("node", "key"), "key", "left")
+    placed = stage(placed.withColumn("component", F.coalesce("component", "key")), "placed-fingerprints")
+    least = placed.groupBy("component").agg(F.min("least_id").alias("component_id"))
+    groups = placed.join(least, "component").select("key", "component_id")
     # A fingerprint that very many documents share is a hot key; adaptive execution splits it.
     digits = F.transform("print", lambda x: F.lower(F.lpad(F.hex(x), 16, "0")))
     return prints.join(groups, "key").select("doc_id", F.array_join(digits, "").alias("fingerprint"), "component_id")
