@@ -7,7 +7,8 @@ exponentially: w = min(MOST_COPIES, exp(multiplier * size / scale)), where scale
 Newton's method finds the multipliers; each iteration is one aggregation over a staged table of
 (source, size, documents), which is all that the dual depends on. Rates are then rounded into copies
 by carrying the words that rounding left over from document to document, larger ones first, in
-blocks dealt out by a hash: a source with a third of all rows has many blocks.
+blocks dealt out by a hash of id and text: a source with a third of all rows has many blocks, also if
+all its rows have one id or none.
 """
 
 from __future__ import annotations
@@ -29,9 +30,10 @@ NEWTON_STEPS = 60
 
 
 def with_sizes(docs: DataFrame, *more: str) -> DataFrame:
-    """doc_id, source and the number of words (null: 0) of every row, and ``more`` columns as they are."""
+    """doc_id, source, the number of words (null: 0) and a hash of the text of every row, and ``more`` columns as they are."""
     words = F.regexp_count(F.col("text").cast("string"), F.lit(WORD))
-    return docs.select("doc_id", F.col("source").cast("string").alias("source"), F.coalesce(words, F.lit(0)).cast("long").alias("size"), *more)
+    size = F.coalesce(words, F.lit(0)).cast("long").alias("size")
+    return docs.select("doc_id", F.col("source").cast("string").alias("source"), size, F.xxhash64(F.col("text").cast("string")).alias("text_hash"), *more)
 
 
 def targets(sizes: list[int], weights: list[int], most: int = MOST_COPIES) -> list[float]:
@@ -144,7 +146,7 @@ def _mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_C
     joined = sized.join(params, F.col("source").eqNullSafe(F.col("name")))
     # Without words a rate has no meaning; at the bound the multiplier is infinite.
     rate = F.when(F.col("size") == 0, 1.0).when(F.col("target") <= 0, 0.0).otherwise(F.least(F.lit(float(most)), F.exp(F.col("multiplier") * F.col("size") / F.col("scale"))))
-    dealt = joined.withColumns({"rate": rate, "block": F.pmod(F.xxhash64("doc_id", F.lit(7)), F.col("blocks"))})
+    dealt = joined.withColumns({"rate": rate, "block": F.pmod(F.xxhash64("doc_id", "text_hash", F.lit(7)), F.col("blocks"))})
     kept = "".join(f"`{name}` long, " for name in more)
     schema = f"doc_id long, source string, size long, {kept}source_size long, target double, rate double, copies long"
     columns = [F.col("doc_id").cast("long").alias("doc_id"), "source", "size", *more, "source_size", "target", "rate", "number", "block"]
