@@ -504,7 +504,8 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, pri
 def _judged(docs: DataFrame, good: DataFrame, quantile: float = QUANTILE, prior: int = PRIOR_WORDS, **options) -> DataFrame:
     """The same by the good documents, as ``scores`` takes them."""
     scored, held = scores(docs, good, **options)
-    language = F.coalesce("lang", F.lit(""))
+    # Null is a language apart from the empty one: every named one has a sign more.
+    language = F.coalesce(F.concat(F.lit("="), "lang"), F.lit(""))
     scored = scored.withColumn("language", language)
     known = scored.where("n_words > 0").join(held, "doc_id", "left_semi").select("language", "n_words", "log_probability")
     known = stage(known, "held-out")
