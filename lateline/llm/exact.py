@@ -177,11 +177,5 @@ def without_copies(docs: DataFrame, most: int = TABLE_BYTES) -> DataFrame:
     key = fresh(docs, "row_key")
     kept = exact_dedup(docs, most).where("kept").select(F.concat_ws(":", id_text(), "text_sha256").alias(key))
     rows = docs.withColumn(key, F.concat_ws(":", id_text(), text_digest()))
-    return one_of_each(rows.join(kept, key, "left_semi"), key).drop(key)
-
-
-def one_of_each(rows: DataFrame, key: str) -> DataFrame:
-    """One row for each value of a key."""
-    number = fresh(rows, "row_number")
-    window = F.row_number().over(Window.partitionBy(key).orderBy(key))
-    return rows.withColumn(number, window).where(F.col(number) == 1).drop(number)
+    # Repeated rows of one id and text are an aggregate, which merges them before its shuffle.
+    return rows.join(kept, key, "left_semi").dropDuplicates([key]).drop(key)
