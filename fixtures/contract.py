@@ -18,6 +18,7 @@ from lateline.operators import cleaning, features, quality
 from lateline.plans import gold, jobs, views
 from lateline.plans.clean import clean_orders, sales_thresholds
 from lateline.schema import NULL_CHECKED_COLUMNS, NUMERIC_FEATURES, RAW_ENCODING, TARGET
+from lateline.sources import catalog, files
 from lateline.sources.files import read_table, write_table
 from lateline.sources.staging import shared_folder, stage
 
@@ -67,6 +68,46 @@ def ingest_profile(spark: SparkSession, sf: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [quality.profile(table, name) for name, table in stored.items()])
 
 
+def file_choices(spark: SparkSession, sf: str) -> DataFrame:
+    """The file rule and the encoding test on folders with one UTF-8 file, two of the raw encoding, and none."""
+    names = read(spark, sf, "customer").select(F.concat("c_name", F.lit("\u00e9")).alias("name"))
+    root = _jobs_folder(spark)
+    names.coalesce(1).write.options(header=True, encoding="UTF-8").csv(f"{root}/one")
+    names.repartition(2).write.options(header=True, encoding=RAW_ENCODING).csv(f"{root}/two")
+    names.write.parquet(f"{root}/none")
+
+    def answer(folder: str, path: str | None) -> tuple:
+        try:
+            path = path or files.find_csv(spark, f"{root}/{folder}").path
+            rule = "one" if folder == "one" else "named"
+        except FileNotFoundError:
+            return folder, "none", None, None, None
+        except ValueError:
+            return folder, "several", None, None, None
+        encoding = files.detect_encoding(spark, path)
+        lines = files.read_order_csv(spark, path, encoding=encoding)
+        rows, right = lines.agg(F.count(F.lit(1)), F.count_if(F.col("name").endswith("\u00e9"))).first()
+        return folder, rule, encoding, rows, right
+
+    answers = [answer("one", None), answer("two", None), answer("two", f"{root}/two"), answer("none", None)]
+    return spark.createDataFrame(answers, "folder string, rule string, encoding string, lines bigint, read_right bigint")
+
+
+def ingest_digest(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows and content of the stored table of a raw file without personal columns, which the job compared by content."""
+    root = _jobs_folder(spark)
+    blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    privacy_drop(spark, sf).write.options(header=True, **blanks).csv(f"{root}/raw")
+    jobs.ingest_job(spark, root, f"{root}/landed", file=f"{root}/raw", by_content=True)
+    return quality.content_digest(read_table(spark, f"{root}/landed"))
+
+
+def unique_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """Columns of one name after cleaning; each keeps its values."""
+    clashing = read(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_name", "c_mktsegment")
+    return cleaning.rename(clashing.toDF("C Key", "c_key", "C-Key", "C Key 1"))[0]
+
+
 def privacy_drop(spark: SparkSession, sf: str) -> DataFrame:
     return cleaning.drop_personal(raw_orders(spark, sf)).table
 
@@ -108,6 +149,10 @@ def dedup_rows(spark: SparkSession, sf: str) -> DataFrame:
     return cleaning.drop_duplicate_rows(twice_delivered(spark, sf))
 
 
+def dedup_rows_by_hash(spark: SparkSession, sf: str) -> DataFrame:
+    return cleaning.drop_rare_duplicates(stage(twice_delivered(spark, sf), "twice-delivered"))
+
+
 def clean_report(spark: SparkSession, sf: str) -> DataFrame:
     lines, _ = cleaning.standardise(cleaning.drop_personal(raw_orders_twice(spark, sf)).table)
     return quality.duplicate_report(lines)
@@ -175,6 +220,16 @@ def _stored_gold(name: str):
     return lambda spark, sf: rounded(read_table(spark, f"{_gold_job(spark.sparkContext.applicationId, sf)}/{name}"))
 
 
+def gold_listing(spark: SparkSession, sf: str) -> DataFrame:
+    """The gold tables of a database as its catalog lists them, with their rows and columns."""
+    folder, database = _gold_job(spark.sparkContext.applicationId, sf), f"gold_{uuid4().hex}"
+    spark.sql(f"create database {database} location '{_jobs_folder(spark)}'")
+    for name in gold.TABLES:
+        catalog.save_gold(read_table(spark, f"{folder}/{name}"), database, name)
+    listed = [quality.profile(spark.table(f"{database}.{name}"), name) for name in catalog.list_tables(spark, database)]
+    return reduce(DataFrame.unionByName, listed)
+
+
 # --- features ------------------------------------------------------------------------------
 
 
@@ -268,6 +323,13 @@ def ml_scaled_stats(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(learned.join(ends, "feature"), places)
 
 
+def ml_imputed_levels(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of each level of a text that is missing in a third of them."""
+    lines = order_lines(spark, sf).withColumn("type", F.nullif("type", F.lit("R")))
+    imputed = prepare.cleaning_stage([], ["type"]).transform(lines)
+    return imputed.groupBy(F.col("text__type").alias("level")).agg(F.count(F.lit(1)).alias("lines"))
+
+
 def ml_onehot_levels(spark: SparkSession, sf: str) -> DataFrame:
     return prepare.onehot_levels(prepare.fit_preparation(model_data(spark, sf)), spark)
 
@@ -440,12 +502,16 @@ QUERIES = {
     "kpi_display": _view("executive_kpis", views.kpi_display),
     "prediction_options": prediction_options,
     "ingest_profile": ingest_profile,
+    "ingest_digest": ingest_digest,
+    "file_choices": file_choices,
+    "unique_columns": unique_columns,
     "privacy_drop": privacy_drop,
     "rename_columns": rename_columns,
     "clean_categorical": clean_categorical,
     "clean_numeric": clean_numeric,
     "parse_timestamps": parse_timestamps,
     "dedup_rows": dedup_rows,
+    "dedup_rows_by_hash": dedup_rows_by_hash,
     "clean_report": clean_report,
     "null_summary": null_summary,
     "clean_orders": clean_orders_table,
@@ -458,6 +524,7 @@ QUERIES = {
     "ml_split_counts": ml_split_counts,
     "ml_numeric_medians": ml_numeric_medians,
     "ml_scaled_stats": ml_scaled_stats,
+    "ml_imputed_levels": ml_imputed_levels,
     "ml_onehot_levels": ml_onehot_levels,
     "ml_metrics": ml_metrics,
     "feature_importance": feature_importance,
@@ -472,6 +539,7 @@ QUERIES = {
     "rule_comparison": rule_comparison,
     "job_clean_orders": job_clean_orders,
     "job_reports": job_reports,
+    "gold_listing": gold_listing,
     **{f"job_{name}": _stored_gold(name) for name in gold.TABLES},
     "confusion_matrix": confusion_matrix,
     "classification_report": classification_report,

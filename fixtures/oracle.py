@@ -196,6 +196,16 @@ def _groups() -> str:
     return f"with {LINES} " + " union all ".join(parts)
 
 
+def _listing() -> str:
+    names = [name for name in GOLD if name != "late_by_segment"]
+    ctes = ", ".join(f"g_{name} as ({gold_select(name)})" for name in names)
+    return f"with {LINES}, {ctes} " + " union all ".join(
+        f"select '{name}' as table_name, count(*) as row_count, cast({len(GOLD[name][0] + GOLD[name][1])} as integer) as column_count, "
+        f"'{','.join(GOLD[name][0] + GOLD[name][1])}' as column_names from g_{name}"
+        for name in names
+    )
+
+
 def _key_checks() -> str:
     ctes, parts = [], []
     for name, (keys, _, _) in GOLD.items():
@@ -295,6 +305,7 @@ TWICE = (
     f"{STANDARD}, twice as (select * from standard union all select * from standard where type = 'R'), "
     "single as (select distinct * from twice)"
 )
+_ROW_TEXT = " || ".join(f"coalesce(length({name}) || ':' || {name}, '-')" for name in CLEAN_NAMES.values())
 _CHECKED = (
     "order_date shipping_date sales order_profit_per_order late_delivery_risk shipping_mode market "
     "order_region category_name"
@@ -534,6 +545,15 @@ ORACLE = {
         f"as column_count, string_agg(column_name, ',') as column_names from (describe {t})"
         for t in _TABLES
     ),
+    "ingest_digest": f"with {RAW} select count(*) as row_count, "
+    f"cast(sum(cast('0x' || substr(md5({_ROW_TEXT}), 1, 15) as bigint)) as varchar) as content from raw",
+    "file_choices": """with c as (select count(*) as n from customer)
+      select 'one' as folder, 'one' as rule, 'utf-8' as encoding, n as lines, n as read_right from c
+      union all select 'two', 'several', null, null, null
+      union all select 'two', 'named', 'ISO-8859-1', n, n from c
+      union all select 'none', 'none', null, null, null""",
+    "unique_columns": "select c_custkey as c_key, c_nationkey as c_key_2, c_name as c_key_3, c_mktsegment as c_key_1 "
+    "from customer",
     "privacy_drop": f"with {WIDE} select {_selected({})} from wide",
     "rename_columns": f"with {RAW} select * from raw",
     "clean_categorical": f"with {STANDARD} select order_raw.order_id, category_name, customer_segment, market, type, "
@@ -544,6 +564,8 @@ ORACLE = {
     "parse_timestamps": f"with {STANDARD} select cast(cast(order_id as bigint) as varchar) as order_id, order_date, "
     "shipping_date from standard",
     "dedup_rows": "select distinct * from (select * from lineitem union all select * from lineitem where l_returnflag = 'R')",
+    "dedup_rows_by_hash": "select distinct * from "
+    "(select * from lineitem union all select * from lineitem where l_returnflag = 'R')",
     "clean_report": f"with {TWICE} select (select count(*) from twice) as rows_before, count(*) as rows_after, "
     "(select count(*) from twice) - count(*) as duplicates_removed, "
     + ", ".join(f"count(*) filter ({c} is null) as {c}_nulls" for c in _CHECKED)
@@ -558,6 +580,8 @@ ORACLE = {
     "sales_thresholds": f"with {WIDE} select quantile_disc(sales, 0.33) as low_sales_threshold, "
     "quantile_disc(sales, 0.66) as high_sales_threshold from wide",
     "sales_level": f"with {WIDE} select order_id, sales, {_LEVEL.format('wide')} from wide",
+    "ml_imputed_levels": f"with {WIDE} select coalesce(nullif(type, 'R'), 'Unknown') as level, count(*) as lines "
+    "from wide group by 1",
     "ml_class_distribution": f"with {WIDE} select late_delivery_risk, count(*) as rows from wide group by 1",
     "ml_class_weights": f"with {WIDE} select late_delivery_risk, count(*) as rows, "
     "cast((select count(*) from wide) as double) / ((select count(distinct late_delivery_risk) from wide) * count(*)) "
@@ -641,6 +665,7 @@ ORACLE |= {
         'ISO-8859-1' as encoding from sizes
       union all select 'privacy', 'success', before, before, {_KEPT + _PERSONAL}, {_KEPT}, null from sizes
       union all select 'clean', 'success', before, after, {_KEPT}, {_KEPT + _DERIVED}, null from sizes""",
+    "gold_listing": _listing(),
     "model_test_rows": f"""select model, late_delivery_risk as label, rows, true as accuracy_agrees
       from ({ORACLE['ml_split_counts']}) cross join (values ('Logistic Regression'), ('Random Forest')) as m(model)
       where part = 'test'""",

@@ -29,9 +29,11 @@ def arguments() -> argparse.ArgumentParser:
 
     ingest = job("ingest", "land the raw file", "folder with one CSV file", "landed table")
     ingest.add_argument("--file", help="the CSV file itself, or a folder or pattern of part files")
+    ingest.add_argument("--by-content", action="store_true", help="compare the values of the stored rows too, not only their number")
     job("privacy", "remove the personal columns", "landed table", "privacy-safe table")
     clean = job("clean", "clean and extend the order lines", "privacy-safe table", "clean table")
     clean.add_argument("--relative-error", type=float, default=SALES_QUANTILE_ERROR, help="0 for exact thresholds")
+    clean.add_argument("--rare-duplicates", action="store_true", help="few rows are repeated: shuffle row hashes first")
     gold = job("gold", "build the gold tables", "clean table", "folder of gold tables")
     gold.add_argument("--sum-type", default="double", help="type sums are taken in")
     gold.add_argument("--partitions", type=int, help="partitions of the order totals; by default Spark decides")
@@ -47,11 +49,12 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName(f"lateline-{given.job}").getOrCreate()
     log = {"report_path": given.reports}
     if given.job == "ingest":
-        report = jobs.ingest_job(spark, given.source, given.target, given.file, **log)
+        report = jobs.ingest_job(spark, given.source, given.target, given.file, by_content=given.by_content, **log)
     elif given.job == "privacy":
         report = jobs.privacy_job(spark, given.source, given.target, **log)
     elif given.job == "clean":
-        report = jobs.clean_job(spark, given.source, given.target, given.relative_error, **log)
+        rare = {"rare_duplicates": given.rare_duplicates}
+        report = jobs.clean_job(spark, given.source, given.target, given.relative_error, **rare, **log)
     elif given.job == "gold":
         publish = None
         if given.jdbc_url:

@@ -5,15 +5,17 @@ Every step takes a table that may lack optional columns and leaves out what it n
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lateline.functions import columns as C
 from lateline.functions.names import snake_name, unique_names
 from lateline.schema import ID_COLUMNS, NUMBER_COLUMNS, PERSONAL_COLUMNS, TEXT_COLUMNS, TIME_COLUMNS
+from lateline.sources.staging import stage
 
 
 @dataclass(frozen=True)
@@ -92,3 +94,26 @@ def standardise(raw: DataFrame, integer_ids: bool = False) -> tuple[DataFrame, d
 def drop_duplicate_rows(table: DataFrame) -> DataFrame:
     """One copy of every whole row; copies of a row meet map-side before the shuffle."""
     return table.dropDuplicates()
+
+
+def drop_rare_duplicates(table: DataFrame, row_hash: Callable[..., Column] = F.xxhash64) -> DataFrame:
+    """The rows of ``drop_duplicate_rows``, for a stored table in which few rows have a copy.
+
+    The first pass shuffles eight bytes a row, a hash of its content, and stages the hashes of more than one row.
+    Rows of these are compared by their whole content, so rows that only share a hash both stay; all others are
+    left where they are. Spark joins the staged hashes by broadcast while they are below its threshold; then no
+    other row is shuffled, however wide. Above it whole rows are, as in ``drop_duplicate_rows``, and this one is slower.
+
+    Each row is read three times, so the table should be a stored one, and give the same rows every time. A table
+    without columns, or with columns that cannot be compared, is treated like there.
+    """
+    if not table.columns:
+        return drop_duplicate_rows(table)
+    # By place, as names may clash with the hash or with each other.
+    names = [f"c{i}" for i in range(len(table.columns))]
+    placed = table.toDF(*names).withColumn("row_hash", F.coalesce(row_hash(*names), F.lit(0)))
+    counted = placed.groupBy("row_hash").agg(F.count(F.lit(1)).alias("copies"))
+    repeated = stage(counted.where("copies > 1").select("row_hash"), "repeated-rows")
+    single = placed.join(repeated, "row_hash", "left_anti").select(*names)
+    copied = placed.join(repeated, "row_hash", "left_semi").select(*names)
+    return single.union(drop_duplicate_rows(copied)).toDF(*table.columns)

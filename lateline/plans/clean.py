@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from lateline.operators.cleaning import drop_duplicate_rows, drop_personal, standardise
+from lateline.operators.cleaning import drop_duplicate_rows, drop_personal, drop_rare_duplicates, standardise
 from lateline.operators.features import add_date_parts, add_line_features, add_sales_level
 from lateline.operators.ranks import approximate_quantiles, exact_quantiles
 from lateline.schema import SALES_QUANTILE_ERROR, SALES_QUANTILES
@@ -29,15 +29,20 @@ def sales_thresholds(lines: DataFrame, relative_error: float = SALES_QUANTILE_ER
 
 
 def clean_orders(
-    raw: DataFrame, relative_error: float = SALES_QUANTILE_ERROR, integer_ids: bool = False
+    raw: DataFrame,
+    relative_error: float = SALES_QUANTILE_ERROR,
+    integer_ids: bool = False,
+    rare_duplicates: bool = False,
 ) -> CleanOrders:
     """Clean, deduplicate and extend raw order lines.
 
     The sales bands need a quantile of the deduplicated lines. These are staged once, so that
-    the wide deduplication shuffle runs once, and the quantile reads a single column.
+    the wide deduplication shuffle runs once, and the quantile reads a single column. With
+    ``rare_duplicates`` the lines are staged before that too, and only rows whose hash repeats are shuffled.
     """
     lines, mapping = standardise(drop_personal(raw).table, integer_ids)
-    lines = add_date_parts(add_line_features(drop_duplicate_rows(lines)))
+    single = drop_rare_duplicates(stage(lines, "standard-lines")) if rare_duplicates else drop_duplicate_rows(lines)
+    lines = add_date_parts(add_line_features(single))
     low = high = None
     if "sales" in lines.columns:
         lines = stage(lines, "clean-lines")

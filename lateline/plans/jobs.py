@@ -80,14 +80,19 @@ class Report:
 
 
 def ingest_job(
-    spark: SparkSession, folder: str, landing_path: str, file: str | None = None, report_path: str | None = None
+    spark: SparkSession,
+    folder: str,
+    landing_path: str,
+    file: str | None = None,
+    report_path: str | None = None,
+    by_content: bool = False,
 ) -> dict:
-    """Find the raw file (or take the named one), profile it and land it unchanged."""
+    """Find the raw file (or take the named one), profile it and land it unchanged, checked by rows or by content."""
     found = named_file(spark, file) if file else find_csv(spark, folder)
     report = Report("ingest", found.path, landing_path)
     encoding = detect_encoding(spark, found.path)
     raw = read_order_csv(spark, found.path, encoding=encoding)
-    rows = land(raw, landing_path)
+    rows = land(raw, landing_path, by_content)
     report.values |= {
         "rows_before": rows,
         "rows_after": rows,
@@ -129,11 +134,12 @@ def clean_job(
     relative_error: float = SALES_QUANTILE_ERROR,
     files: int | None = None,
     report_path: str | None = None,
+    rare_duplicates: bool = False,
 ) -> dict:
     """Clean, deduplicate and extend the order lines."""
     report = Report("clean", input_path, output_path)
     raw = read_table(spark, input_path)
-    result = clean_orders(raw, relative_error)
+    result = clean_orders(raw, relative_error, rare_duplicates=rare_duplicates)
     write_table(result.table, output_path, files)
     clean = read_table(spark, output_path)
     report.sizes(raw, clean)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lateline.operators.quality import content_digest, content_sum
 from lateline.schema import RAW_ENCODING
 
 
@@ -109,9 +110,29 @@ def write_counted(table: DataFrame, path: str) -> int:
     return written.get.get("rows", 0)
 
 
-def land(raw: DataFrame, path: str) -> int:
-    """Store a raw table as it is; an error unless all rows read are in the stored files."""
+def land(raw: DataFrame, path: str, by_content: bool = False) -> int:
+    """Store a raw table as it is; an error unless all rows read are in the stored files.
+
+    With ``by_content`` their values are compared too: a digest taken on the way of the write against one of the
+    stored files, which are read once more for it. Otherwise only rows are counted.
+    """
+    if by_content:
+        return _land_by_content(raw, path)
     expected, stored = write_counted(raw, path), read_table(raw.sparkSession, path).count()
     if expected != stored:
         raise RuntimeError(f"{stored} rows stored in {path}, {expected} expected")
     return stored
+
+
+def _land_by_content(raw: DataFrame, path: str) -> int:
+    taken = Observation()
+    write_table(raw.observe(taken, F.count(F.lit(1)).alias("rows"), content_sum(raw.columns).alias("content")), path)
+    return check_content(read_table(raw.sparkSession, path), taken.get.get("rows", 0), taken.get.get("content"))
+
+
+def check_content(table: DataFrame, rows: int, content: str | None) -> int:
+    """The rows of a stored table; an error unless they and their values are the expected ones."""
+    stored = content_digest(table).first()
+    if (stored["row_count"], stored["content"]) != (rows, content):
+        raise RuntimeError(f"stored content {tuple(stored)}, {(rows, content)} expected")
+    return stored["row_count"]

@@ -7,6 +7,7 @@ table and never pass through the driver program.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,8 +31,29 @@ def replace_table(table: DataFrame, url: str, name: str, properties: Options) ->
     _small(table).option("truncate", "false").jdbc(url, name, properties=properties)
 
 
-def read_relational(spark: SparkSession, url: str, name: str, properties: Options) -> DataFrame:
-    return spark.read.jdbc(url, name, properties=properties)
+@dataclass(frozen=True)
+class KeyRanges:
+    """A numeric or time key cut into equal ranges; null keys and those outside the bounds are read too."""
+
+    key: str
+    lowest: int | str
+    highest: int | str
+    parts: int
+
+
+def read_relational(
+    spark: SparkSession, url: str, name: str, properties: Options, ranges: KeyRanges | list[str] | None = None
+) -> DataFrame:
+    """A table of a database: in one query, in one for each range of a key, or one for each condition.
+
+    Conditions must take every row once.
+    """
+    if ranges is None:
+        return spark.read.jdbc(url, name, properties=properties)
+    if isinstance(ranges, KeyRanges):
+        bounds = {"lowerBound": ranges.lowest, "upperBound": ranges.highest, "numPartitions": ranges.parts}
+        return spark.read.jdbc(url, name, column=ranges.key, properties=properties, **bounds)
+    return spark.read.jdbc(url, name, predicates=ranges, properties=properties)
 
 
 def publisher(url: str, schema: str, properties: Options) -> Callable[[DataFrame, str], None]:

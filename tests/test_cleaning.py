@@ -6,6 +6,8 @@ from pyspark.sql import types as T
 from lateline.operators import cleaning, features, quality
 from lateline.plans.clean import clean_orders, sales_thresholds
 from lateline.schema import PERSONAL_COLUMNS
+from lateline.sources.staging import stage
+from tests.plans import physical_plan
 
 RAW = (
     "`Order Id` string, `Sales` string, `Order Profit Per Order` string, `Order Item Discount Rate` string, "
@@ -110,6 +112,71 @@ def test_dedup_is_idempotent_and_counts(spark):
     assert tuple(quality.duplicate_report(table.limit(0)).first()) == (0, 0, 0, 0)
 
 
+WIDE_ROWS = [
+    (1, None, 0.0), (1, None, -0.0), (2, "a", float("nan")), (2, "a", float("nan")), (2, "b", None), (2, "", None),
+    (3, None, None), (None, None, None), (None, None, None),
+]
+
+
+def shown(table):
+    return sorted(str(tuple(row)).replace("-0.0", "0.0") for row in table.collect())
+
+
+def test_rare_duplicates_are_those_of_the_whole_row(spark):
+    table = spark.createDataFrame(WIDE_ROWS, "row_hash int, `a b` string, v double")
+    table = stage(table.withColumnRenamed("v", "C0"), "rows")
+    for row_hash in [F.xxhash64, lambda *names: F.lit(7), lambda *names: F.col(names[0])]:  # the others collide
+        single = cleaning.drop_rare_duplicates(table, row_hash)
+        assert single.columns == table.columns and single.schema == table.schema
+        assert shown(single) == shown(table.dropDuplicates()) and single.count() == 6
+    assert cleaning.drop_rare_duplicates(table.limit(0)).count() == 0
+    assert cleaning.drop_rare_duplicates(table.select()).count() == table.select().dropDuplicates().count()
+
+
+def test_rare_duplicates_of_equal_names(spark):
+    table = spark.createDataFrame([(1, 2), (1, 2), (2, 1)], "a int, b int").toDF("x", "x")
+    assert sorted(map(tuple, cleaning.drop_rare_duplicates(table).collect())) == [(1, 2), (2, 1)]
+
+
+def test_rare_duplicates_shuffle_hashes_and_copies_only(spark):
+    wide = spark.range(2000).select("id", F.repeat(F.col("id").cast("string"), 200).alias("text"))
+    table = stage(wide.union(wide.where("id < 3")), "wide")
+    single = cleaning.drop_rare_duplicates(table)
+    plan = physical_plan(single)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    exchanges = [line for line in plan.splitlines() if "hashpartitioning" in line]
+    assert len(exchanges) == 1  # of the rows with a repeated hash
+    assert single.count() == 2000
+
+
+def test_rare_duplicates_beyond_the_broadcast_threshold(spark):
+    table = stage(spark.range(3000).select((F.col("id") % 1000).alias("k"), F.lit("x").alias("v")), "thrice")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        single = cleaning.drop_rare_duplicates(table)
+        assert "BroadcastHashJoin" not in physical_plan(single) and single.count() == 1000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_clean_orders_with_rare_duplicates(spark):
+    plain, rare = (clean_orders(raw(spark), relative_error=0, rare_duplicates=flag).table for flag in (False, True))
+    assert shown(plain) == shown(rare) and plain.columns == rare.columns
+
+
+def test_content_digest(spark):
+    def digest(*rows):
+        return tuple(quality.content_digest(spark.createDataFrame(list(rows), "a string, `b.c` string")).first())
+
+    base = digest(("x", "y"), ("z", None))
+    assert digest(("z", None), ("x", "y")) == base
+    for other in [("z", ""), ("z", "-"), (None, "z"), ("Z", None)]:
+        assert digest(("x", "y"), other) != base
+    assert digest(("xy", "")) != digest(("x", "y")) != digest(("", "xy"))
+    assert digest(("x", "y"), ("x", "y"), ("z", None)) != base
+    assert digest() == (0, None)
+
+
 def test_null_counts(spark):
     lines, _ = cleaning.standardise(raw(spark))
     counts = {row["column_name"]: row["null_count"] for row in quality.null_counts(lines).collect()}

@@ -2,8 +2,10 @@ import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from lateline.__main__ import main
+from lateline.operators import quality
 from lateline.plans import gold, jobs
 from lateline.sources import catalog, files, relational, staging
 from tests.plans import physical_plan
@@ -66,6 +68,29 @@ def test_land_overwrites_and_counts(spark, tmp_path):
     assert files.read_table(spark, target).columns == raw.columns
 
 
+def test_landing_is_checked_by_content(spark, tmp_path):
+    raw = files.read_order_csv(spark, write_csv(tmp_path / "in"))
+    target = str(tmp_path / "landed")
+    assert files.land(raw, target, by_content=True) == 3
+    kept = tuple(quality.content_digest(raw).first())
+    stored = files.read_table(spark, target)
+    assert tuple(quality.content_digest(stored).first()) == kept and files.check_content(stored, *kept) == 3
+    altered = stored.withColumn("Order Country", F.regexp_replace("Order Country", "Peru", "Perv"))
+    files.write_table(altered, str(tmp_path / "altered"))
+    with pytest.raises(RuntimeError, match="expected"):
+        files.check_content(files.read_table(spark, str(tmp_path / "altered")), *kept)
+    assert files.land(raw.limit(0), str(tmp_path / "empty"), by_content=True) == 0
+
+
+def test_landing_refuses_a_changed_store(spark, tmp_path, monkeypatch):
+    raw = files.read_order_csv(spark, write_csv(tmp_path / "in"))
+    read = files.read_table
+    monkeypatch.setattr(files, "read_table", lambda *given: read(*given).withColumn("Sales", F.lit("1")))
+    assert files.land(raw, str(tmp_path / "by_rows")) == 3  # their number alone does not show it
+    with pytest.raises(RuntimeError, match="expected"):
+        files.land(raw, str(tmp_path / "by_content"), by_content=True)
+
+
 def test_jobs_end_to_end(spark, tmp_path):
     path = {name: str(tmp_path / name) for name in ["landed", "safe", "clean", "gold", "reports"]}
     log = {"report_path": path["reports"]}
@@ -146,6 +171,27 @@ def test_relational_writes(monkeypatch, write, truncate):
     ]
 
 
+class Session:
+    """Records the calls made on ``read``."""
+
+    def __init__(self):
+        self.read = Writer()
+
+
+def test_relational_reads():
+    session = Session()
+    login = {"user": "u"}
+    relational.read_relational(session, "jdbc:x", "t", login)
+    relational.read_relational(session, "jdbc:x", "t", login, relational.KeyRanges("id", 0, 900, 9))
+    relational.read_relational(session, "jdbc:x", "t", login, ["id < 5", "id >= 5 or id is null"])
+    bounds = {"column": "id", "lowerBound": 0, "upperBound": 900, "numPartitions": 9}
+    assert session.read.calls == [
+        ("jdbc", ("jdbc:x", "t"), {"properties": login}),
+        ("jdbc", ("jdbc:x", "t"), {"properties": login, **bounds}),
+        ("jdbc", ("jdbc:x", "t"), {"properties": login, "predicates": ["id < 5", "id >= 5 or id is null"]}),
+    ]
+
+
 def test_publisher_refills_defined_tables(monkeypatch):
     writer = Writer()
     monkeypatch.setattr(relational, "_small", lambda table: writer)
@@ -162,9 +208,9 @@ def test_publisher_refills_defined_tables(monkeypatch):
 
 def test_command_line(spark, tmp_path, capsys):
     folder = write_csv(tmp_path / "in")
-    main(["ingest", folder, str(tmp_path / "landed")])
+    main(["ingest", folder, str(tmp_path / "landed"), "--by-content"])
     main(["privacy", str(tmp_path / "landed"), str(tmp_path / "safe")])
-    main(["clean", str(tmp_path / "safe"), str(tmp_path / "clean"), "--relative-error", "0"])
+    main(["clean", str(tmp_path / "safe"), str(tmp_path / "clean"), "--relative-error", "0", "--rare-duplicates"])
     main(["gold", str(tmp_path / "clean"), str(tmp_path / "gold"), "--sum-type", "decimal(18,4)"])
     printed = [json.loads(line) for line in capsys.readouterr().out.splitlines()]
     assert [report["job"] for report in printed] == ["ingest", "privacy", "clean", "gold"]
