@@ -5,11 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lateline.operators.quality import content_digest, content_sum
+from lateline.operators.quality import content_digest
 from lateline.schema import RAW_ENCODING
 
 
@@ -101,20 +101,20 @@ def write_bucketed(table: DataFrame, name: str, buckets: int, key: str = "order_
 
 
 def write_counted(table: DataFrame, path: str) -> int:
-    """Overwrite a parquet table and return its rows, counted on the way.
+    """Overwrite a parquet table and return the rows of its source, counted before.
 
-    For a table that is written in one stage: there a task that runs again is counted once.
+    Not observed on the way: an observation stays with the session, which models of Spark ML then cannot be sent to tasks with.
     """
-    written = Observation()
-    write_table(table.observe(written, F.count(F.lit(1)).alias("rows")), path)
-    return written.get.get("rows", 0)
+    rows = table.count()
+    write_table(table, path)
+    return rows
 
 
 def land(raw: DataFrame, path: str, by_content: bool = False) -> int:
     """Store a raw table as it is; an error unless all rows read are in the stored files.
 
-    With ``by_content`` their values are compared too: a digest taken on the way of the write against one of the
-    stored files, which are read once more for it. Otherwise only rows are counted.
+    With ``by_content`` their values are compared too: a digest of the raw table against one of the stored
+    files; both are read once more for it. Otherwise only rows are counted.
     """
     if by_content:
         return _land_by_content(raw, path)
@@ -125,9 +125,9 @@ def land(raw: DataFrame, path: str, by_content: bool = False) -> int:
 
 
 def _land_by_content(raw: DataFrame, path: str) -> int:
-    taken = Observation()
-    write_table(raw.observe(taken, F.count(F.lit(1)).alias("rows"), content_sum(raw.columns).alias("content")), path)
-    return check_content(read_table(raw.sparkSession, path), taken.get.get("rows", 0), taken.get.get("content"))
+    taken = content_digest(raw).first()
+    write_table(raw, path)
+    return check_content(read_table(raw.sparkSession, path), taken["row_count"], taken["content"])
 
 
 def check_content(table: DataFrame, rows: int, content: str | None) -> int:
