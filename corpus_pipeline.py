@@ -53,7 +53,7 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 @tidy
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies: op2's fingerprints and their index, confirmed, then what they miss."""
     return jaccard.without_near_copies(docs, nameless=False)
 
 

@@ -1,12 +1,15 @@
 """Rows whose texts are near copies: sets of five-word shingles with a Jaccard similarity of 0.8 or more.
 
-Prefix filtering finds every such pair. Shingles have one order, and a set of n needs only the first
+SimHash fingerprints and their Gray-order index (``simhash``, ``hamming``) link most copies first, each link
+confirmed by the similarity itself. Fingerprints of similar texts may differ in more bits, so the rest is found exactly:
+prefix filtering finds every such pair. Shingles have one order, and a set of n needs only the first
 n - ceil(0.8 n) + 1 of its own: two sets that are similar enough share one of these, and at the first that
 they share enough shingles of both must be left. Any order gives the same pairs; this one puts shingles
 that a sample has often last, so that few rows meet. Each pair that meets is then decided by comparing
 all shingles of both texts.
 
-Rows that a shingle brings together are first compared with the next one in size only, and linked. Then
+Rows that a shingle brings together are first compared with the next one in size only, and linked. Where many components
+still meet, each row is compared with one of another, in turns that each begin with fewer components. Then
 all pairs of rows of different components are compared, so a large group of copies costs few pairs.
 """
 
@@ -20,6 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lateline.llm import simhash
 from lateline.llm.common import as_bytes, fresh, slices, tasks, texts
 from lateline.llm.components import components
 from lateline.sources.staging import stage
@@ -29,6 +33,8 @@ SHINGLE_WORDS, SIMILARITY = 5, (4, 5)
 SEED = 42
 #: Counters of shingles, their parts in a shuffle, and one in so many rows that are counted.
 COUNTERS, PARTS, SAMPLED = 1 << 18, 16, 8
+#: Components of a shingle that are paired at once; more go in turns, as long as one in so many comparisons links.
+MEETING, TURNS, LEAST_LINKED = 8, 24, 20
 
 
 def shingles(text: bytes, size: int = SHINGLE_WORDS) -> set[bytes]:
@@ -139,18 +145,60 @@ def _checked(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     return stage(met.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long"), "near-pairs")
 
 
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """row and component of the rows that labels or further links connect.
+
+    Links are drawn between components first, so however many there are between two of them count once.
+    """
+    of_a, of_b = (labels.select(F.col("row").alias(n), F.col("component").alias(f"component_{n}")) for n in "ab")
+    drawn = links.join(of_a, "a", "left").join(of_b, "b", "left")
+    drawn = drawn.select(F.coalesce("component_a", "a").alias("a"), F.coalesce("component_b", "b").alias("b"))
+    step = components(drawn).select("node", F.col("component").alias("to"))
+    known = labels.join(step.withColumnRenamed("node", "component"), "component", "left").select("row", F.coalesce("to", "component").alias("component"))
+    added = step.join(labels.select(F.col("row").alias("node")), "node", "left_anti").select(F.col("node").alias("row"), F.col("to").alias("component"))
+    return stage(known.unionAll(added), "near-components")
+
+
+def _next_ones(entries: DataFrame, order: list[Column]) -> DataFrame:
+    """The pairs (a, b) of entries of different components that follow each other in a shingle and may be similar."""
+    following = Window.partitionBy("shingle").orderBy(*order)
+    ahead = [F.lead(n).over(following).alias(f"next_{n}") for n in ("row", "size", "left", "component")]
+    chain = entries.select("*", *ahead).where(_possible(*(F.col(n) for n in ("size", "left", "next_size", "next_left"))))
+    return chain.where("component <> next_component").select(F.col("row").alias("a"), F.col("next_row").alias("b"))
+
+
+def _placed(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    return stage(shared.join(labels, "row", "left").withColumn("component", F.coalesce("component", "row")), "placed-shingles")
+
+
+def _crowded(placed: DataFrame) -> DataFrame:
+    """The rows of shingles that more than ``MEETING`` components have."""
+    each = placed.select("shingle", "component").distinct()
+    crowds = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > MEETING).select("shingle")
+    return placed.join(crowds, "shingle", "left_semi")
+
+
 def near_rows(rows: DataFrame) -> DataFrame:
     """node and component of the rows that are near copies of others: the least number that near pairs lead to.
 
     ``rows``: doc_id, a number of each row, and text. Null counts as empty text.
     """
     shared = _shared(rows)
-    order = Window.partitionBy("shingle").orderBy("size", "row")
-    ahead = [F.lead(n).over(order).alias(f"next_{n}") for n in ("row", "size", "left")]
-    chain = shared.select("*", *ahead).where(_possible(*(F.col(n) for n in ("size", "left", "next_size", "next_left"))))
-    links = _checked(chain.select(F.col("row").alias("a"), F.col("next_row").alias("b")), rows)
-    labels = stage(components(links).withColumnRenamed("node", "row"), "near-components")
-    placed = stage(shared.join(labels, "row", "left").withColumn("component", F.coalesce("component", "row")), "placed-shingles")
+    found = _checked(simhash.near_pairs(rows), rows)
+    labels = _merged(rows.sparkSession.createDataFrame([], "row long, component long"), found)
+    labels = _merged(labels, _checked(_next_ones(_placed(shared, labels), [F.col("size"), F.col("row")]), rows))
+    placed = _placed(shared, labels)
+    # Where components meet in crowds, each row is compared with the next one in an order that changes each turn, as long
+    # as that links many: a group of near copies is about one component before any two rows of it are paired.
+    for turn in range(TURNS):
+        tested = stage(_next_ones(_crowded(placed), [F.xxhash64(F.lit(turn), "row"), F.col("row")]).distinct(), "crowded")
+        near = _checked(tested, rows)
+        linked = near.count()
+        if linked:
+            labels = _merged(labels, near)
+            placed = _placed(shared, labels)
+        if linked * LEAST_LINKED < tested.count() or not linked:
+            break
     # Pairs of components that meet, then the rows of both: rows of one component are not paired.
     each = placed.select("shingle", "component").distinct()
     other = each.withColumnRenamed("component", "other")
@@ -159,7 +207,7 @@ def near_rows(rows: DataFrame) -> DataFrame:
     b = placed.select("shingle", F.col("component").alias("other"), F.col("row").alias("b"), F.col("size").alias("size_b"), F.col("left").alias("left_b"))
     pairs = apart.join(a, ["shingle", "component"]).join(b, ["shingle", "other"])
     pairs = pairs.where(_possible(*(F.col(n) for n in ("size_a", "left_a", "size_b", "left_b"))))
-    return components(links.unionAll(_checked(pairs.select("a", "b"), rows)))
+    return _merged(labels, _checked(pairs.select("a", "b"), rows)).withColumnRenamed("row", "node")
 
 
 def without_near_copies(docs: DataFrame, nameless: bool = True) -> DataFrame:

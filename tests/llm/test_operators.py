@@ -15,6 +15,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from lateline.llm import components, exact, hamming, jaccard, license_texts, licenses, mixing, neighbours, packing, preferences, quality, simhash, substrings, token_files, tokens
 from lateline.sources.staging import shared_folder
 
@@ -280,6 +281,38 @@ def test_near_copies_around_the_similarity(spark):
     assert jaccard.without_near_copies(table.limit(0)).count() == 0
 
 
+def test_a_group_of_near_copies_is_not_paired_row_by_row(spark, monkeypatch):
+    """About half of all pairs are similar: as many confirmed links would grow with the square of the group."""
+    rng, base = random.Random(23), [f"v{j}" for j in range(184)]
+    texts = [" ".join(f"other{i}x{j}" if j in changed else w for j, w in enumerate(base)) for i in range(200) for changed in [set(rng.sample(range(184), 2))]]
+    near = [(i, j) for i in range(200) for j in range(i) if plain_similarity(texts[i], texts[j]) >= Fraction(4, 5)]
+    least = least_reachable(range(200), near)
+    checked, confirmed = jaccard._checked, []
+
+    def counted(pairs, rows):
+        found = checked(pairs, rows)
+        confirmed.append(found.count())
+        return found
+
+    monkeypatch.setattr(jaccard, "_checked", counted)
+    kept = jaccard.without_near_copies(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3))
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(least.values()))
+    assert len(near) > 6000 > 2000 > sum(confirmed)
+
+
+def test_near_copies_begin_with_fingerprints(spark, monkeypatch):
+    """The stage's first links are op2's: they connect just the rows that its groups do."""
+    rng = random.Random(29)
+    base = [sentence(rng, 200, 900) for _ in range(20)]
+    table = spark.createDataFrame(list(enumerate(base + [b + " more" for b in base] + base[:5] + [None, ""])), "doc_id long, text string")
+    least = least_reachable(range(47), [tuple(r) for r in simhash.near_pairs(table).collect()])
+    assert least == {r.doc_id: r.component_id for r in simhash.near_groups(table).collect()}
+    assert len(set(least.values())) < 42
+    called, pairs = [], simhash.near_pairs
+    monkeypatch.setattr(jaccard.simhash, "near_pairs", lambda rows: called.append(rows) or pairs(rows))
+    assert corpus_pipeline.near_copies(spark, table.withColumn("n_chars", F.lit(1)), "").count() == 21 and len(called) == 1
+
+
 # --- substrings ---
 
 
