@@ -13,8 +13,14 @@ Figures are then plain expressions of the totals.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lateline.functions.columns import percentage
 
@@ -144,11 +150,6 @@ def all_keys(key_sets: KeySets) -> list[str]:
     return list(dict.fromkeys(key for names in key_sets.values() for key in names))
 
 
-def _merged(name: str) -> Column:
-    """One total over rows that hold parts of it."""
-    return (F.max if name in FLAGS else F.sum)(_total(name)).alias(f"__{name}")
-
-
 def _orders(lines: DataFrame, keys: list[str], measures: list[str], sum_type: str, partitions: int | None) -> DataFrame:
     """Totals per order and combination of all keys, with all rows of an order in one partition.
 
@@ -162,6 +163,71 @@ def _orders(lines: DataFrame, keys: list[str], measures: list[str], sum_type: st
     return placed.repartition(partitions, HOME) if partitions else placed.repartition(HOME)
 
 
+class _Seen:
+    """Marks the first row of each order in each group of each key set, as rows go by; rows of an order follow each other.
+
+    Of an order that goes on in the next batch, the groups met so far are held.
+    """
+
+    def __init__(self, key_sets: list[list[str]]) -> None:
+        self.key_sets = key_sets
+        self.held: list[set] = [set() for _ in key_sets]
+
+    def marks(self, batch: pa.RecordBatch, order: np.ndarray, wanted: np.ndarray, goes_on: bool) -> np.ndarray:
+        """A bit for each key set, from the number of each row's order in the batch; only of ``wanted`` rows."""
+        marks, rows = np.zeros(batch.num_rows, np.int64), np.flatnonzero(wanted)
+        last = order[-1]
+        for i, keys in enumerate(self.key_sets):
+            group = order
+            for key in keys:
+                group = group * (len(batch[key]) + 2) + _codes(batch[key]) + 1
+                group = np.unique(group, return_inverse=True)[1] if len(keys) > 1 else group
+            first = rows[np.unique(group[rows], return_index=True)[1]]
+            values = lambda row: tuple(batch[key][row].as_py() for key in keys)  # noqa: E731, B023
+            if goes_on:
+                met = [row for row in first[order[first] == 0].tolist() if values(row) in self.held[i]]
+                first = np.setdiff1d(first, met)
+            if last or not goes_on:
+                self.held[i] = set()
+            self.held[i].update(map(values, first[order[first] == last].tolist()))
+            marks[first] |= 1 << i
+        return marks
+
+
+def _codes(column: pa.Array) -> np.ndarray:
+    """A number for each different value, -1 for null."""
+    indices = column.dictionary_encode().indices
+    return pc.fill_null(indices, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _marked(orders: DataFrame, key_sets: list[list[str]], flags: list[str]) -> DataFrame:
+    """``__in_orders`` and one such column for each flag: in which key sets a row is its order's first (flagged) one of a group.
+
+    A group's sum of these bits is its number of (flagged) orders, so no table of groups and orders is ever built: rows are
+    sorted by order once, and a task holds one order's groups at most. Rows without an order id have no bits.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds, previous = {name: _Seen(key_sets) for name in ["orders", *flags]}, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            known = _codes(batch[ORDER])
+            order = np.concatenate([[0], np.cumsum(known[1:] != known[:-1])])
+            goes_on = repr(batch[ORDER][0].as_py()) == previous
+            marks = []
+            for name, seen in kinds.items():
+                wanted = known >= 0
+                if name != "orders":
+                    wanted = wanted & (batch[f"__{name}"].to_numpy(zero_copy_only=False) > 0)
+                marks.append(pa.array(seen.marks(batch, order, wanted, goes_on)))
+            previous = repr(batch[ORDER][-1].as_py())
+            yield pa.RecordBatch.from_arrays([*batch.columns, *marks], names=[*batch.schema.names, *[f"__in_{name}" for name in kinds]])
+
+    schema = T.StructType([*orders.schema.fields, *[T.StructField(f"__in_{name}", T.LongType()) for name in ["orders", *flags]]])
+    return orders.sortWithinPartitions(HOME, ORDER).mapInArrow(run, schema)
+
+
 def roll_up_sets(
     lines: DataFrame,
     key_sets: KeySets,
@@ -169,22 +235,24 @@ def roll_up_sets(
     sum_type: str = "double",
     partitions: int | None = None,
 ) -> DataFrame:
-    """Figures for several key sets, in a column ``key_set`` beside all keys; no row at all for empty input.
+    """Figures for several key sets (at most 63), in a column ``key_set`` beside all keys; no row at all for empty input.
 
-    Totals per order and combination of keys are shuffled by order, into ``partitions`` if given. There each of them
-    counts for all key sets, as a generator keeps the partitioning by order that ``GROUPING SETS`` would lose. Then
-    only groups are shuffled. The lines are read once, and nothing is stored.
+    Totals per order and combination of keys are shuffled by order, into ``partitions`` if given, and sorted by it. There each
+    row learns in which key sets it is its order's first one of a group, and a generator counts it for all of them. Only groups
+    are aggregated and shuffled after it. The lines are read once, and nothing is stored.
     """
     keys, needed = all_keys(key_sets), _needed(measures)
     orders = _orders(lines, keys, measures, sum_type, partitions)
-    totals = [f"__{total}" for total in needed or ["lines"]]
+    flags = [name for name in needed if name in FLAGS]
+    sums = [name for name in needed if name not in FLAGS]
+    marked = _marked(orders, list(key_sets.values()), flags)
 
-    def of_set(name: str, names: list[str]) -> Column:
+    def of_set(i: int, name: str, names: list[str]) -> Column:
         own = [F.col(key) if key in names else F.lit(None).cast(orders.schema[key].dataType) for key in keys]
-        return F.struct(F.lit(name).alias("key_set"), *[value.alias(key) for value, key in zip(own, keys)])
+        bits = [F.shiftright(f"__in_{kind}", i).bitwiseAND(F.lit(1)).alias(f"__{kind}") for kind in ["orders", *flags]]
+        return F.struct(F.lit(name).alias("key_set"), *[value.alias(key) for value, key in zip(own, keys)], *bits)
 
-    sets = F.inline(F.array(*[of_set(name, names) for name, names in key_sets.items()]))
-    of_orders = orders.select(ORDER, HOME, *totals, sets).groupBy("key_set", *keys, ORDER, HOME)
-    merged = of_orders.agg(*[_merged(total) for total in needed or ["lines"]])
-    groups = merged.groupBy("key_set", *keys).agg(*_group_columns(measures))
+    sets = F.inline(F.array(*[of_set(i, name, names) for i, (name, names) in enumerate(key_sets.items())]))
+    of_groups = marked.select(*[f"__{name}" for name in sums], sets).groupBy("key_set", *keys)
+    groups = of_groups.agg(*[F.sum(_total(name)).alias(f"__{name}") for name in ["orders", *needed]])
     return _figures(groups, ["key_set", *keys], measures)

@@ -120,6 +120,30 @@ def test_orders_are_shuffled_once_for_all_key_sets(lines):
     ]
 
 
+@pytest.mark.parametrize("batch", [1, 3, 10_000])
+def test_orders_of_any_length_count_once_in_a_group(spark, batch):
+    """An order that goes on over many batches, late or at a loss only in some of its lines; absent ids and keys."""
+    rows = [line(7.0, float(i % 5 == 3), int(i % 7 == 6), 1.0, 1.0, 1.0, f"c{i % 4}", f"p{i % 6}", [None, "m", "n"][i % 3]) for i in range(60)]
+    rows += [line(float(i // 3), float(i % 4 == 1), int(i % 9 == 2), 2.0, 1.0, 1.0, f"c{i % 3}", f"p{i % 2}") for i in range(60)]
+    rows += [line(None, 1.0, 1, 3.0, -1.0, 1.0, "c1", "p1") for _ in range(4)]
+    table = spark.createDataFrame(rows, LINE)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        groups = gold.gold_groups(table, partitions=2).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for name, keys in gold.KEY_SETS.items():
+        got = [tuple(row[c] for c in [*keys, *MEASURES]) for row in groups if row["key_set"] == name]
+        rounded = [tuple(round(v, 6) if isinstance(v, float) else v for v in row) for row in got]
+        assert sorted(rounded, key=str) == close(direct(table, keys))
+
+
+def test_no_table_of_groups_and_orders_is_built(lines):
+    """An aggregate by group and order is nine times the lines."""
+    plan = physical_plan(gold.gold_groups(lines))
+    assert not [text for text in plan.splitlines() if "HashAggregate" in text and "key_set" in text and "order_id" in text]
+
+
 def test_support_floor(spark):
     rows = [line(float(i), 1.0, 0, 1.0, 1.0, 1.0, "k", "nineteen") for i in range(19)]
     rows += [line(float(i), 0.0, 0, 1.0, 1.0, 1.0, "k", "twenty") for i in range(20)]
