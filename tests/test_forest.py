@@ -140,3 +140,23 @@ def test_bootstrap_takes_rows_once_on_average():
     assert abs(times.mean() - 1) < 0.01 and abs((times == 0).mean() - np.exp(-1)) < 0.01
     other = forest._times(np.arange(200_000, dtype=np.uint64), 4, forest.ForestSettings())
     assert abs(np.corrcoef(times, other)[0, 1]) < 0.01
+
+
+def test_wide_nodes_split_like_others():
+    layout, rng = forest.Layout([[0.5, 1.5], [3.5]], [5, 1]), np.random.default_rng(1)
+    codes = np.stack([rng.integers(0, n, 900) for n in (3, 2, 5, 1)], axis=1).astype(np.uint8)
+    label, times, settings = rng.integers(0, 2, 900), rng.integers(1, 4, 900), forest.ForestSettings(depth=9)
+    tables = [forest._grow(codes, label, times, 3, 1, layout, settings, np.array([0.7, 1.9]), wide) for wide in (1, 50, 10**6)]
+    assert tables[0] == tables[1] == tables[2] and tables[0].num_rows > 50
+
+
+def test_a_feature_is_counted_once_for_all_its_levels():
+    layout, rng = forest.Layout([[0.5, 1.5]], [30]), np.random.default_rng(2)
+    codes, label, times = np.stack([rng.integers(0, 3, 500), rng.integers(0, 30, 500)], axis=1), rng.integers(0, 2, 500), rng.integers(1, 4, 500)
+    asked, drawn = [], np.arange(31)
+    counts, ends = forest._slot_counts(lambda f: asked.append(int(f)) or codes[:, f], label, times, drawn, layout)
+    assert asked == [0, 1]
+    flat, starts, none = codes.reshape(-1), np.arange(500) * 2, np.zeros(500, np.int64)
+    for slot in drawn:
+        expected, _ = forest._counts(flat, starts, none, label, times, np.array([slot]), layout)
+        assert (counts[ends[slot] : ends[slot + 1]] == expected).all()
