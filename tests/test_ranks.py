@@ -60,3 +60,14 @@ def test_running_totals(spark, ranges):
     table = spark.createDataFrame(generator.sample(rows, 200), "s double, a bigint, b bigint")
     got = {row["s"]: (row["a_before"], row["b_before"]) for row in running_totals(table, "s", ["a", "b"], ranges).collect()}
     assert got == {s: (sum(r[1] for r in rows if r[0] > s), sum(r[2] for r in rows if r[0] > s)) for s, _, _ in rows}
+
+
+def test_ranks_among_the_same_values_are_counted_once(spark, monkeypatch):
+    """The first pass over a column makes one entry a row, however many ranks are wanted."""
+    passes, ranges = [], ranks._ranges
+    monkeypatch.setattr(ranks, "_ranges", lambda searches: passes.append((len(searches), len(ranges(searches)))) or ranges(searches))
+    table = spark.range(9000).selectExpr("cast(id * id % 7919 as double) as x")
+    values = sorted(i * i % 7919 for i in range(9000))
+    shares = [k / 8 for k in range(1, 8)]
+    assert ranks.exact_quantiles(table, "x", shares) == [values[9000 * k // 8 - 1] for k in range(1, 8)]
+    assert passes[0] == (7, 1)
