@@ -10,7 +10,9 @@ all shingles of both texts.
 
 Rows that a shingle brings together are first compared with the next one in size only, and linked. Where many components
 still meet, each row is compared with one of another, in turns that each begin with fewer components. Then
-all pairs of rows of different components are compared, so a large group of copies costs few pairs.
+rows of different components are paired, so a large group of copies costs few pairs. Rows at the edge of such a group share
+its shingles with all of it: of their pairs only those are made whose sketches, which bound the shingles that two rows
+differ in from below, leave the similarity possible. No similar pair is lost by this.
 """
 
 from __future__ import annotations
@@ -35,6 +37,8 @@ SEED = 42
 COUNTERS, PARTS, SAMPLED = 1 << 18, 16, 8
 #: Components of a shingle that are paired at once; more go in turns, as long as one in so many comparisons links.
 MEETING, TURNS, LEAST_LINKED = 8, 24, 20
+#: Bits of a row's sketch; those of a thousand shingles or fewer tell apart most rows that are not similar.
+SKETCH_BITS = 1_024
 
 
 def shingles(text: bytes, size: int = SHINGLE_WORDS) -> set[bytes]:
@@ -178,6 +182,55 @@ def _crowded(placed: DataFrame) -> DataFrame:
     return placed.join(crowds, "shingle", "left_semi")
 
 
+def _sketches(rows: DataFrame) -> DataFrame:
+    """row and sketch: of each bit, whether an odd number of the row's shingles have it.
+
+    A shingle that only one of two rows has changes one bit, so two rows differ in at least as many shingles as their
+    sketches in bits.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            bits = [np.bincount((hashes(t) % SKETCH_BITS).astype(np.int64), minlength=SKETCH_BITS) & 1 for t in as_bytes(batch.column("text"))]
+            words = np.packbits(np.array(bits, np.uint8), axis=1).view(np.int64)
+            lists = pa.ListArray.from_arrays(np.arange(0, words.size + 1, words.shape[1], np.int32), pa.array(words.reshape(-1)))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists], names=["row", "sketch"])
+
+    return rows.mapInArrow(run, "row long, sketch array<long>")
+
+
+def _near(a_size: Column, a_sketch: Column, b_size: Column, b_sketch: Column) -> Column:
+    """Whether two rows may differ in few enough shingles for the similarity; null if a sketch is."""
+    low, high = SIMILARITY
+    differing = sum(F.bit_count(a_sketch[i].bitwiseXOR(b_sketch[i])) for i in range(SKETCH_BITS // 64))
+    return differing * (low + high) <= (a_size.cast("long") + b_size) * (high - low)
+
+
+def _left_pairs(placed: DataFrame, rows: DataFrame) -> DataFrame:
+    """The pairs (a, b) of rows of different components that share a shingle and that sizes and sketches leave possible.
+
+    Pairs of components that meet come first; of two that are one row each the sketches decide. Then each row of the one
+    with fewer rows meets those of the other, so a large component is not repeated for each row at its edge.
+    """
+    meeting = placed.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("shingle")
+    entries = stage(placed.join(meeting, "shingle", "left_semi"), "meeting-shingles")
+    sketched = _sketches(rows.join(entries.select(F.col("row").alias("doc_id")).distinct(), "doc_id", "left_semi"))
+    entries = stage(entries.join(stage(sketched, "sketches"), "row"), "sketched-shingles")
+    alone = F.when(F.count(F.lit(1)) == 1, F.any_value("sketch"))
+    each = entries.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("n"), F.min("size").alias("size"), F.max("left").alias("left"), alone.alias("sketch"))
+    other = each.select("shingle", *[F.col(n).alias(f"other_{n}") for n in ("component", "n", "size", "left", "sketch")])
+    possible = _possible(*(F.col(n) for n in ("size", "left", "other_size", "other_left")))
+    possible &= F.coalesce(_near(*(F.col(n) for n in ("size", "sketch", "other_size", "other_sketch"))), F.lit(True))
+    apart = each.join(other, "shingle").where((F.col("component") < F.col("other_component")) & possible)
+    fewer = F.col("n") <= F.col("other_n")
+    first, second = F.when(fewer, F.col("component")).otherwise(F.col("other_component")), F.when(fewer, F.col("other_component")).otherwise(F.col("component"))
+    apart = apart.select("shingle", first.alias("component_a"), second.alias("component_b"))
+    a, b = (entries.select("shingle", F.col("row").alias(n), *[F.col(c).alias(f"{c}_{n}") for c in ("component", "size", "left", "sketch")]) for n in "ab")
+    pairs = apart.join(a, ["shingle", "component_a"]).join(b, ["shingle", "component_b"])
+    pairs = pairs.where(_possible(*(F.col(n) for n in ("size_a", "left_a", "size_b", "left_b"))))
+    return pairs.where(_near(*(F.col(n) for n in ("size_a", "sketch_a", "size_b", "sketch_b")))).select("a", "b")
+
+
 def near_rows(rows: DataFrame) -> DataFrame:
     """node and component of the rows that are near copies of others: the least number that near pairs lead to.
 
@@ -199,15 +252,8 @@ def near_rows(rows: DataFrame) -> DataFrame:
             placed = _placed(shared, labels)
         if linked * LEAST_LINKED < tested.count() or not linked:
             break
-    # Pairs of components that meet, then the rows of both: rows of one component are not paired.
-    each = placed.select("shingle", "component").distinct()
-    other = each.withColumnRenamed("component", "other")
-    apart = each.join(other, "shingle").where("component < other")
-    a = placed.select("shingle", "component", F.col("row").alias("a"), F.col("size").alias("size_a"), F.col("left").alias("left_a"))
-    b = placed.select("shingle", F.col("component").alias("other"), F.col("row").alias("b"), F.col("size").alias("size_b"), F.col("left").alias("left_b"))
-    pairs = apart.join(a, ["shingle", "component"]).join(b, ["shingle", "other"])
-    pairs = pairs.where(_possible(*(F.col(n) for n in ("size_a", "left_a", "size_b", "left_b"))))
-    return _merged(labels, _checked(pairs.select("a", "b"), rows)).withColumnRenamed("row", "node")
+    pairs = _left_pairs(placed, rows)
+    return _merged(labels, _checked(pairs, rows)).withColumnRenamed("row", "node")
 
 
 def without_near_copies(docs: DataFrame, nameless: bool = True) -> DataFrame:

@@ -300,6 +300,38 @@ def test_a_group_of_near_copies_is_not_paired_row_by_row(spark, monkeypatch):
     assert len(near) > 6000 > 2000 > sum(confirmed)
 
 
+def test_rows_at_the_edge_of_a_group_are_not_paired_row_by_row(spark, monkeypatch):
+    """Each is near to a text that is not there, and few are similar: 19,900 pairs share shingles and have the sizes for it."""
+    rng, base = random.Random(31), [f"v{j}" for j in range(184)]
+    texts = [" ".join(f"other{i}x{j}" if j in changed else w for j, w in enumerate(base)) for i in range(200) for changed in [set(rng.sample(range(184), 3))]]
+    near = [(i, j) for i in range(200) for j in range(i) if plain_similarity(texts[i], texts[j]) >= Fraction(4, 5)]
+    least = least_reachable(range(200), near)
+    checked, compared = jaccard._checked, []
+
+    def counted(pairs, rows):
+        compared.append(pairs.distinct().count())
+        return checked(pairs, rows)
+
+    monkeypatch.setattr(jaccard, "_checked", counted)
+    kept = jaccard.without_near_copies(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3))
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(least.values()))
+    assert compared[-1] < 2 * len(near) + 200 < 5000
+
+
+def test_sketches_never_differ_in_more_bits_than_shingles(spark):
+    """Also of texts with more shingles than bits."""
+    rng = random.Random(37)
+    texts = [sentence(rng, n, 900) for n in (0, 3, 50, 400, 3000) for _ in range(2)] + [None]
+    texts += [t + " and more" for t in texts[:-1]]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sketches = {r.row: r.sketch for r in jaccard._sketches(table).collect()}
+    sets = [jaccard.shingles((t or "").encode()) for t in texts]
+    for i in range(len(texts)):
+        for j in range(i):
+            bits = sum(((x ^ y) % 2**64).bit_count() for x, y in zip(sketches[i], sketches[j]))
+            assert bits <= len(sets[i] ^ sets[j])
+
+
 def test_near_copies_begin_with_fingerprints(spark, monkeypatch):
     """The stage's first links are op2's: they connect just the rows that its groups do."""
     rng = random.Random(29)
