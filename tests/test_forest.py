@@ -160,3 +160,39 @@ def test_a_feature_is_counted_once_for_all_its_levels():
     for slot in drawn:
         expected, _ = forest._counts(flat, starts, none, label, times, np.array([slot]), layout)
         assert (counts[ends[slot] : ends[slot + 1]] == expected).all()
+
+
+def test_small_nodes_count_only_the_rows_that_have_a_level(monkeypatch):
+    layout, rng = forest.Layout([[0.5, 1.5], [3.5]], [5, 3]), np.random.default_rng(4)
+    codes = np.stack([rng.integers(0, n, 900) for n in (3, 2, 5, 3)], axis=1).astype(np.uint8)
+    counts, asked = forest._counts, []
+
+    def counted(codes, starts, node, label, times, slot, layout):
+        asked.extend(slot.tolist())
+        return counts(codes, starts, node, label, times, slot, layout)
+
+    monkeypatch.setattr(forest, "_counts", counted)
+    label, times = rng.integers(0, 2, 900), rng.integers(1, 4, 900)
+    grown = forest._grow(codes, label, times, 3, 1, layout, forest.ForestSettings(depth=9), np.array([0.7, 1.9]), 10**6)
+    assert set(grown["slot"].to_pylist()) > {0, 2, 3} and set(asked) == {0, 1}
+
+
+def test_rows_are_placed_as_one_by_one():
+    """Also with codes of four bytes, and of rows whose level no training row had."""
+    layout, rng = forest.Layout([[0.5, 1.5], [3.5]], [70_000, 3]), np.random.default_rng(5)
+    assert layout.kind is np.uint32
+    codes = np.stack([rng.integers(0, n, 500) for n in (3, 2, 4, 4)], axis=1).astype(layout.kind)
+    codes[:9, 2] = 70_000
+    label, times, settings = rng.integers(0, 2, 500), np.ones(500, np.int64), forest.ForestSettings(depth=6, slots=10**6)
+    nodes = forest._grow(codes, label, times, 0, 1, layout, settings, np.ones(2)).to_pylist()
+    top, rows = forest._Top(), np.arange(3, 500, 2)
+    top.splits = {r["node"]: (r["slot"], r["cut"]) for r in nodes if r["slot"] >= 0}
+    expected = []
+    for row in rows:
+        node = 1
+        while node in top.splits:
+            slot, cut = top.splits[node]
+            code, level = int(codes[row, layout.feature[slot]]), layout.level[slot]
+            node = 2 * node + ((code if level < 0 else int(code == level)) > cut)
+        expected.append(node)
+    assert top.place(codes, layout, rows).tolist() == expected and len(set(expected)) > 20
