@@ -5,11 +5,13 @@ import math
 import random
 import re
 import textwrap
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -17,6 +19,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from lateline.llm import components, exact, hamming, jaccard, license_texts, licenses, mixing, neighbours, packing, preferences, quality, simhash, substrings, token_files, tokens
+from lateline.llm.common import let_go
 from lateline.sources.staging import shared_folder
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -405,6 +408,65 @@ def test_texts_of_one_hash_stay_apart():
 # --- quality ---
 
 
+def made_unit(rng, n_words, vocabulary, length):
+    """A unit of documents of this length, with its words' numbers of one shard; and its words."""
+    text = rng.integers(0, vocabulary, n_words).astype(np.uint32)
+    lengths = np.append(np.full(n_words // length, length), [0, n_words % length]).astype(np.uint32)
+    numbers = np.arange(vocabulary, dtype=np.uint32) + np.uint32(quality.FIRST)
+    columns = {
+        "doc_ids": pa.array([range(len(lengths))], pa.list_(pa.int64())),
+        "langs": pa.array([["en"] * len(lengths)], pa.list_(pa.string())),
+        "lengths": pa.array([quality.packed(lengths)]),
+        "codes": pa.array([quality.packed(text)]),
+        "common": pa.array([quality.packed(np.empty(0, np.uint32))]),
+        "numbers": pa.array([[quality.packed(numbers)]], pa.list_(pa.binary())),
+        "train": pa.array([range(0, len(lengths), 2)], pa.list_(pa.int64())),
+    }
+    return pa.table(columns), text, lengths
+
+
+def test_pairs_of_parts_are_those_of_the_unit():
+    unit, text, lengths = made_unit(np.random.default_rng(3), 1_003, 40, 25)
+    starts = set((np.cumsum(lengths) - lengths)[lengths > 0].tolist())
+    plain = [((quality.BEGIN if i in starts else int(text[i - 1]) + quality.FIRST) << 32) + int(text[i]) + quality.FIRST for i in range(len(text))]
+    words = quality._words(unit)
+    assert quality._pairs(*words).tolist() == plain
+    for size in (1, 24, 25, 26, 500, 2_000):
+        assert [p for s in range(0, len(text), size) for p in quality._pairs(*words, s, s + size).tolist()] == plain
+    assert quality._distinct(np.array(plain, np.uint64)).tolist() == sorted(set(plain))
+    assert not len(quality._distinct(np.empty(0, np.uint64)))
+
+
+def test_a_unit_is_scored_in_little_memory():
+    """Of each word one pair and a few numbers at a time, and a part's arrays; it was 75 bytes a word."""
+    n, vocabulary, shards = 2_000_000, 2_000, 1
+    unit, text, _ = made_unit(np.random.default_rng(5), n, vocabulary, 400)
+    asked = quality._asked(shards)((pa.scalar(0),), unit)
+    pairs = quality.unpacked_pairs(asked["asked"][0].as_py())
+    counts = np.ones(len(pairs), np.uint64)
+    words, sums = quality.word_sums(pairs, counts)
+    held = quality.constants([1, 1, 1, 1], quality.facts(words, sums))
+    rows = [(0, 0, True, quality.packed(counts)), (0, 0, False, quality.packed(sums[:, words != quality.BEGIN].reshape(-1)))]
+    answers = quality._table(rows, unit=pa.int64(), shard=pa.int32(), pair=pa.bool_(), answer=pa.binary())
+    del pairs, counts, words, sums, rows
+    tracemalloc.start()
+    try:
+        scored = quality._scored(shards, held)((pa.scalar(0),), unit, answers)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert scored["n_words"].to_pylist()[0] == 400 and np.isfinite(scored["log_probability"].to_numpy()).all()
+    assert most < 55 * n
+
+
+def test_tasks_that_need_room_let_go_of_remembered_words():
+    ids = tokens.text_ids(tokens.default_path())
+    before = ids.ids([b"some words, and others"])
+    assert ids.new
+    let_go()
+    assert not ids.new and not ids.old and ids.ids([b"some words, and others"]) == before
+
+
 def test_log_probabilities_are_a_distribution():
     """Probabilities of all words after any word sum to one, the unknown word among them."""
     rng = np.random.default_rng(1)
