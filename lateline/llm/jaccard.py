@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from lateline.llm import simhash
 from lateline.llm.common import as_bytes, fresh, slices, tasks, texts
 from lateline.llm.components import components
-from lateline.sources.staging import stage
+from lateline.sources.staging import stage, stage_buckets
 
 #: Words of a shingle, and the least similarity as a fraction of integers.
 SHINGLE_WORDS, SIMILARITY = 5, (4, 5)
@@ -144,8 +144,10 @@ def _checked(pairs: DataFrame, rows: DataFrame) -> DataFrame:
             near = [similar(a, b) for a, b in zip(as_bytes(batch.column("text_a")), as_bytes(batch.column("text_b")))]
             yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
 
-    a, b = (rows.select(F.col("doc_id").alias(n), F.col("text").alias(f"text_{n}")) for n in "ab")
     met = stage(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "met")
+    # Only texts of pairs are shuffled: rows in buckets are found where they are.
+    met_rows = rows.join(met.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "doc_id", "left_semi")
+    a, b = (met_rows.select(F.col("doc_id").alias(n), F.col("text").alias(f"text_{n}")) for n in "ab")
     return stage(met.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long"), "near-pairs")
 
 
@@ -234,7 +236,8 @@ def _left_pairs(placed: DataFrame, rows: DataFrame) -> DataFrame:
 def near_rows(rows: DataFrame) -> DataFrame:
     """node and component of the rows that are near copies of others: the least number that near pairs lead to.
 
-    ``rows``: doc_id, a number of each row, and text. Null counts as empty text.
+    ``rows``: doc_id, a number of each row, and text; in buckets by doc_id at best, as texts are looked up several times.
+    Null counts as empty text.
     """
     shared = _shared(rows)
     found = _checked(simhash.near_pairs(rows), rows)
@@ -264,7 +267,9 @@ def without_near_copies(docs: DataFrame, nameless: bool = True) -> DataFrame:
     words, are copies of each other. An empty table gives an empty result.
     """
     key = fresh(docs, "row_key")
-    keyed = stage(docs.withColumn(key, F.monotonically_increasing_id()), "near-copy-rows")
+    parts = tasks(docs.sparkSession)
+    dealt = docs.withColumn(key, F.monotonically_increasing_id()).repartition(parts, key)
+    keyed = stage_buckets(dealt, "near-copy-rows", key, parts)
     rows = texts(keyed.select(F.col(key).alias("doc_id"), "text"))
     ids = keyed.select(F.col(key).alias("node"), F.col("doc_id").cast("long").alias("doc_id"))
     grouped = stage(near_rows(rows).join(ids, "node"), "near-groups")

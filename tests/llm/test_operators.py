@@ -21,6 +21,7 @@ import corpus_pipeline
 from lateline.llm import components, exact, hamming, jaccard, license_texts, licenses, mixing, neighbours, packing, preferences, quality, simhash, substrings, token_files, tokens
 from lateline.llm.common import let_go
 from lateline.sources.staging import shared_folder
+from tests.plans import physical_plan
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, size string, `rank` string, node long"
@@ -321,6 +322,29 @@ def test_rows_at_the_edge_of_a_group_are_not_paired_row_by_row(spark, monkeypatc
     assert compared[-1] < 2 * len(near) + 200 < 5000
 
 
+def test_comparing_pairs_shuffles_no_other_texts(spark, monkeypatch):
+    """Rows lie in buckets, and those of pairs are picked where they are."""
+    rng, plans, stage = random.Random(41), [], jaccard.stage
+    base = [sentence(rng, 200, 900) for _ in range(20)]
+    table = spark.createDataFrame(list(enumerate(base + [b + " more" for b in base[:5]])), "doc_id long, text string")
+
+    def noted(table, name):
+        if name == "near-pairs":
+            plans.append(physical_plan(table))
+        return stage(table, name)
+
+    monkeypatch.setattr(jaccard, "stage", noted)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = jaccard.without_near_copies(table)
+        assert sorted(r.doc_id for r in kept.collect()) == list(range(20))
+        assert "Bucketed: true" in physical_plan(kept)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert plans and all(p.count("LeftSemi") == p.count("Bucketed: true") == 2 for p in plans)
+
+
 def test_sketches_never_differ_in_more_bits_than_shingles(spark):
     """Also of texts with more shingles than bits."""
     rng = random.Random(37)
