@@ -693,6 +693,25 @@ def test_ids_by_word_are_the_tokenizers():
     assert [np.frombuffer(f, "<u4").tolist() for f in found] == [ids_of(t, 0)[:-1] for t in texts]
 
 
+def test_a_word_of_many_texts_is_looked_up_once():
+    class Counting(dict):
+        looked = 0
+
+        def get(self, *key):
+            Counting.looked += 1
+            return super().get(*key)
+
+        def __getitem__(self, key):
+            Counting.looked += 1
+            return super().__getitem__(key)
+
+    ids, texts = tokens.TextIds(tokens.default_path()), ["Some words. été! " * 500, "", " \n", "words, x.\n.y z;", "some"]
+    ids.new = Counting()
+    found = ids.ids([t.encode() for t in texts])
+    assert [np.frombuffer(f, "<u4").tolist() for f in found] == [ids_of(t, 0)[:-1] for t in texts]
+    assert Counting.looked < 100 and ids.ids([]) == []
+
+
 def test_pack(docs, rows):
     got = packing.pack(docs, block_rows=100).collect()
     wanted, tokens_ = Counter(), 0
