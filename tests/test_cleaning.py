@@ -1,4 +1,5 @@
 import datetime
+import hashlib
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -177,6 +178,16 @@ def test_content_digest(spark):
     assert digest() == (0, None)
 
 
+def test_content_digest_sums_whole_numbers(spark):
+    rows = [(str(i), None if i % 7 == 0 else "\u00e9" * (i % 3)) for i in range(1000)]
+    table = spark.createDataFrame(rows, "a string, `b.c` string").repartition(3)
+    texts = ["".join("-" if x is None else f"{len(x)}:{x}" for x in row) for row in rows]
+    total = sum(int(hashlib.md5(text.encode()).hexdigest()[:15], 16) for text in texts)
+    digest = quality.content_digest(table)
+    assert tuple(digest.first()) == (1000, str(total)) and total > 1 << 66
+    assert "sum(cast(" not in digest._jdf.queryExecution().optimizedPlan().toString().lower()  # no decimal for each row
+
+
 def test_null_counts(spark):
     lines, _ = cleaning.standardise(raw(spark))
     counts = {row["column_name"]: row["null_count"] for row in quality.null_counts(lines).collect()}
