@@ -196,3 +196,48 @@ def test_rows_are_placed_as_one_by_one():
             node = 2 * node + ((code if level < 0 else int(code == level)) > cut)
         expected.append(node)
     assert top.place(codes, layout, rows).tolist() == expected and len(set(expected)) > 20
+
+
+def test_a_wide_node_reads_its_rows_once_for_all_levels(monkeypatch):
+    """Not slot by slot; also in many small parts, and among nodes that are counted otherwise."""
+    layout, rng = forest.Layout([[0.5, 1.5], [3.5]], [5, 3]), np.random.default_rng(6)
+    codes = np.stack([rng.integers(0, n, 900) for n in (3, 2, 6, 3)], axis=1).astype(np.uint8)
+    label, times, settings = rng.integers(0, 2, 900), rng.integers(1, 4, 900), forest.ForestSettings(depth=8)
+    grown = lambda wide: forest._grow(codes, label, times, 3, 1, layout, settings, np.array([0.7, 1.9]), wide)
+    expected = grown(10**6)
+    monkeypatch.setattr(forest, "_best_of_slots", None)
+    assert grown(0) == expected and expected.num_rows > 50
+    monkeypatch.setattr(forest, "COUNTED_CELLS", 40)
+    monkeypatch.setattr(forest, "COUNTED_ROWS", 7)
+    assert grown(0) == expected
+
+
+def test_only_rows_on_the_way_to_a_wanted_node_are_followed():
+    layout, rng = forest.Layout([[0.5, 1.5], [3.5]], [5, 3]), np.random.default_rng(7)
+    codes = np.stack([rng.integers(0, n, 700) for n in (3, 2, 6, 3)], axis=1).astype(np.uint8)
+    settings, rows, top = forest.ForestSettings(), np.arange(700, dtype=np.uint64), forest._Top()
+    top.splits = {1: (0, 0), 3: (4, 0), 6: (1, 0), 2: (7, 0)}
+    times, read = forest._times(rows, 2, settings), []
+    taken = np.flatnonzero(times)
+    place = top.place(codes, layout, taken)
+
+    class Columns(list):
+        def __getitem__(self, feature):
+            read.append(int(feature))
+            return super().__getitem__(feature)
+
+    for wanted in ([4, 5, 7, 12, 13], [13], [2, 7]):
+        read.clear()
+        found = {node: (here.tolist(), of.tolist()) for node, here, of in forest._dealt(rows, Columns(codes.T), 2, top, wanted, layout, settings)}
+        assert found == {n: (taken[place == n].tolist(), times[taken[place == n]].tolist()) for n in wanted if n != 2 and (place == n).any()} | (
+            {2: (taken[np.isin(place, [4, 5])].tolist(), times[taken[np.isin(place, [4, 5])]].tolist())} if 2 in wanted else {}
+        )
+    assert layout.feature[7] not in read  # node 2 is not split here
+
+
+def test_how_often_a_row_is_taken_is_exact_at_the_bounds():
+    settings, rows = forest.ForestSettings(), np.arange(300_000, dtype=np.uint64)
+    salt = forest._hashed(np.array([settings.seed * 1_000_003 + 9]))[0]
+    share = (forest._hashed(rows ^ salt) >> np.uint64(11)) / 2.0**53
+    assert (forest._times(rows, 9, settings) == sum((share >= bound).astype(int) for bound in forest._POISSON)).all()
+    assert 0 < (forest._SURE == 255).sum() <= 12
