@@ -20,7 +20,7 @@ from lateline.plans.clean import clean_orders, sales_thresholds
 from lateline.schema import NULL_CHECKED_COLUMNS, NUMERIC_FEATURES, RAW_ENCODING, TARGET
 from lateline.sources import catalog, files
 from lateline.sources.files import read_table, write_table
-from lateline.sources.staging import shared_folder, stage
+from lateline.sources.staging import discard, shared_folder, stage
 
 # Sums of values with at most four decimals are compared exactly. Means of margins are compared
 # after rounding: their last digits depend on the order of addition in either engine.
@@ -97,7 +97,7 @@ def ingest_digest(spark: SparkSession, sf: str) -> DataFrame:
     """Rows and content of the stored table of a raw file without personal columns, which the job compared by content."""
     root = _jobs_folder(spark)
     blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    privacy_drop(spark, sf).write.options(header=True, **blanks).csv(f"{root}/raw")
+    privacy_drop(spark, sf).write.options(header=True, compression="lz4", **blanks).csv(f"{root}/raw")
     jobs.ingest_job(spark, root, f"{root}/landed", file=f"{root}/raw", by_content=True)
     return quality.content_digest(read_table(spark, f"{root}/landed"))
 
@@ -187,9 +187,10 @@ def _clean_jobs(application: str, sf: str) -> str:
     # A text that only the raw file's own encoding reads right; outer blanks are kept.
     raw = raw_orders_twice(spark, sf).withColumn("Order State", F.concat("Order State", F.lit("\u00e9")))
     blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    raw.write.options(header=True, encoding=RAW_ENCODING, **blanks).csv(f"{folder}/raw")
+    raw.write.options(header=True, encoding=RAW_ENCODING, compression="lz4", **blanks).csv(f"{folder}/raw")
     log = {"report_path": f"{folder}/reports"}
     jobs.ingest_job(spark, folder, f"{folder}/landed", file=f"{folder}/raw", **log)
+    discard(spark, [f"{folder}/raw"])  # made for this job alone, which has landed it
     jobs.privacy_job(spark, f"{folder}/landed", f"{folder}/safe", **log)
     jobs.clean_job(spark, f"{folder}/safe", f"{folder}/clean", relative_error=0, **log)
     return folder

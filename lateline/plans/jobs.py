@@ -42,7 +42,7 @@ from lateline.sources.files import (
     write_counted,
     write_table,
 )
-from lateline.sources.staging import stage
+from lateline.sources.staging import discard, noted, stage
 
 REPORT_SCHEMA = (
     "job string, status string, input_path string, output_path string, rows_before bigint, rows_after bigint, "
@@ -139,8 +139,10 @@ def clean_job(
     """Clean, deduplicate and extend the order lines."""
     report = Report("clean", input_path, output_path)
     raw = read_table(spark, input_path)
-    result = clean_orders(raw, relative_error, rare_duplicates=rare_duplicates)
+    with noted() as staged:
+        result = clean_orders(raw, relative_error, rare_duplicates=rare_duplicates)
     write_table(result.table, output_path, files)
+    discard(spark, staged)
     clean = read_table(spark, output_path)
     report.sizes(raw, clean)
     nulls = {row["column_name"]: row["null_count"] for row in null_counts(clean).collect()}  # at most nine rows

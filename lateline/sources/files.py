@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from lateline.operators.quality import content_digest
 from lateline.schema import RAW_ENCODING
+from lateline.sources.staging import COMPRESSION
 
 
 @dataclass(frozen=True)
@@ -84,7 +85,7 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 def write_table(table: DataFrame, path: str, files: int | None = None) -> str:
     """Overwrite a parquet table; ``files`` fixes the file count of a small one."""
-    (table if files is None else table.coalesce(files)).write.mode("overwrite").parquet(path)
+    (table if files is None else table.coalesce(files)).write.mode("overwrite").parquet(path, compression=COMPRESSION)
     return path
 
 

@@ -1,5 +1,6 @@
 import json
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -238,3 +239,52 @@ def test_staged_tables_are_noted_and_discarded(spark):
     assert spark.read.parquet(outer[1]).count() == 2
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(inner[0])
+
+
+def test_stored_and_staged_tables_are_compressed_with_zstd(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    rows = spark.range(1000).selectExpr("id", "cast(id % 7 as string) as name")
+    files.write_table(rows, str(tmp_path / "stored"), files=1)
+    staged = staging.stage(rows, "small")
+    bucketed = staging.stage_buckets(rows, "small", "id", 2)
+    for path in [*tmp_path.glob("stored/*.parquet"), *[p.removeprefix("file://") for p in staged.inputFiles() + bucketed.inputFiles()]]:
+        assert pq.ParquetFile(path).metadata.row_group(0).column(0).compression == "ZSTD"
+
+
+def test_shuffle_files_go_with_the_action_that_made_them(spark):
+    import __spark_entry__ as entry
+
+    before = {name: spark.conf.get(name, None) for name in entry.SETTINGS}
+    entry.prepare_session(spark)
+    try:
+        disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        held = disk.getAllFiles().toString().count("shuffle_")
+        assert staging.stage(spark.range(10_000).repartition(5, "id"), "shuffled").count() == 10_000
+        for _ in range(100):  # they are deleted in the background
+            left = disk.getAllFiles().toString().count("shuffle_")
+            if left <= held:
+                break
+            time.sleep(0.1)
+        assert left <= held
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_clean_job_leaves_no_staged_table(spark, tmp_path):
+    landed = files.write_table(files.read_order_csv(spark, write_csv(tmp_path / "in")), str(tmp_path / "landed"))
+    staged = lambda: {n for n in os.listdir(staging.shared_folder(spark).removeprefix("file:")) if n.startswith("staged-")}
+    before = staged()
+    report = jobs.clean_job(spark, landed, str(tmp_path / "clean"), relative_error=0, rare_duplicates=True)
+    assert staged() == before and files.read_table(spark, str(tmp_path / "clean")).count() == report["rows_after"] == 2
+
+
+def test_a_compressed_raw_file_lands_like_a_plain_one(spark, tmp_path):
+    plain = files.read_order_csv(spark, write_csv(tmp_path / "in"))
+    packed = str(tmp_path / "packed")
+    blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    plain.write.options(header=True, encoding="ISO-8859-1", compression="lz4", **blanks).csv(packed)
+    report = jobs.ingest_job(spark, packed, str(tmp_path / "landed"), file=packed, by_content=True)
+    assert report["encoding"] == "ISO-8859-1" and report["rows_after"] == 3
+    assert sorted(files.read_table(spark, str(tmp_path / "landed")).collect(), key=str) == sorted(plain.collect(), key=str)
