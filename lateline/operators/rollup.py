@@ -23,9 +23,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lateline.functions.columns import percentage
+from lateline.sources.staging import stage
 
 ORDER = "order_id"
 HOME = "__home"
+#: Lines of an order from which they are added up by combination of keys before they meet.
+FREQUENT_LINES = 10_000
 
 # Which totals, beside the number of orders, each figure is made of.
 TOTALS = {
@@ -150,14 +153,32 @@ def all_keys(key_sets: KeySets) -> list[str]:
     return list(dict.fromkeys(key for names in key_sets.values() for key in names))
 
 
+def _of_line(name: str, sum_type: str) -> Column:
+    """One total of a single line."""
+    source, _, counted = name.partition("_")
+    value = F.col(SOURCES[source])
+    if source in FLAGS:
+        return F.when(value == 1, 1).otherwise(0)
+    if counted:
+        return value.isNotNull().cast("bigint")
+    return value.cast(sum_type) if source in EXACT else value
+
+
 def _orders(lines: DataFrame, keys: list[str], measures: list[str], sum_type: str, partitions: int | None) -> DataFrame:
-    """Totals per order and combination of all keys, with all rows of an order in one partition.
+    """Totals per line, or per frequent order and combination of all keys, with all rows of an order in one partition.
 
-    Lines of one order and combination are added up before they are shuffled, so an order with a large
-    share of all lines leaves only its combinations. Rows without an order id count as no order and need
-    not meet: they are spread by their keys.
+    Lines are shuffled once, by order. Only those of an order with ``FREQUENT_LINES`` or more, or without an order id, are added
+    up per order and combination before it: so an order with a large share of all lines leaves only its combinations.
+    Rows without an order id count as no order and need not meet: they are spread by their keys.
     """
-    orders = lines.groupBy(ORDER, *keys).agg(*_order_columns(measures, sum_type))
+    counted = lines.groupBy(ORDER).agg(F.count(F.lit(1)).alias("__lines"))
+    frequent = counted.where((F.col("__lines") >= FREQUENT_LINES) | F.col(ORDER).isNull())
+    frequent = stage(frequent.select(F.col(ORDER).alias("__frequent")), "frequent-orders")
+    same = F.col(ORDER).eqNullSafe(F.col("__frequent"))
+    added = lines.join(frequent, same, "left_semi").groupBy(ORDER, *keys).agg(*_order_columns(measures, sum_type))
+    of_line = {f"__{name}": _of_line(name, sum_type) for name in _needed(measures)} or {"__lines": F.lit(1)}
+    single = [value.cast(added.schema[name].dataType).alias(name) for name, value in of_line.items()]
+    orders = lines.join(frequent, same, "left_anti").select(ORDER, *keys, *single).unionByName(added)
     home = F.when(F.col(ORDER).isNotNull(), F.xxhash64(ORDER)).otherwise(F.xxhash64(*keys))
     placed = orders.withColumn(HOME, home)
     return placed.repartition(partitions, HOME) if partitions else placed.repartition(HOME)
@@ -237,9 +258,9 @@ def roll_up_sets(
 ) -> DataFrame:
     """Figures for several key sets (at most 63), in a column ``key_set`` beside all keys; no row at all for empty input.
 
-    Totals per order and combination of keys are shuffled by order, into ``partitions`` if given, and sorted by it. There each
+    Totals of lines are shuffled by order, into ``partitions`` if given, and sorted by it. There each
     row learns in which key sets it is its order's first one of a group, and a generator counts it for all of them. Only groups
-    are aggregated and shuffled after it. The lines are read once, and nothing is stored.
+    are aggregated and shuffled after it. The order ids are read before, as those of many lines are told and staged first.
     """
     keys, needed = all_keys(key_sets), _needed(measures)
     orders = _orders(lines, keys, measures, sum_type, partitions)
