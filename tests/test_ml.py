@@ -1,3 +1,4 @@
+import os
 import random
 
 import pytest
@@ -6,10 +7,10 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from fixtures.contract import model_data
-from lateline.ml import evaluation, prepare, scoring, split, train
+from lateline.ml import evaluation, forest, prepare, scoring, split, train
 from lateline.plans import jobs
 from lateline.schema import LEAKAGE_COLUMNS, NUMERIC_FEATURES, TARGET
-from lateline.sources import files
+from lateline.sources import files, staging
 
 SF = "/root/testdata/sf0.001"
 
@@ -206,3 +207,20 @@ def test_missing_nan_and_infinite_numbers_are_imputed(spark):
     [scale] = prepare.learn_scales(table, ["x"])
     scaled = [r[0] for r in prepare.cleaning_stage([scale], []).transform(table).select("num__x").collect()]
     assert all(abs(v) < 10 for v in scaled) and abs(sum(scaled)) < 1e-9
+
+
+def test_training_rows_are_staged_and_not_cached_beside_the_blocks_of_the_regression(spark, data):
+    """While a model is fitted no table is cached; the staged rows, and those of a forest, are deleted afterwards."""
+    cached, seen = spark._jsparkSession.sharedState().cacheManager(), []
+    folder = staging.shared_folder(spark).removeprefix("file:")
+    staged = lambda: {name for name in os.listdir(folder) if name.startswith("staged-")}
+    before = staged()
+
+    def regression(rows):
+        seen.append((cached.isEmpty(), [name[:17] for name in staged() - before]))
+        return train.logistic_regression(rows, 2)
+
+    small = forest.ForestSettings(trees=2, depth=3)
+    train.fit_models(data, {"lr": regression, "forest": lambda rows: small})
+    assert seen == [(True, ["staged-train-rows"])]
+    assert [name[:19] for name in staged() - before] == ["staged-forest-nodes"]
